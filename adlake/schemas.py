@@ -2,88 +2,139 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BinaryType,
+    DataType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
+
+
+def _columns(data_type: DataType, names: str, nullable: bool = True) -> list[StructField]:
+    return [StructField(name, data_type, nullable) for name in names.split()]
+
+
+def _text(names: str, nullable: bool = True) -> list[StructField]:
+    return _columns(StringType(), names, nullable)
+
+
+def _long(names: str, nullable: bool = True) -> list[StructField]:
+    return _columns(LongType(), names, nullable)
+
+
+def _int(names: str, nullable: bool = True) -> list[StructField]:
+    return _columns(IntegerType(), names, nullable)
+
+
+def _double(names: str) -> list[StructField]:
+    return _columns(DoubleType(), names)
+
+
+def _time(names: str, nullable: bool = True) -> list[StructField]:
+    return _columns(TimestampType(), names, nullable)
+
+
+def _date(names: str, nullable: bool = True) -> list[StructField]:
+    return _columns(DateType(), names, nullable)
+
 
 # The source log's columns in file order, with their types.
-SOURCE_SCHEMA = StructType.fromDDL(
-    """
-    timestamp BIGINT, uid BIGINT, campaign BIGINT, conversion BIGINT,
-    conversion_timestamp BIGINT, conversion_id BIGINT, attribution BIGINT,
-    click BIGINT, click_pos BIGINT, click_nb BIGINT, cost DOUBLE, cpo DOUBLE,
-    time_since_last_click BIGINT, cat1 BIGINT, cat2 BIGINT, cat3 BIGINT,
-    cat4 BIGINT, cat5 BIGINT, cat6 BIGINT, cat7 BIGINT, cat8 BIGINT, cat9 BIGINT
-    """
+SOURCE_SCHEMA = StructType(
+    _long(
+        "timestamp uid campaign conversion conversion_timestamp conversion_id "
+        "attribution click click_pos click_nb"
+    )
+    + _double("cost cpo")
+    + _long("time_since_last_click cat1 cat2 cat3 cat4 cat5 cat6 cat7 cat8 cat9")
 )
 SOURCE_COLUMNS = SOURCE_SCHEMA.names
 
 # The JSON payload: identity and times first, then the source columns but
 # `timestamp`, which travels as `source_timestamp`.
 PAYLOAD_SCHEMA = StructType(
-    StructType.fromDDL("event_id STRING, event_time TIMESTAMP, source_timestamp BIGINT").fields
+    _text("event_id")
+    + _time("event_time")
+    + _long("source_timestamp")
     + [field for field in SOURCE_SCHEMA.fields if field.name != "timestamp"]
-    + StructType.fromDDL("producer_ingest_ts TIMESTAMP").fields
+    + _time("producer_ingest_ts")
 )
 
 # What the message source delivers, whether broker or files.
-RAW_SCHEMA = StructType.fromDDL(
-    "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
+RAW_SCHEMA = StructType(
+    _columns(BinaryType(), "key value")
+    + _text("topic")
+    + _int("partition")
+    + _long("offset")
+    + _time("timestamp")
 )
 
-BRONZE_SCHEMA = StructType.fromDDL(
-    """
-    topic STRING NOT NULL, kafka_partition BIGINT NOT NULL, kafka_offset BIGINT NOT NULL,
-    kafka_timestamp TIMESTAMP, kafka_key STRING, payload STRING NOT NULL,
-    payload_hash STRING NOT NULL, bronze_ingest_ts TIMESTAMP NOT NULL,
-    ingest_date STRING NOT NULL, ingest_hour STRING NOT NULL
-    """
+BRONZE_SCHEMA = StructType(
+    _text("topic", False)
+    + _long("kafka_partition kafka_offset", False)
+    + _time("kafka_timestamp")
+    + _text("kafka_key")
+    + _text("payload payload_hash", False)
+    + _time("bronze_ingest_ts", False)
+    + _text("ingest_date ingest_hour", False)
 )
 
-SILVER_SCHEMA = StructType.fromDDL(
-    """
-    event_id STRING NOT NULL, event_time TIMESTAMP NOT NULL, event_date DATE NOT NULL,
-    event_hour INT NOT NULL, source_timestamp BIGINT, user_id BIGINT, campaign_id BIGINT,
-    conversion INT, conversion_timestamp BIGINT, conversion_id BIGINT, attribution INT,
-    click INT, click_pos INT, click_nb INT, cost DOUBLE, cpo DOUBLE,
-    time_since_last_click BIGINT, cat1 BIGINT, cat2 BIGINT, cat3 BIGINT, cat4 BIGINT,
-    cat5 BIGINT, cat6 BIGINT, cat7 BIGINT, cat8 BIGINT, cat9 BIGINT,
-    producer_ingest_ts TIMESTAMP, bronze_ingest_ts TIMESTAMP, silver_ingest_ts TIMESTAMP,
-    kafka_topic STRING, kafka_partition BIGINT, kafka_offset BIGINT, payload_hash STRING
-    """
+SILVER_SCHEMA = StructType(
+    _text("event_id", False)
+    + _time("event_time", False)
+    + _date("event_date", False)
+    + _int("event_hour", False)
+    + _long("source_timestamp user_id campaign_id")
+    + _int("conversion")
+    + _long("conversion_timestamp conversion_id")
+    + _int("attribution click click_pos click_nb")
+    + _double("cost cpo")
+    + _long("time_since_last_click cat1 cat2 cat3 cat4 cat5 cat6 cat7 cat8 cat9")
+    + _time("producer_ingest_ts bronze_ingest_ts silver_ingest_ts")
+    + _text("kafka_topic")
+    + _long("kafka_partition kafka_offset")
+    + _text("payload_hash")
 )
 SILVER_COLUMNS = SILVER_SCHEMA.names
 
-HOURLY_SCHEMA = StructType.fromDDL(
-    """
-    event_date DATE NOT NULL, event_hour INT NOT NULL, campaign_id BIGINT NOT NULL,
-    events BIGINT, clicks BIGINT, conversions BIGINT, attributed_conversions BIGINT,
-    spend DOUBLE, avg_event_cost DOUBLE, unique_users BIGINT, ctr_proxy DOUBLE,
-    conversion_rate DOUBLE, cost_per_attributed_conversion DOUBLE, gold_updated_at TIMESTAMP
-    """
+HOURLY_SCHEMA = StructType(
+    _date("event_date", False)
+    + _int("event_hour", False)
+    + _long("campaign_id", False)
+    + _long("events clicks conversions attributed_conversions")
+    + _double("spend avg_event_cost")
+    + _long("unique_users")
+    + _double("ctr_proxy conversion_rate cost_per_attributed_conversion")
+    + _time("gold_updated_at")
 )
 
-DAILY_SCHEMA = StructType.fromDDL(
-    """
-    event_date DATE NOT NULL, campaign_id BIGINT NOT NULL, events BIGINT, clicks BIGINT,
-    conversions BIGINT, attributed_conversions BIGINT, spend DOUBLE,
-    unique_users_approx BIGINT, ctr_proxy DOUBLE, conversion_rate DOUBLE,
-    cost_per_attributed_conversion DOUBLE, gold_updated_at TIMESTAMP
-    """
+DAILY_SCHEMA = StructType(
+    _date("event_date", False)
+    + _long("campaign_id", False)
+    + _long("events clicks conversions attributed_conversions")
+    + _double("spend")
+    + _long("unique_users_approx")
+    + _double("ctr_proxy conversion_rate cost_per_attributed_conversion")
+    + _time("gold_updated_at")
 )
 
-BATCH_METRIC_SCHEMA = StructType.fromDDL(
-    """
-    metric_ts TIMESTAMP NOT NULL, query_name STRING NOT NULL, batch_id BIGINT NOT NULL,
-    row_count BIGINT, batch_duration_ms BIGINT, status STRING, detail STRING
-    """
+BATCH_METRIC_SCHEMA = StructType(
+    _time("metric_ts", False)
+    + _text("query_name", False)
+    + _long("batch_id", False)
+    + _long("row_count batch_duration_ms")
+    + _text("status detail")
 )
 
-HEALTH_SCHEMA = StructType.fromDDL(
-    """
-    metric_name STRING, metric_value DOUBLE, severity STRING, details STRING,
-    run_ts TIMESTAMP, query_file STRING
-    """
+HEALTH_SCHEMA = StructType(
+    _text("metric_name") + _double("metric_value") + _text("severity details") + _time("run_ts") + _text("query_file")
 )
 
-FILE_STATS_SCHEMA = StructType.fromDDL(
-    "path STRING, length BIGINT, modificationTime TIMESTAMP, content STRING"
+FILE_STATS_SCHEMA = StructType(
+    _text("path") + _long("length") + _time("modificationTime") + _text("content")
 )
