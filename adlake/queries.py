@@ -188,7 +188,8 @@ def events_left_out_of_gold(spark, sf_dir):
 
 
 def written_log(spark: SparkSession, sf_dir: str) -> str:
-    """The source rows as one headed text file; every ninth row lacks a field."""
+    """The source rows as a headed text log of several files in order; every
+    ninth row lacks a field."""
     path = scratch_dir(spark, "source-log")
     row = F.concat_ws("\t", *SOURCE_COLUMNS)
     lines = source_rows(spark, sf_dir).select(
@@ -198,8 +199,7 @@ def written_log(spark: SparkSession, sf_dir: str) -> str:
     header = spark.range(1).select(
         F.lit(0).cast("bigint").alias("line_number"), F.lit("\t".join(SOURCE_COLUMNS)).alias("value")
     )
-    # One file is the point of this input, so it has one writer.
-    ordered = lines.unionByName(header).coalesce(1).sortWithinPartitions("line_number")
+    ordered = lines.unionByName(header).repartitionByRange("line_number").sortWithinPartitions("line_number")
     ordered.select("value").write.text(path)
     return path
 

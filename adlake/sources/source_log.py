@@ -15,49 +15,58 @@ LIMIT_BUCKET = 1_000_000
 
 
 def with_line_number(lines: DataFrame) -> DataFrame:
-    """Numbers the lines of one text file from 1, not counting a header row.
+    """Numbers the lines of a text log from 1, not counting header rows.
 
-    Ids rise along each file split, and splits sort by their start in the file,
-    so a line's number is its place in its split plus the lines of earlier
-    splits. Both passes scan the same splits; nothing is shuffled but one count
-    per split. ``lines`` must be an untouched ``spark.read.text`` of one file.
+    Ids rise along each file split, so a line's number is its place in its
+    split plus the lines of earlier splits, in order of file name and start.
+    Both passes scan the same splits; nothing is shuffled but one count per
+    split. ``lines`` must be an untouched ``spark.read.text``.
     """
     located = lines.select(
         "value",
-        F.col("_metadata.file_block_start").alias("_split"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_id"),
-    )
-    header_id = F.min(F.when(F.col("value") == HEADER, F.col("_id")))
-    splits = located.groupBy("_split").agg(
+    ).withColumn("_split", F.xxhash64("_file", "_start"))
+    splits = located.groupBy("_file", "_start", "_split").agg(
         F.count("*").alias("_lines"),
         F.min("_id").alias("_first"),
-        header_id.alias("_header"),
+        F.min(F.when(F.col("value") == HEADER, F.col("_id"))).alias("_header_id"),
     )
-    # One row per file split: the unpartitioned window and the broadcast below
-    # hold the split list, which the driver holds for scheduling anyway.
-    in_order = Window.orderBy("_split")
-    header = F.first(F.col("_header") == F.col("_first")).over(
-        in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # From here on one row per file split, a list the driver holds for
+    # scheduling anyway: this bounds the unpartitioned window and the broadcast.
+    headed = (F.col("_start") == 0) & F.coalesce(F.col("_header_id") == F.col("_first"), F.lit(False))
+    same_hash = F.count("*").over(Window.partitionBy("_split"))
+    before = F.sum("_rows").over(
+        Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
     )
-    before = F.sum("_lines").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    offsets = splits.select(
-        "_split",
-        "_first",
-        (F.coalesce(before, F.lit(0)) + F.when(header, 0).otherwise(1)).alias("_offset"),
+    offsets = (
+        splits.withColumn("_skipped", headed.cast("int"))
+        .withColumn("_rows", F.col("_lines") - F.col("_skipped"))
+        .select(
+            F.when(same_hash == 1, F.col("_split"))
+            .otherwise(F.raise_error(F.lit("two file splits share a hash")).cast("bigint"))
+            .alias("_split"),
+            # The number of the split's first line; its header gets one less.
+            (F.coalesce(before, F.lit(0)) + 1 - F.col("_skipped")).alias("_number"),
+            (F.col("_first") + F.col("_skipped")).alias("_first_row"),
+            "_first",
+        )
     )
     return (
         located.join(F.broadcast(offsets), "_split")
-        .select("value", (F.col("_id") - F.col("_first") + F.col("_offset")).alias("line_number"))
-        .where("line_number > 0")
+        .where(F.col("_id") >= F.col("_first_row"))
+        .select("value", (F.col("_id") - F.col("_first") + F.col("_number")).alias("line_number"))
     )
 
 
 def read_source_log(spark: SparkSession, path: str, start_line: int = 0) -> DataFrame:
     """Source rows as text columns with ``line_number``, plain or ``.gz``.
 
+    ``path`` is a file, or a folder whose files in name order make up the log.
     Lines with another field count are dropped after numbering, so they leave
-    gaps. A ``.gz`` file is one split and is read by one task; store large logs
-    uncompressed or in a splittable codec. One file per call.
+    gaps. A ``.gz`` file is one split and is read by one task: store a large
+    log as several files, uncompressed or in a splittable codec.
     """
     fields = F.split("value", "\t", -1)
     return (

@@ -42,14 +42,18 @@ def record_safely(table: AppendTable, make_row: Callable[[], DataFrame], query_n
 
 
 class BatchMetricListener(StreamingQueryListener):
-    """Records the batches of a query whose sink is Spark's own, from its
-    progress reports, and its failure when it ends with one."""
+    """Records the batches of one run of a query whose sink is Spark's own, from
+    its progress reports, and its failure when it ends with one.
+
+    Add it right before starting the query: it follows the first run of that
+    name it sees begin, and leaves when that run ends.
+    """
 
     def __init__(self, spark: SparkSession, table: AppendTable, query_name: str):
         self.spark = spark
         self.table = table
         self.query_name = query_name
-        self._runs: set[str] = set()
+        self._run: str | None = None
         self._next_batch = 0
 
     def _record(self, *args, **kwargs) -> None:
@@ -58,12 +62,12 @@ class BatchMetricListener(StreamingQueryListener):
         )
 
     def onQueryStarted(self, event) -> None:
-        if event.name == self.query_name:
-            self._runs.add(str(event.runId))
+        if self._run is None and event.name == self.query_name:
+            self._run = str(event.runId)
 
     def onQueryProgress(self, event) -> None:
         progress = event.progress
-        if progress.name != self.query_name:
+        if str(progress.runId) != self._run:
             return
         self._next_batch = progress.batchId + 1
         took = timedelta(milliseconds=progress.durationMs.get("triggerExecution", 0))
@@ -73,8 +77,8 @@ class BatchMetricListener(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        if str(event.runId) not in self._runs:
+        if str(event.runId) != self._run:
             return
-        self._runs.discard(str(event.runId))
         if event.exception:
             self._record(self._next_batch, 0, timedelta(), status="failed", detail=event.exception)
+        self.spark.streams.removeListener(self)

@@ -63,7 +63,7 @@ if __name__ == "__main__":
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.001"
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = build_session("compare", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="8")
+    spark = build_session("compare", "local[8]", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions="8")
     spark.sparkContext.setLogLevel("ERROR")
     connection, oracle = connect(sf_dir), contract.oracle_sql()
     failed = 0
