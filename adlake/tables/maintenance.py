@@ -223,17 +223,17 @@ def maintain(
     orphan_age: timedelta = ORPHAN_AGE,
     dry_run: bool = False,
     as_of: datetime | None = None,
-) -> None:
-    """Runs one action, or all in order, on each table."""
+) -> list[tuple[str, str, object]]:
+    """Runs one action, or all in order, on each table. Returns what each did:
+    (table path, action, outcome)."""
     if action not in ACTIONS:
         raise ValueError(f"unknown action {action!r}")
     now = as_utc(as_of)
-    for table in tables:
-        if action in ("compact", "all"):
-            compact_files(table, target_bytes)
-        if action in ("delete-files", "all"):
-            fold_deltas(table, target_bytes)
-        if action in ("expire", "all"):
-            expire(table, now - retention, retain_last)
-        if action in ("orphan", "all"):
-            orphans(table, now - orphan_age, dry_run)
+    steps = {
+        "compact": lambda table: compact_files(table, target_bytes),
+        "delete-files": lambda table: fold_deltas(table, target_bytes),
+        "expire": lambda table: expire(table, now - retention, retain_last),
+        "orphan": lambda table: orphans(table, now - orphan_age, dry_run),
+    }
+    chosen = steps if action == "all" else {action: steps[action]}
+    return [(table.path, name, step(table)) for table in tables for name, step in chosen.items()]

@@ -1,14 +1,10 @@
-"""Arguments the jobs share."""
+"""Arguments the jobs share. Run a job from the repository root: python -m jobs.<name>."""
 
 from __future__ import annotations
 
 import argparse
-import os
-import sys
 from datetime import datetime
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
 
 def parser(description: str) -> argparse.ArgumentParser:
     args = argparse.ArgumentParser(description=description)

@@ -21,7 +21,7 @@ def main(argv=None) -> None:
     args = args.parse_args(argv)
 
     tables = Lake(build_session("maintenance"), args.root).upsert_tables()
-    maintain(
+    outcomes = maintain(
         [tables[name] for name in args.tables or tables],
         args.action,
         args.target_file_size_bytes,
@@ -30,6 +30,12 @@ def main(argv=None) -> None:
         timedelta(days=args.orphan_retention_days),
         args.dry_run,
     )
+    for path, action, outcome in outcomes:
+        print(path, action)
+        if action == "orphan":
+            outcome.show(truncate=False)
+        else:
+            print(outcome)
 
 
 if __name__ == "__main__":
