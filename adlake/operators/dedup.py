@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 MESSAGE_POSITION = ["kafka_timestamp", "kafka_partition", "kafka_offset"]
 
 
-def latest_per_key(df: DataFrame, key: str | list[str], order: str | list[str | Column]) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, key: str | list[str], order: str | Column | list[str | Column]
+) -> DataFrame:
     """The row with the highest ``order`` per key. Columns given by name sort
     descending, nulls last; a ``Column`` is used as it is."""
     keys = [key] if isinstance(key, str) else list(key)
-    order = [order] if isinstance(order, str) else list(order)
+    order = list(order) if isinstance(order, (list, tuple)) else [order]
     ranking = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in order]
     window = Window.partitionBy(*keys).orderBy(*ranking)
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
