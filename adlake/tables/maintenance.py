@@ -149,8 +149,7 @@ def expire(
         name for name in files.child_names(spark, table.commits_path)
         if name != "created" and files.exists(spark, f"{table.commits_path}/{name}/_SUCCESS")
     ]
-    # One row per retained commit.
-    records = sorted(table.commits().collect(), key=lambda r: r["commit"])
+    records = table.records()
     if not names or not records:
         return {"commits": 0, "folders": 0}
     cutoff_commit = int(cutoff.timestamp() * 1_000_000)

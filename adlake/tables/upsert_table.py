@@ -103,24 +103,31 @@ class UpsertTable:
     def date_dir(self, commit: int, day: date) -> str:
         return f"{self.commit_dir(commit)}/{self.date_column}={day.isoformat()}"
 
-    def commits(self) -> DataFrame:
-        """One row per retained commit."""
+    def _log(self) -> DataFrame:
+        """Commit records. A log roll-up interrupted before its clean-up leaves
+        a record twice."""
         if not files.exists(self.spark, self.commits_path):
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        # A log roll-up interrupted before its clean-up leaves a record twice.
         return (
             self.spark.read.schema(COMMIT_SCHEMA)
             .option("recursiveFileLookup", "true")
             .parquet(self.commits_path)
-            .dropDuplicates(["commit"])
         )
 
+    def commits(self) -> DataFrame:
+        """One row per retained commit."""
+        return self._log().dropDuplicates(["commit"])
+
+    def records(self, at: int | None = None) -> list:
+        """Retained commits in order, optionally up to commit number ``at``.
+        Expiry and folding bound their number; data sizes do not matter."""
+        log = self._log() if at is None else self._log().where(F.col("commit") <= at)
+        unique = {record["commit"]: record for record in log.collect()}
+        return [unique[commit] for commit in sorted(unique)]
+
     def state(self, at: int | None = None) -> LiveState:
         """The live commits, optionally as of commit number ``at``."""
-        log = self.commits()
-        if at is not None:
-            log = log.where(F.col("commit") <= at)
-        records = sorted(log.collect(), key=lambda r: r["commit"])
+        records = self.records(at)
         folded = {commit for record in records for commit in record["folded"]}
         owner = {day: record for record in records for day in record["dates"]}
         return LiveState(
