@@ -257,17 +257,13 @@ def raw_messages(spark, sf_dir):
     events = to_events(source_rows(spark, sf_dir), BASE_EPOCH)
     messages = to_raw_messages(events)
 
-    def text(name):
-        return F.get_json_object("value", f"$.{name}")
-
-    return messages.select(
-        "key",
-        text("event_id").alias("event_id"),
-        text("event_time").alias("event_time"),
-        text("source_timestamp").cast("bigint").alias("source_timestamp"),
-        text("uid").cast("bigint").alias("uid"),
-        text("cost").cast("double").alias("cost"),
-        text("cat9").cast("bigint").alias("cat9"),
+    fields = ["event_id", "event_time", "source_timestamp", "uid", "cost", "cat9"]
+    read = messages.select("key", F.json_tuple("value", *fields).alias(*fields))
+    return read.withColumns(
+        {
+            **{name: F.col(name).cast("bigint") for name in ("source_timestamp", "uid", "cat9")},
+            "cost": F.col("cost").cast("double"),
+        }
     )
 
 

@@ -13,6 +13,12 @@ HEADER = "\t".join(SOURCE_COLUMNS)
 TOP_N_LIMIT = 1_000_000
 LIMIT_BUCKET = 1_000_000
 
+# Up to this many file splits their offsets are broadcast (some 50 bytes each).
+BROADCAST_SPLITS = 1_000_000
+# A scan task reads at most this many files: Spark's split size over the cost
+# it assumes for opening a file, at their defaults, with room.
+SPLITS_PER_TASK = 64
+
 
 def with_line_number(lines: DataFrame) -> DataFrame:
     """Numbers the lines of a text log from 1, not counting header rows.
@@ -34,7 +40,7 @@ def with_line_number(lines: DataFrame) -> DataFrame:
         F.min(F.when(F.col("value") == HEADER, F.col("_id"))).alias("_header_id"),
     )
     # From here on one row per file split, a list the driver holds for
-    # scheduling anyway: this bounds the unpartitioned window and the broadcast.
+    # scheduling anyway; the unpartitioned window runs over that.
     headed = (F.col("_start") == 0) & F.coalesce(F.col("_header_id") == F.col("_first"), F.lit(False))
     same_hash = F.count("*").over(Window.partitionBy("_split"))
     before = F.sum("_rows").over(
@@ -53,8 +59,10 @@ def with_line_number(lines: DataFrame) -> DataFrame:
             "_first",
         )
     )
+    if lines.rdd.getNumPartitions() * SPLITS_PER_TASK <= BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
     return (
-        located.join(F.broadcast(offsets), "_split")
+        located.join(offsets, "_split")
         .where(F.col("_id") >= F.col("_first_row"))
         .select("value", (F.col("_id") - F.col("_first") + F.col("_number")).alias("line_number"))
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from adlake.functions.exprs import as_utc
 from adlake.sources.file_stats import file_stats
 from adlake.tables import files
-from adlake.tables.upsert_table import LiveState, UpsertTable
+from adlake.tables.upsert_table import COMMIT_SCHEMA, LiveState, UpsertTable, in_order
 
 TARGET_BYTES = 128 * 1024 * 1024
 GROUP_BYTES = 100 * 1024**3
@@ -145,27 +145,25 @@ def expire(
     """
     spark = table.spark
     cutoff = as_utc(older_than) if older_than else as_utc(None) - RETENTION
-    names = [
-        name for name in files.child_names(spark, table.commits_path)
-        if name != "created" and files.exists(spark, f"{table.commits_path}/{name}/_SUCCESS")
-    ]
-    records = table.records()
-    if not names or not records:
+    read = [r for r in table.records_with_files() if r["action"] != "create"]
+    records = in_order(read)
+    if not records:
         return {"commits": 0, "folders": 0}
     cutoff_commit = int(cutoff.timestamp() * 1_000_000)
     newest = [r["commit"] for r in records][-max(1, retain_last):]
     first_kept = min([r["commit"] for r in records if r["commit"] >= cutoff_commit] + newest)
     oldest = table.state(at=first_kept)
     kept = {r["commit"] for r in records if r["commit"] >= first_kept or r["commit"] in oldest.commits}
-    dropped = [r for r in records if r["commit"] not in kept and r["action"] != "create"]
-
-    rollup = f"rollup-{table.new_commit()}"
-    log = table.commits().where((F.col("commit").isin(sorted(kept))) & (F.col("action") != "create"))
-    log.coalesce(1).write.mode("errorifexists").parquet(f"{table.commits_path}/{rollup}")
-    # Deltas first: a base record must outlive the deltas it marks as folded.
-    by_kind = {str(r["commit"]): r["kind"] for r in records}
-    for name in sorted(names, key=lambda n: (n.startswith("rollup-"), by_kind.get(n) == "base")):
-        files.delete(spark, f"{table.commits_path}/{name}")
+    dropped = [r for r in records if r["commit"] not in kept]
+
+    # The roll-up is in place before the folders of the records read above go;
+    # records committed meanwhile are in neither. Deltas go first: the record
+    # that marks a delta as folded must outlive it.
+    rollup = spark.createDataFrame([tuple(r)[:-1] for r in records if r["commit"] in kept], COMMIT_SCHEMA)
+    rollup.coalesce(1).write.parquet(f"{table.commits_path}/rollup-{table.new_commit()}")
+    folder_kinds = {r["file"].rsplit("/", 1)[0]: r["kind"] for r in read}
+    for folder, _ in sorted(folder_kinds.items(), key=lambda f: ("/rollup-" in f[0], f[1] == "base")):
+        files.delete(spark, folder)
 
     folders = [table.commit_dir(r["commit"]) for r in dropped]
     for record in records:

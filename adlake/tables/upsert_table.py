@@ -70,6 +70,11 @@ class LiveState:
         return set(self.owners) | set(self.deltas)
 
 
+def in_order(records: list) -> list:
+    unique = {record["commit"]: record for record in records}
+    return [unique[commit] for commit in sorted(unique)]
+
+
 class UpsertTable:
     def __init__(
         self,
@@ -122,8 +127,11 @@ class UpsertTable:
         """Retained commits in order, optionally up to commit number ``at``.
         Expiry and folding bound their number; data sizes do not matter."""
         log = self._log() if at is None else self._log().where(F.col("commit") <= at)
-        unique = {record["commit"]: record for record in log.collect()}
-        return [unique[commit] for commit in sorted(unique)]
+        return in_order(log.collect())
+
+    def records_with_files(self) -> list:
+        """All commit records, repeated ones too, with the ``file`` each is in."""
+        return self._log().select("*", F.col("_metadata.file_path").alias("file")).collect()
 
     def state(self, at: int | None = None) -> LiveState:
         """The live commits, optionally as of commit number ``at``."""
