@@ -245,6 +245,7 @@ def run_health(lake: Lake, as_of: datetime | None = None) -> DataFrame:
     """Runs all checks as one job and appends their rows; returns them."""
     moment = as_utc(as_of)
     tagged = [tag_run(check, name, moment) for name, check in health_checks(lake, moment).items()]
-    rows = reduce(DataFrame.unionByName, tagged)
+    # One row per metric, so one file a run.
+    rows = reduce(DataFrame.unionByName, tagged).coalesce(1)
     append_rows(rows, lake.health_results)
     return lake.health_results.since(moment).where(F.col("run_ts") == F.lit(moment))

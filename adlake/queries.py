@@ -98,9 +98,10 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def message_feed(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
-    """Source rows as messages; with ``copies``, every tenth row comes again
-    later with its cost doubled."""
-    rows = source_rows(spark, sf_dir).withColumn("position", F.col("line_number"))
+    """Source rows as messages, spread like a topic's partitions; with
+    ``copies``, every tenth row comes again later with its cost doubled."""
+    rows = source_rows(spark, sf_dir).repartition(PARTITIONS, "line_number")
+    rows = rows.withColumn("position", F.col("line_number"))
     if copies:
         again = rows.where("line_number % 10 = 0").withColumns(
             {"cost": F.col("cost") * 2, "position": F.col("line_number") + COPY_SHIFT}

@@ -24,6 +24,17 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in _file_system(spark, path).listStatus(_path(spark, path))]
 
 
+def matching(spark: SparkSession, pattern: str) -> list:
+    """Statuses of the paths a glob names, sorted by path."""
+    return _file_system(spark, pattern).globStatus(_path(spark, pattern)) or []
+
+
+def last_name(spark: SparkSession, pattern: str) -> str | None:
+    """Name of the last path a glob names, in path order."""
+    found = matching(spark, pattern)
+    return found[len(found) - 1].getPath().getName() if len(found) else None
+
+
 def size_of(spark: SparkSession, path: str) -> int:
     """Bytes under a folder, without reading it."""
     if not exists(spark, path):

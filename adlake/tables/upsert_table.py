@@ -19,7 +19,7 @@ import time
 from dataclasses import dataclass, field, replace
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -156,10 +156,10 @@ class UpsertTable:
         return True
 
     def new_commit(self) -> int:
-        commit = time.time_ns() // 1000
-        while files.exists(self.spark, self.commit_dir(commit)):
-            commit += 1
-        return commit
+        """A number above every earlier one, even when the clock was set back.
+        Numbers have 16 digits until the year 2286, so names sort like them."""
+        last = files.last_name(self.spark, f"{self.data_path}/commit=*")
+        return max(time.time_ns() // 1000, int(last.split("=")[1]) + 1 if last else 0)
 
     def record(self, commit: int, kind: str, action: str, name: str | None = None, **details) -> None:
         """Publishes a commit whose data is completely written."""
@@ -249,10 +249,10 @@ class UpsertTable:
     def is_committed(self, query_id: str, batch_id: int) -> bool:
         if files.exists(self.spark, f"{self.commits_path}/{query_id}-{batch_id}/_SUCCESS"):
             return True
-        rolled = [n for n in files.child_names(self.spark, self.commits_path) if n.startswith("rollup-")]
-        if not rolled:
+        rolled = f"{self.commits_path}/rollup-*"
+        if not files.last_name(self.spark, rolled):
             return False
-        log = self.spark.read.schema(COMMIT_SCHEMA).parquet(*[f"{self.commits_path}/{n}" for n in rolled])
+        log = self.spark.read.schema(COMMIT_SCHEMA).parquet(rolled)
         match = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
         return not log.where(match).isEmpty()
 
@@ -275,9 +275,10 @@ class UpsertTable:
             if self.is_committed(query_id, batch_id):
                 return None
         commit = self.new_commit()
-        self.conform(source).write.mode("errorifexists").parquet(self.commit_dir(commit))
-        # Row counts come from the footers of what was written.
-        rows = self.spark.read.schema(self.schema).parquet(self.commit_dir(commit)).count()
+        written = Observation()
+        observed = self.conform(source).observe(written, F.count(F.lit(1)).alias("rows"))
+        observed.write.mode("errorifexists").parquet(self.commit_dir(commit))
+        rows = written.get["rows"]
         if rows == 0:
             files.delete(self.spark, self.commit_dir(commit))
             return 0

@@ -72,6 +72,13 @@ def test_upsert_latest_wins_and_may_move_dates(table):
     assert content(table.read(start=day(2), end=day(1))) == {}
 
 
+def test_later_upsert_wins_after_the_clock_was_set_back(table, monkeypatch):
+    put(table, {"a": (0, 1)})
+    monkeypatch.setattr("adlake.tables.upsert_table.time.time_ns", lambda: 1_000_000_000_000_000)
+    put(table, {"a": (0, 2)})
+    assert content(table.read()) == {"a": (0, 2)}
+
+
 def test_replayed_batch_is_skipped(table):
     assert put(table, {"a": (0, 1)}, "q", 0) == 1
     assert put(table, {"a": (0, 2)}, "q", 0) is None
