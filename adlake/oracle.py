@@ -181,7 +181,7 @@ def oracle() -> dict[str, str]:
         "campaign_daily_kpis": f"WITH {AD}, {HOURLY}, {DAILY} SELECT {DAILY_OUT} FROM daily",
         "gold_hourly_range": f"""WITH {AD}, {HOURLY} SELECT {HOURLY_OUT} FROM hourly
             WHERE event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'""",
-        "hourly_unique_user_counts": f"""WITH {AD} SELECT {DATE}, event_hour, campaign_id,
+        "hourly_unique_users": f"""WITH {AD} SELECT {DATE}, event_hour, campaign_id,
             CAST(count(DISTINCT user_id) AS BIGINT) AS unique_users_exact
             FROM ad GROUP BY ad.event_date, event_hour, campaign_id""",
         "unique_users_estimate": f"""WITH {AD} SELECT {DATE}, CAST(count(DISTINCT user_id) AS BIGINT) AS users,
@@ -271,7 +271,7 @@ def oracle() -> dict[str, str]:
         "report_streaming_batches": f"""WITH {METRICS} SELECT strftime(metric_ts, {MICROS}) AS metric_ts,
             query_name, batch_id, row_count, batch_duration_ms, status, detail FROM metrics
             WHERE metrics.metric_ts >= TIMESTAMP '2024-01-30 18:00:00'""",
-        "latest_per_user": """SELECT user_id, event_id, event_type, round(value + 1e-9, 6) AS value FROM events
+        "latest_per_key": """SELECT user_id, event_id, event_type, round(value + 1e-9, 6) AS value FROM events
             QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
         "report_health_latest": f"""SELECT metric_name, round(value + 1e-9, 6) AS metric_value, severity, props AS details,
             strftime(run_ts, {MICROS}) AS run_ts
@@ -316,7 +316,7 @@ def oracle() -> dict[str, str]:
         "health_manifest_count": f"""WITH {FILES} SELECT 'silver_manifest_count' AS metric_name,
             CAST(count(*) AS DOUBLE) AS metric_value,
             CASE WHEN count(*) > 1000 THEN 'WARN' ELSE 'OK' END AS severity FROM files""",
-        "orphan_file_listing": f"""WITH {FILES} SELECT path, length FROM files
+        "orphan_files": f"""WITH {FILES} SELECT path, length FROM files
             WHERE commit >= 40 AND modified < TIMESTAMP '1997-01-01'""",
         "scaling_lag": f"WITH {OFFSETS} SELECT {LAG} AS lag FROM offsets",
         "scaling_duration": f"""WITH {METRICS} SELECT CAST(coalesce(max(batch_duration_ms), 0) AS BIGINT) AS duration_ms

@@ -22,7 +22,24 @@ from adlake.tables.lake import Lake
 from adlake.tables.maintenance import table_files
 
 MIB = 1024 * 1024
-WEEK = timedelta(days=7)
+
+# What each check looks back over and grades by. All limits are
+# strict: a value on the limit does not exceed it.
+SILVER_AGE_MINUTES = {"warn": 10, "critical": 30}
+GOLD_AGE_MINUTES = {"warn": 90, "critical": 180}
+AGE_OF_NOTHING = 999999.0
+EVENT_WINDOW = timedelta(days=7)
+LOW_DAY_SHARE = 0.3  # of the mean daily rows
+LOW_AVG_FILE = 16 * MIB
+SMALL_FILE = 32 * MIB
+SMALL_FILE_SHARE = 0.7
+SNAPSHOT_WINDOW = timedelta(hours=24)
+MANY_SNAPSHOTS = 300
+MANY_MANIFESTS = 1000
+BATCH_WINDOW = timedelta(minutes=15)
+BATCH_MS = {"warn": 60000, "critical": 120000}
+MANY_DELTA_FILES = 1000
+DELTA_FILE_SHARE = 0.5  # of the data files, at least one
 
 # How file kinds are named, here and in common table formats.
 DATA_CONTENT = ("0", "DATA")
@@ -52,7 +69,7 @@ def _text(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-def _freshness(df: DataFrame, column: str, name: str, warn: int, critical: int, as_of) -> DataFrame:
+def _freshness(df: DataFrame, column: str, name: str, limits: dict[str, int], as_of) -> DataFrame:
     stats = df.agg(F.max(column).alias("latest"))
     seconds = F.unix_timestamp(timestamp_literal(as_of)) - F.unix_timestamp("latest")
     stats = stats.withColumn("minutes", F.round(seconds / 60, 6))
@@ -60,23 +77,23 @@ def _freshness(df: DataFrame, column: str, name: str, warn: int, critical: int,
     return _result(
         stats,
         name,
-        F.coalesce(minutes, F.lit(999999.0)),
-        _graded(F.col("latest").isNull() | (minutes > critical), minutes > warn),
+        F.coalesce(minutes, F.lit(AGE_OF_NOTHING)),
+        _graded(F.col("latest").isNull() | (minutes > limits["critical"]), minutes > limits["warn"]),
         _text(f"max_{column}=", F.col("latest")),
     )
 
 
 def silver_freshness(silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    return _freshness(silver, "event_time", "silver_freshness_minutes", 10, 30, as_of)
+    return _freshness(silver, "event_time", "silver_freshness_minutes", SILVER_AGE_MINUTES, as_of)
 
 
 def gold_freshness(hourly: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    return _freshness(hourly, "gold_updated_at", "gold_freshness_minutes", 90, 180, as_of)
+    return _freshness(hourly, "gold_updated_at", "gold_freshness_minutes", GOLD_AGE_MINUTES, as_of)
 
 
 def daily_volume(silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Rows per event date of the last seven days."""
-    return trailing(silver, "event_date", WEEK, as_of).groupBy("event_date").agg(F.count("*").alias("rows"))
+    return trailing(silver, "event_date", EVENT_WINDOW, as_of).groupBy("event_date").agg(F.count("*").alias("rows"))
 
 
 def daily_row_count(silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
@@ -90,7 +107,7 @@ def daily_row_count(silver: DataFrame, as_of: datetime | None = None) -> DataFra
         stats,
         "silver_daily_row_count_min_7d",
         F.coalesce("low", F.lit(0)),
-        _graded(F.col("days") == 0, F.col("low") < F.col("mean") * 0.3),
+        _graded(F.col("days") == 0, F.col("low") < F.col("mean") * LOW_DAY_SHARE),
         _text(
             "active_days=", F.col("days"), ", min_rows=", F.col("low"),
             ", avg_rows=", F.col("mean").cast("bigint"), ", max_rows=", F.col("high"),
@@ -109,7 +126,7 @@ def avg_file_size(files: DataFrame) -> DataFrame:
         stats,
         "silver_avg_file_size_mb",
         megabytes,
-        _graded(F.col("files") == 0, F.col("mean") < 16 * MIB),
+        _graded(F.col("files") == 0, F.col("mean") < LOW_AVG_FILE),
         _text("files=", F.col("files"), ", avg_file_size_mb=", megabytes),
     )
 
@@ -117,27 +134,27 @@ def avg_file_size(files: DataFrame) -> DataFrame:
 def small_file_ratio(files: DataFrame) -> DataFrame:
     stats = _data_files(files).agg(
         F.count("*").alias("files"),
-        F.sum(F.when(F.col("length") < 32 * MIB, 1).otherwise(0)).alias("small"),
+        F.sum(F.when(F.col("length") < SMALL_FILE, 1).otherwise(0)).alias("small"),
     )
     ratio = F.col("small") / F.nullif(F.col("files"), F.lit(0))
     return _result(
         stats,
         "silver_small_file_ratio",
         F.coalesce(ratio, F.lit(0.0)),
-        _graded(F.col("files") == 0, ratio > 0.7),
+        _graded(F.col("files") == 0, ratio > SMALL_FILE_SHARE),
         _text("small_files=", F.col("small"), ", total_files=", F.col("files")),
     )
 
 
 def snapshot_growth(commits: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    stats = trailing(commits, "committed_at", timedelta(hours=24), as_of).agg(
+    stats = trailing(commits, "committed_at", SNAPSHOT_WINDOW, as_of).agg(
         F.count("*").alias("recent"), F.max("commit").alias("latest")
     )
     return _result(
         stats,
         "silver_snapshots_last_24h",
         F.col("recent"),
-        _graded(None, F.col("recent") > 300),
+        _graded(None, F.col("recent") > MANY_SNAPSHOTS),
         _text("latest_snapshot_id=", F.col("latest"), ", snapshots_24h=", F.col("recent")),
     )
 
@@ -149,7 +166,7 @@ def commit_record_count(records: DataFrame) -> DataFrame:
         stats,
         "silver_manifest_count",
         F.col("records"),
-        _graded(None, F.col("records") > 1000),
+        _graded(None, F.col("records") > MANY_MANIFESTS),
         _text(
             "manifests=", F.col("records"),
             ", avg_manifest_length_mb=", F.coalesce(F.col("mean") / MIB, F.lit(0.0)),
@@ -158,7 +175,7 @@ def commit_record_count(records: DataFrame) -> DataFrame:
 
 
 def duplicate_event_ids(silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    recent = trailing(silver, "event_date", WEEK, as_of)
+    recent = trailing(silver, "event_date", EVENT_WINDOW, as_of)
     stats = duplicate_keys(recent, "event_id").agg(F.count("*").alias("duplicates"))
     return _result(
         stats,
@@ -170,7 +187,7 @@ def duplicate_event_ids(silver: DataFrame, as_of: datetime | None = None) -> Dat
 
 
 def batch_duration(metrics: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    stats = trailing(metrics, "metric_ts", timedelta(minutes=15), as_of).agg(
+    stats = trailing(metrics, "metric_ts", BATCH_WINDOW, as_of).agg(
         F.count("*").alias("batches"),
         F.max("batch_duration_ms").alias("longest"),
         F.sum(F.when(F.col("status") != "success", 1).otherwise(0)).alias("failed"),
@@ -179,7 +196,7 @@ def batch_duration(metrics: DataFrame, as_of: datetime | None = None) -> DataFra
         stats,
         "streaming_max_batch_duration_ms_15m",
         F.coalesce("longest", F.lit(0)),
-        _graded(F.col("longest") > 120000, F.col("longest") > 60000),
+        _graded(F.col("longest") > BATCH_MS["critical"], F.col("longest") > BATCH_MS["warn"]),
         _text("recent_batches=", F.col("batches"), ", failed_batches=", F.col("failed")),
     )
 
@@ -202,7 +219,7 @@ def delta_file_count(files: DataFrame, name: str = "silver_delete_file_count") -
         stats,
         name,
         deltas,
-        _graded(deltas > 1000, deltas > F.greatest(F.col("data"), F.lit(1)) * 0.5),
+        _graded(deltas > MANY_DELTA_FILES, deltas > F.greatest(F.col("data"), F.lit(1)) * DELTA_FILE_SHARE),
         _text(
             "delete_files=", deltas, ", data_files=", F.col("data"),
             ", delete_file_mb=", F.col("delta_bytes") / MIB,
@@ -219,7 +236,7 @@ def gold_delta_file_count(hourly_files: DataFrame, daily_files: DataFrame) -> Da
 def health_checks(lake: Lake, as_of: datetime) -> dict[str, DataFrame]:
     """Every check on the lake's tables, by the name its rows are tagged with."""
     silver = lake.silver
-    recent = silver.read(start=as_of.date() - WEEK)
+    recent = silver.read(start=as_of.date() - EVENT_WINDOW)
     # Event dates follow event times, so the newest event is among the recent
     # dates unless these are empty; only then is the whole table read.
     newest = recent if not recent.isEmpty() else silver.read()
@@ -234,7 +251,7 @@ def health_checks(lake: Lake, as_of: datetime) -> dict[str, DataFrame]:
         "manifest_count": commit_record_count(file_stats(lake.spark, silver.commits_path)),
         "duplicate_event_id": duplicate_event_ids(recent, as_of),
         "streaming_batch_duration": batch_duration(
-            lake.batch_metrics.since(as_of - timedelta(minutes=15)), as_of
+            lake.batch_metrics.since(as_of - BATCH_WINDOW), as_of
         ),
         "silver_delete_file_count": delta_file_count(silver_files),
         "gold_delete_file_count": gold_delta_file_count(table_files(lake.hourly), table_files(lake.daily)),

@@ -69,12 +69,15 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
+    """Registers a query under its function's name, less the ``_query`` that
+    keeps it apart from the operator it runs."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return plain(function(spark, sf_dir))
 
-    run.__name__ = function.__name__
+    run.__name__ = function.__name__.removesuffix("_query")
     run.__doc__ = function.__doc__
-    REGISTRY[function.__name__] = run
+    REGISTRY[run.__name__] = run
     return function
 
 
@@ -163,7 +166,7 @@ def gold_hourly_range(spark, sf_dir):
 
 
 @query
-def hourly_unique_user_counts(spark, sf_dir):
+def hourly_unique_users_query(spark, sf_dir):
     return hourly_unique_users(ad_events(spark, sf_dir))
 
 
@@ -550,7 +553,7 @@ def report_streaming_batches(spark, sf_dir):
 
 
 @query
-def latest_per_user(spark, sf_dir):
+def latest_per_key_query(spark, sf_dir):
     events = read_table(spark, sf_dir, "events")
     return latest_per_key(events, "user_id", ["ts", "event_id"]).select("user_id", "event_id", "event_type", "value")
 
@@ -646,7 +649,7 @@ def health_run(spark, sf_dir):
 
 
 @query
-def orphan_file_listing(spark, sf_dir):
+def orphan_files_query(spark, sf_dir):
     listing = file_stats_frame(spark, sf_dir)
     commits = read_table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 50).alias("commit"))
     known = commits.where("commit < 40").distinct()
