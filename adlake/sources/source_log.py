@@ -9,9 +9,8 @@ from adlake.schemas import SOURCE_COLUMNS
 
 HEADER = "\t".join(SOURCE_COLUMNS)
 
-# Row counts up to this size are cut by a plain top-n; a task holds them all.
-TOP_N_LIMIT = 1_000_000
-LIMIT_BUCKET = 1_000_000
+# Lines per range when looking for the n-th row.
+LIMIT_RANGE = 1_000_000
 
 # Up to this many file splits their offsets are broadcast (some 50 bytes each).
 BROADCAST_SPLITS = 1_000_000
@@ -73,7 +72,7 @@ def read_source_log(spark: SparkSession, path: str, start_line: int = 0) -> Data
 
     ``path`` is a file, or a folder whose files in name order make up the log.
     Lines with another field count are dropped after numbering, so they leave
-    gaps. A ``.gz`` file is one split and is read by one task: store a large
+    gaps. Quotes have no meaning in the log. A ``.gz`` file is one split and is read by one task: store a large
     log as several files, uncompressed or in a splittable codec.
     """
     fields = F.split("value", "\t", -1)
@@ -89,26 +88,19 @@ def read_source_log(spark: SparkSession, path: str, start_line: int = 0) -> Data
 def limit_events(df: DataFrame, n: int = 0) -> DataFrame:
     """The first ``n`` rows by line number; 0 means all.
 
-    Small ``n`` is a top-n. Beyond that, whole ranges of lines are kept or
-    dropped by their running count, and only the range where ``n`` falls is
-    ranked, so no task ever holds ``n`` rows.
+    A top-n would send up to ``n`` rows of every task to one. Instead ranges of
+    lines are kept or dropped whole by their running row count, and only the
+    range where the ``n``-th row falls is ranked.
     """
     if not n:
         return df
-    if n <= TOP_N_LIMIT:
-        return df.orderBy("line_number").limit(n)
-    ranged = df.withColumn("_range", F.floor(F.col("line_number") / LIMIT_BUCKET))
+    ranged = df.withColumn("_range", F.floor(F.col("line_number") / LIMIT_RANGE))
     counts = ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
-    # One row per million lines.
-    running = Window.orderBy("_range")
-    bounds = counts.select("_range", (F.sum("_rows").over(running) - F.col("_rows")).alias("_before"), "_rows")
-    bounds = bounds.where(F.col("_before") < n)
+    # One row per range, a millionth of the log, so one task and a broadcast do.
+    before = F.sum("_rows").over(Window.orderBy("_range")) - F.col("_rows")
+    bounds = counts.select("_range", "_rows", before.alias("_before")).where(F.col("_before") < n)
     kept = ranged.join(F.broadcast(bounds), "_range")
-    whole = kept.where(F.col("_before") + F.col("_rows") <= n)
+    fits = F.col("_before") + F.col("_rows") <= n
     rank = F.row_number().over(Window.partitionBy("_range").orderBy("line_number"))
-    cut = (
-        kept.where(F.col("_before") + F.col("_rows") > n)
-        .withColumn("_rank", rank)
-        .where(F.col("_rank") <= n - F.col("_before"))
-    )
-    return whole.select(*df.columns).unionByName(cut.select(*df.columns))
+    cut = kept.where(~fits).withColumn("_rank", rank).where(F.col("_rank") <= n - F.col("_before"))
+    return kept.where(fits).select(*df.columns).unionByName(cut.select(*df.columns))

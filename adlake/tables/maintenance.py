@@ -122,15 +122,10 @@ def fold_deltas(table: UpsertTable, target_bytes: int = TARGET_BYTES) -> int | N
     return table.write_base(table.view(state, dates), state, dates, "fold", counts, folded=state.deltas)
 
 
-def replace_dates(
-    table: UpsertTable, rows: DataFrame, dates: Iterable[date], target_bytes: int = TARGET_BYTES
-) -> int:
+def replace_dates(table: UpsertTable, rows: DataFrame, dates: Iterable[date]) -> int:
     """Makes ``rows`` the whole content of ``dates``; keys gone from them disappear."""
-    fold_deltas(table, target_bytes)
-    state = table.state()
-    dates = set(dates)
-    counts = _file_counts(_bytes_per_date(table, state, dates), target_bytes)
-    return table.write_base(rows, state, dates, "replace", counts)
+    fold_deltas(table)
+    return table.write_base(rows, table.state(), set(dates), "replace")
 
 
 def expire(

@@ -285,6 +285,23 @@ class UpsertTable:
         self.record(commit, "delta", action, name=name, query_id=query_id, batch_id=batch_id)
         return rows
 
+    def _spread(self, rows: DataFrame, files_per_date: dict[date, int] | None) -> DataFrame:
+        """Rows in partitions of about one file each, a large date in several.
+
+        With known file counts, a date is cut by key hash. Without them AQE
+        cuts and joins partitions by the sizes it sees.
+        """
+        if files_per_date is None:
+            return rows.hint("rebalance", self.date_column)
+        # One row per date.
+        counts = self.spark.createDataFrame(list(files_per_date.items()), f"{self.date_column} date, _files int")
+        slot = F.pmod(F.xxhash64(*self.keys), F.coalesce("_files", F.lit(1)))
+        return (
+            rows.join(F.broadcast(counts), self.date_column, "left")
+            .withColumn("_slot", slot)
+            .repartition(max(1, sum(files_per_date.values())), self.date_column, "_slot")
+        )
+
     def write_base(
         self,
         rows: DataFrame,
@@ -294,23 +311,13 @@ class UpsertTable:
         files_per_date: dict[date, int] | None = None,
         folded: tuple[int, ...] = (),
     ) -> int:
-        """Commits ``rows`` as the whole content of ``dates``.
-
-        Each date is spread over its number of files by key hash, so one large
-        date is not one task; rows are clustered inside each file.
-        """
-        counts = {day: max(1, (files_per_date or {}).get(day, 1)) for day in dates}
+        """Commits ``rows`` as the whole content of ``dates``; rows are
+        clustered inside each file."""
         commit = self.new_commit()
-        if counts:
-            width = self.spark.createDataFrame(
-                [(day, n) for day, n in counts.items()], f"{self.date_column} date, _files int"
-            )
-            slot = F.pmod(F.xxhash64(*self.keys), F.coalesce("_files", F.lit(1)))
-            # `width` has one row per date.
-            spread = self.conform(rows).join(F.broadcast(width), self.date_column, "left").withColumn("_slot", slot)
+        if dates:
             order = [self.date_column] + ([self.cluster_by] if self.cluster_by else [])
             (
-                spread.repartition(sum(counts.values()), self.date_column, "_slot")
+                self._spread(self.conform(rows), files_per_date)
                 .sortWithinPartitions(*order)
                 .select(*self.schema.names)
                 .write.mode("errorifexists")

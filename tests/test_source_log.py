@@ -88,12 +88,11 @@ def test_coerce_quarantines_with_a_reason(spark, tmp_path):
     assert "abc" in bad.where("line_number = 2").first()["source_row"]
 
 
-@pytest.mark.parametrize("n", [0, 1, 7, 40, 41, 100, 1000])
-@pytest.mark.parametrize("top_n", [0, 1_000_000])
-def test_limit(spark, monkeypatch, n, top_n):
-    """The ranged form against the plain one, over numbers with gaps."""
-    monkeypatch.setattr(source_log, "TOP_N_LIMIT", top_n)
-    monkeypatch.setattr(source_log, "LIMIT_BUCKET", 16)
+@pytest.mark.parametrize("n", [0, 1, 7, 10, 11, 40, 99, 100, 1000])
+@pytest.mark.parametrize("width", [16, 1_000_000])
+def test_limit(spark, monkeypatch, n, width):
+    """Over numbers with gaps, in many ranges and in one."""
+    monkeypatch.setattr(source_log, "LIMIT_RANGE", width)
     kept = [i for i in range(1, 150) if i % 3]
     frame = spark.createDataFrame([(i,) for i in kept], "line_number bigint")
     assert numbers(limit_events(frame, n)) == (kept[:n] if n else kept)

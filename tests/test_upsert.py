@@ -76,3 +76,13 @@ def test_duplicate_keys(spark, rows):
     data = frame(spark, [(1, "a", 1), (1, "b", 1), (2, "a", 1)])
     assert rows(duplicate_keys(data, "k")) == [(1, 2)]
     assert rows(duplicate_keys(data, ["k", "day"])) == []
+
+
+def test_a_key_with_a_third_of_all_rows(spark):
+    rows = spark.range(0, 30000, 1, 8).selectExpr(
+        "IF(id % 3 = 0, 0, id) AS k", "CAST(id AS STRING) AS day", "id AS v"
+    )
+    got = latest_per_key(rows, "k", "v")
+    assert got.count() == 20001
+    assert got.where("k = 0").first()["v"] == 29997
+    assert duplicate_keys(rows, "k").first()["rows"] == 10000

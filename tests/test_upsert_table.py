@@ -231,6 +231,20 @@ def test_replace_dates(table, spark):
         replace_dates(table, fresh, [day(2)])
 
 
+def test_large_replaced_date_is_rebalanced(table, spark):
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20000")
+    try:
+        rows = spark.range(0, 20000, 1, 8).selectExpr(
+            "sha2(string(id), 256) AS event_id", "DATE'2024-01-02' AS event_date", "id AS campaign_id", "id AS v"
+        )
+        replace_dates(table, rows, [day(1)])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert table_files(table).count() > 3
+    assert table.read().count() == table.read().select("event_id").distinct().count() == 20000
+
+
 def test_replaced_date_stays_empty_after_expiry(table, spark):
     put(table, {"a": (0, 1), "b": (1, 1)})
     fold_deltas(table)
