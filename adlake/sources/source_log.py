@@ -88,19 +88,23 @@ def read_source_log(spark: SparkSession, path: str, start_line: int = 0) -> Data
 def limit_events(df: DataFrame, n: int = 0) -> DataFrame:
     """The first ``n`` rows by line number; 0 means all.
 
-    A top-n would send up to ``n`` rows of every task to one. Instead ranges of
-    lines are kept or dropped whole by their running row count, and only the
-    range where the ``n``-th row falls is ranked.
+    A top-n would send up to ``n`` rows of every task to one. Instead the line
+    of the ``n``-th row is looked up, first by the running row count of ranges
+    of lines, then by rank in the one range it falls in; rows up to it pass.
     """
     if not n:
         return df
-    ranged = df.withColumn("_range", F.floor(F.col("line_number") / LIMIT_RANGE))
+    ranged = df.select("line_number", F.floor(F.col("line_number") / LIMIT_RANGE).alias("_range"))
     counts = ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
-    # One row per range, a millionth of the log, so one task and a broadcast do.
+    # One row per range, a millionth of the log, so one task does.
     before = F.sum("_rows").over(Window.orderBy("_range")) - F.col("_rows")
-    bounds = counts.select("_range", "_rows", before.alias("_before")).where(F.col("_before") < n)
-    kept = ranged.join(F.broadcast(bounds), "_range")
-    fits = F.col("_before") + F.col("_rows") <= n
+    bounds = counts.select("_range", "_rows", before.alias("_before"))
+    bounds = bounds.where((F.col("_before") < n) & (F.col("_before") + F.col("_rows") >= n))
     rank = F.row_number().over(Window.partitionBy("_range").orderBy("line_number"))
-    cut = kept.where(~fits).withColumn("_rank", rank).where(F.col("_rank") <= n - F.col("_before"))
-    return kept.where(fits).select(*df.columns).unionByName(cut.select(*df.columns))
+    last = (
+        ranged.join(F.broadcast(bounds), "_range")  # at most one row
+        .withColumn("_rank", rank)
+        .where(F.col("_rank") == n - F.col("_before"))
+        .select("line_number")
+    )
+    return df.where(F.coalesce(F.col("line_number") <= last.scalar(), F.lit(True)))
