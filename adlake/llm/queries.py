@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import bpe, language_id, sharding, topk_search, toxicity
+from adlake.llm import bpe, decontamination, jaccard_join, language_id, licenses, line_dedup, sharding, topk_search, toxicity
 from adlake.llm.shared import of_hash, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,12 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.exact_top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines kept and removed; the kept text as its MD5."""
+    found = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = of_hash("doc_id", 4, 2)
     docs = read_table(spark, sf_dir, "documents")
@@ -36,10 +42,28 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of each document and the known sentences they come from."""
+    found = licenses.scan_licences(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licences", ",").alias("licences"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=8)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(read_table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in each document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.match_items(docs, read_table(spark, sf_dir, "benchmark"))
+    items = F.transform("matched_items", lambda item: item.cast("string"))
+    return found.select("doc_id", (F.size("matched_items") > 0).alias("contaminated"), F.array_join(items, ",").alias("item_ids"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -47,7 +71,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    function.__name__: function for function in (op1_topk_search, op3_language_id, op5_toxicity, op7_sharding, op10_bpe)
+    function.__name__: function
+    for function in (
+        op1_topk_search,
+        op2_line_dedup,
+        op3_language_id,
+        op5_toxicity,
+        op6_licenses,
+        op7_sharding,
+        op8_jaccard_join,
+        op9_decontamination,
+        op10_bpe,
+    )
 }
 
 ORACLES: dict[str, str] = {
@@ -63,4 +98,21 @@ ORACLES: dict[str, str] = {
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op2_line_dedup": """
+        WITH l AS (
+          SELECT doc_id, string_split(text, chr(10)) AS raw,
+            list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))) AS lines
+          FROM documents WHERE text IS NOT NULL),
+        w AS (
+          SELECT doc_id, i AS pos, lines[i] || chr(10) || lines[i + 1] || chr(10) || lines[i + 2] AS win
+          FROM (SELECT doc_id, lines, unnest(range(1, len(lines) - 1)) AS i FROM l)),
+        r AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) AS nth FROM w WHERE win <> chr(10) || chr(10)),
+        c AS (SELECT DISTINCT doc_id, pos + step AS pos FROM r, (SELECT unnest([0, 1, 2]) AS step) WHERE nth > 1),
+        k AS (
+          SELECT doc_id, list(pos) AS gone FROM c GROUP BY doc_id)
+        SELECT d.doc_id, CAST(coalesce(len(l.raw), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(k.gone), 0) AS BIGINT) AS n_removed,
+          md5(CASE WHEN k.gone IS NULL THEN d.text ELSE array_to_string(list_transform(
+            list_filter(range(1, len(l.raw) + 1), lambda i: NOT list_contains(k.gone, i)), lambda i: l.raw[i]), chr(10)) END) AS kept_md5
+        FROM documents d LEFT JOIN l ON l.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id
+    """,
 }
