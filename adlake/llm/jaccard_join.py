@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.llm.components import components
-from adlake.llm.shared import chunks, mix64, stored, utf8
+from adlake.llm.shared import chunks, few, mix64, stored, substring_hashes, utf8
 
 WORDS = 5
 # Similarity of at least 3/4: the overlap is at least 3/7 of both sizes.
@@ -32,21 +32,10 @@ GROUP = 16  # sets of a token that meet at once; more wait for the second round
 MOST_HOT = 1 << 20  # hot tokens that are broadcast (16 MB)
 TILE = 2048
 BLOCK_BYTES = 1 << 20
-BROADCAST_ROWS = 1_000_000  # of ids (8 MB); beyond, a shuffle join
 SEEN_SETS = 200_000
-RADIX = np.uint64(0x9E3779B97F4A7C15)
-INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 PLACE = np.array([0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-_powers: list[np.ndarray] = []
-
-
-def _radix_powers(length: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _powers or len(_powers[0]) < length:
-        size = max(length, BLOCK_BYTES * 2)
-        _powers[:] = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, base)])) for base in (RADIX, INVERSE)]
-    return _powers[0], _powers[1]
 
 
 def word_hashes(text: bytes) -> np.ndarray:
@@ -58,10 +47,7 @@ def word_hashes(text: bytes) -> np.ndarray:
     out = np.empty(len(starts), np.uint64)
     for part in chunks(ends - starts, BLOCK_BYTES):
         low, high = starts[part.start], ends[part.stop - 1]
-        powers, inverse = _radix_powers(high - low + 1)
-        sums = np.concatenate([[np.uint64(0)], np.cumsum((flat[low:high].astype(np.uint64) + np.uint64(1)) * powers[: high - low])])
-        s, e = starts[part] - low, ends[part] - low
-        out[part] = (sums[e] - sums[s]) * inverse[s]
+        out[part] = substring_hashes(flat[low:high], starts[part] - low, ends[part] - low)
     return mix64(out)
 
 
@@ -319,11 +305,6 @@ def _intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def _few(ids: DataFrame) -> DataFrame:
-    """Marked for broadcast where few enough; a shuffle join otherwise."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-
-
 def _check(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) of sets that link, by bitmaps and then by their texts."""
     for end in ("a", "b"):
@@ -332,7 +313,7 @@ def _check(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     likely = stored(pairs.mapInArrow(_bitmaps_pass, "a long, b long"), "pairs")
     ends = likely.select(F.col("a").alias("sid")).union(likely.select(F.col("b").alias("sid"))).distinct()
     wanted = stored(ends.join(sets.select("sid", "doc_id"), "sid"), "ends")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(_few(wanted), "doc_id").select("sid", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(few(wanted), "doc_id").select("sid", "text")
     texts = stored(texts.dropDuplicates(["sid"]), "texts")
     for end in ("a", "b"):
         likely = likely.join(texts.select(F.col("sid").alias(end), F.col("text").alias(f"text_{end}")), end)
@@ -436,4 +417,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
     with a null doc_id and rows without shingles stay. Columns pass through.
     """
     found = link_components(docs).where("doc_id IS NOT NULL AND doc_id != component_id").select("doc_id").distinct()
-    return docs.join(_few(stored(found, "near-copies")), "doc_id", "left_anti").select(*[F.col(f"`{name}`") for name in docs.columns])
+    return docs.join(few(stored(found, "near-copies")), "doc_id", "left_anti").select(*[F.col(f"`{name}`") for name in docs.columns])

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import bpe, decontamination, jaccard_join, language_id, licenses, line_dedup, sharding, topk_search, toxicity
+from adlake.llm import bpe, decontamination, jaccard_join, language_id, licenses, line_dedup, sharding, suffix_dedup, topk_search, toxicity
 from adlake.llm.shared import of_hash, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_bytes(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = of_hash("doc_id", 5, 0)
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -76,6 +80,7 @@ QUERIES: dict[str, Query] = {
         op1_topk_search,
         op2_line_dedup,
         op3_language_id,
+        op4_suffix_dedup,
         op5_toxicity,
         op6_licenses,
         op7_sharding,

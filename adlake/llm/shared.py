@@ -14,6 +14,9 @@ from adlake.session import scratch_dir
 # Stands for a null document id in join keys; only rows whose text is the same
 # as well could be mistaken for one another.
 NO_ID = -(2**63)
+BROADCAST_ROWS = 1_000_000  # of ids: some 16 MB
+RADIX = 0x9E3779B97F4A7C15
+_powers: list[np.ndarray] = []
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +30,11 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.parquet(folder)
 
 
+def few(ids: DataFrame) -> DataFrame:
+    """Marked for broadcast where few enough; a shuffle join otherwise."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
 def row_key() -> list[Column]:
     """Key columns of a document row: its id and a hash of its text.
 
@@ -97,3 +105,19 @@ def mix64(values: np.ndarray) -> np.ndarray:
         values ^= values >> np.uint64(shift)
         values *= np.uint64(factor)
     return values ^ (values >> np.uint64(31))
+
+
+def radix_powers(length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd radix and of its inverse, modulo 2 to the 64."""
+    if not _powers or len(_powers[0]) < length:
+        size = max(length, 1 << 21)
+        _powers[:] = [np.cumprod(np.append(np.uint64(1), np.full(size, base, np.uint64))) for base in (RADIX, pow(RADIX, -1, 1 << 64))]
+    return _powers[0], _powers[1]
+
+
+def substring_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A polynomial of the bytes of each substring, not yet mixed."""
+    powers, inverse = radix_powers(len(flat) + 1)
+    sums = np.zeros(len(flat) + 1, np.uint64)
+    np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * powers[: len(flat)], out=sums[1:])
+    return (sums[ends] - sums[starts]) * inverse[starts]
