@@ -95,8 +95,10 @@ class BytePairCodec:
             bit = bits & -bits
             rank = (word << LEVEL_SHIFT) | (bit.bit_length() - 1)
             bucket = buckets[rank]
-            at = heappop(bucket)
-            if not bucket:
+            if len(bucket) > 1:
+                at = heappop(bucket)
+            else:
+                at = bucket.pop()
                 low[word] = bits ^ bit
                 if bits == bit:
                     high &= high - 1
@@ -105,21 +107,30 @@ class BytePairCodec:
             gone = following[at]
             after = following[gone]
             ids[at], following[at] = rank, after
-            pair_rank[at] = pair_rank[gone] = None
-            changed = []
+            pair_rank[gone] = None
+            new = None
             if after < end:
                 preceding[after] = at
-                changed.append((at, merges((rank, ids[after]))))
+                new = merges((rank, ids[after]))
+                if new is not None:
+                    bucket = buckets.get(new)
+                    if bucket:
+                        heappush(bucket, at)
+                    else:
+                        buckets[new] = [at]
+                        word = new >> LEVEL_SHIFT
+                        low[word] |= 1 << (new & WORD_MASK)
+                        high |= 1 << word
+            pair_rank[at] = new
             before = preceding[at]
             if before >= 0:
-                changed.append((before, merges((ids[before], rank))))
-            for pair, new in changed:
-                pair_rank[pair] = new
+                pair_rank[before] = new = merges((ids[before], rank))
                 if new is not None:
-                    if buckets.get(new):
-                        heappush(buckets[new], pair)
+                    bucket = buckets.get(new)
+                    if bucket:
+                        heappush(bucket, before)
                     else:
-                        buckets[new] = [pair]
+                        buckets[new] = [before]
                         word = new >> LEVEL_SHIFT
                         low[word] |= 1 << (new & WORD_MASK)
                         high |= 1 << word
