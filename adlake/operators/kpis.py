@@ -66,6 +66,21 @@ def hourly_unique_users(silver: DataFrame) -> DataFrame:
     )
 
 
+def hourly_user_sketches(silver: DataFrame) -> DataFrame:
+    """Users per hourly group as sketches that add up over hours."""
+    return (
+        silver.where(F.col("campaign_id").isNotNull())
+        .groupBy(*HOURLY_KEYS)
+        .agg(F.hll_sketch_agg("user_id").alias("users_sketch"))
+    )
+
+
+def daily_unique_users(sketches: DataFrame) -> DataFrame:
+    """Distinct users per day and campaign from the hourly sketches, each user once."""
+    users = F.hll_sketch_estimate(F.hll_union_agg("users_sketch"))
+    return sketches.groupBy(*DAILY_KEYS).agg(users.alias("unique_users_hll"))
+
+
 def daily_kpis(hourly: DataFrame) -> DataFrame:
     """Daily KPIs from the hourly table.
 

@@ -22,7 +22,8 @@ NARROWED = ["conversion", "attribution", "click", "click_pos", "click_nb"]
 def coerce(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Typed rows whose every field is a number, and the other rows as text
     (``source_row``) with a ``reject_reason`` naming the unreadable columns."""
-    casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in SOURCE_SCHEMA}
+    # A cast takes ``1.5d`` and ``1f`` for numbers; a log has no such suffix.
+    casts = {f.name: F.when(~F.col(f.name).rlike(r"[0-9.]\s*[dDfF]\s*$"), F.col(f.name).try_cast(f.dataType)) for f in SOURCE_SCHEMA}
     readable = reduce(and_, [cast.isNotNull() for cast in casts.values()])
     kept = [c for c in df.columns if c not in casts]
     good = df.where(readable).select(*kept, *[cast.alias(name) for name, cast in casts.items()])

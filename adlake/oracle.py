@@ -184,6 +184,8 @@ def oracle() -> dict[str, str]:
         "hourly_unique_users": f"""WITH {AD} SELECT {DATE}, event_hour, campaign_id,
             CAST(count(DISTINCT user_id) AS BIGINT) AS unique_users_exact
             FROM ad GROUP BY ad.event_date, event_hour, campaign_id""",
+        "unique_users_hll": f"""WITH {AD} SELECT {DATE}, campaign_id, CAST(count(DISTINCT user_id) AS BIGINT) AS users,
+            true AS within_a_twentieth FROM ad WHERE campaign_id IS NOT NULL GROUP BY event_date, campaign_id""",
         "unique_users_estimate": f"""WITH {AD} SELECT {DATE}, CAST(count(DISTINCT user_id) AS BIGINT) AS users,
             true AS within_a_quarter FROM ad GROUP BY ad.event_date""",
         "events_left_out_of_gold": f"""WITH {AD} SELECT {DATE},

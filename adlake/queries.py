@@ -21,9 +21,11 @@ from adlake.operators.kpis import (
     DAILY_KEYS,
     HOURLY_KEYS,
     daily_kpis,
+    daily_unique_users,
     events_without_campaign,
     hourly_kpis,
     hourly_unique_users,
+    hourly_user_sketches,
 )
 from adlake.operators.projections import (
     coerce,
@@ -181,6 +183,16 @@ def unique_users_estimate(spark, sf_dir):
     return counts.select("event_date", "users", close.alias("within_a_quarter"))
 
 
+@query
+def unique_users_hll(spark, sf_dir):
+    """Daily users from hourly sketches stay within a twentieth of the count."""
+    events = ad_events(spark, sf_dir)
+    estimate = daily_unique_users(hourly_user_sketches(events))
+    users = events.where("campaign_id IS NOT NULL").groupBy(*DAILY_KEYS).agg(F.count_distinct("user_id").alias("users"))
+    close = F.abs(F.col("unique_users_hll") - F.col("users")) <= F.col("users") * 0.05
+    return users.join(estimate, DAILY_KEYS).select("event_date", "campaign_id", "users", close.alias("within_a_twentieth"))
+
+
 @query
 def events_left_out_of_gold(spark, sf_dir):
     events = ad_events(spark, sf_dir)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -38,10 +40,15 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the shared ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) falls back to a
-    temporary folder of this machine.
+    Only a session without that setting on a local master (a test) falls back
+    to a temporary folder of this machine, removed when the process ends; on a
+    cluster its executors would not share it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    if not spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get("spark.master").startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix=f"{name}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

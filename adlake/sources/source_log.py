@@ -12,12 +12,6 @@ HEADER = "\t".join(SOURCE_COLUMNS)
 # Lines per range when looking for the n-th row.
 LIMIT_RANGE = 1_000_000
 
-# Up to this many file splits their offsets are broadcast (some 50 bytes each).
-BROADCAST_SPLITS = 1_000_000
-# A scan task reads at most this many files: Spark's split size over the cost
-# it assumes for opening a file, at their defaults, with room.
-SPLITS_PER_TASK = 64
-
 
 def with_line_number(lines: DataFrame) -> DataFrame:
     """Numbers the lines of a text log from 1, not counting header rows.
@@ -58,10 +52,9 @@ def with_line_number(lines: DataFrame) -> DataFrame:
             "_first",
         )
     )
-    if lines.rdd.getNumPartitions() * SPLITS_PER_TASK <= BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
+    # Some 50 bytes per file split, less than the driver keeps of a split itself.
     return (
-        located.join(offsets, "_split")
+        located.join(F.broadcast(offsets), "_split")
         .where(F.col("_id") >= F.col("_first_row"))
         .select("value", (F.col("_id") - F.col("_first") + F.col("_number")).alias("line_number"))
     )

@@ -67,7 +67,7 @@ def silver_batch(
         text, took = str(error), utc_now() - started
         record_safely(
             metrics,
-            lambda: batch_metric(spark, SILVER_QUERY, batch_id, 0, took, "failed", text),
+            lambda: batch_metric(spark, SILVER_QUERY, batch_id, batch.count(), took, "failed", text),
             SILVER_QUERY,
         )
         raise

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlake.functions.exprs import as_utc
+from adlake.session import scratch_dir
 from adlake.sources.file_stats import file_stats
 from adlake.tables import files
 from adlake.tables.upsert_table import COMMIT_SCHEMA, LiveState, UpsertTable, in_order
@@ -195,6 +196,10 @@ def orphans(table: UpsertTable, older_than: datetime | None = None, dry_run: boo
     found = orphan_files(listing, table.commits(), limit)
     if dry_run:
         return found
+    # The list outlives the files on it.
+    report = scratch_dir(spark, "orphans")
+    found.write.parquet(report)
+    found = spark.read.parquet(report)
     rows = found.select("path").withColumn("commit", F.regexp_extract("path", r"commit=(\d+)/", 1))
     young = listing.where(F.col("modificationTime") >= F.lit(limit)).select(
         F.regexp_extract("path", r"commit=(\d+)/", 1).alias("commit")

@@ -265,6 +265,9 @@ class UpsertTable:
     ) -> int | None:
         """Updates or inserts rows by key; ``source`` holds one row per key.
 
+        A source that repeats a key is refused, as a merge would be, whatever
+        the table already holds.
+
         A (``query_id``, ``batch_id``) that is already committed is skipped, so
         a replayed streaming batch changes nothing. Returns the rows written,
         None when skipped.
@@ -282,6 +285,10 @@ class UpsertTable:
         if rows == 0:
             files.delete(self.spark, self.commit_dir(commit))
             return 0
+        repeated = self._scan([self.commit_dir(commit)]).groupBy(*self.keys).count().where("count > 1")
+        if not repeated.isEmpty():
+            files.delete(self.spark, self.commit_dir(commit))
+            raise ValueError(f"the source repeats a key ({', '.join(self.keys)})")
         self.record(commit, "delta", action, name=name, query_id=query_id, batch_id=batch_id)
         return rows
 

@@ -2,7 +2,6 @@
 
 from jobs.common import parser
 
-from adlake.operators.filters import date_range
 from adlake.operators.kpis import events_without_campaign
 from adlake.plans.gold import build_gold
 from adlake.session import build_session
@@ -18,8 +17,8 @@ def main(argv=None) -> None:
 
     lake = Lake(build_session("silver-to-gold"), args.root)
     build_gold(lake, args.start_date, args.end_date, args.mode)
-    silver = date_range(lake.silver.read(), args.start_date, args.end_date)
-    events_without_campaign(silver).show(366, truncate=False)
+    for row in events_without_campaign(lake.silver.read(args.start_date, args.end_date)).orderBy("event_date").toLocalIterator():
+        print(row["event_date"], row["events_without_campaign"])
 
 
 if __name__ == "__main__":

@@ -11,7 +11,8 @@ def main(argv=None) -> None:
     args = parser(__doc__)
     args.add_argument("--as-of", help="ISO time to look from; now by default")
     args = args.parse_args(argv)
-    run_health(Lake(build_session("health-check"), args.root), moment(args.as_of)).show(50, truncate=False)
+    for row in run_health(Lake(build_session("health-check"), args.root), moment(args.as_of)).toLocalIterator():
+        print(*row, sep="\t")
 
 
 if __name__ == "__main__":

@@ -33,7 +33,8 @@ def main(argv=None) -> None:
     for path, action, outcome in outcomes:
         print(path, action)
         if action == "orphan":
-            outcome.show(truncate=False)
+            for row in outcome.toLocalIterator():
+                print(row["path"], row["length"], row["modificationTime"])
         else:
             print(outcome)
 
