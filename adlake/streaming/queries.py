@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,6 +14,8 @@ from adlake.tables.append_table import AppendTable
 from adlake.tables.lake import Lake
 from adlake.tables.upsert_table import UpsertTable
 
+log = logging.getLogger(__name__)
+
 BRONZE_QUERY = "kafka_to_bronze"
 SILVER_QUERY = "bronze_to_silver"
 DEFAULT_TRIGGER = {"processingTime": "30 seconds"}
@@ -49,6 +53,15 @@ def _query_id(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
+def _rows_of(batch: DataFrame) -> int:
+    """Rows of a batch that failed; 0 where they cannot even be counted."""
+    try:
+        return batch.count()
+    except Exception:
+        log.exception("could not count a failed batch")
+        return 0
+
+
 def silver_batch(
     batch: DataFrame, batch_id: int, table: UpsertTable, metrics: AppendTable, query_id: str | None = None
 ) -> None:
@@ -67,7 +80,7 @@ def silver_batch(
         text, took = str(error), utc_now() - started
         record_safely(
             metrics,
-            lambda: batch_metric(spark, SILVER_QUERY, batch_id, batch.count(), took, "failed", text),
+            lambda: batch_metric(spark, SILVER_QUERY, batch_id, _rows_of(batch), took, "failed", text),
             SILVER_QUERY,
         )
         raise

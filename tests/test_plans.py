@@ -104,3 +104,39 @@ def test_ingest_dates_prune_bronze(lake, spark):
 def test_top_n_is_not_a_full_sort(spark, sf_dir):
     text = plan(contract.queries()["report_top_spend"](spark, sf_dir))
     assert "TakeOrderedAndProject" in text
+
+
+def test_quantiles_are_exact(spark):
+    import math
+    import random
+
+    from adlake.plans.reports import exact_quantile
+
+    draw = random.Random(5)
+    for count in (1, 7, 30_000):
+        values = sorted(draw.choice([draw.random(), 0.25]) for _ in range(count))
+        rows = spark.createDataFrame([(value,) for value in values] + [(None,)], "x double")
+        for q in (0.0, 0.25, 0.5, 0.75, 1.0):
+            assert exact_quantile(rows, "x", q).first()[0] == values[max(1, math.ceil(q * count)) - 1]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    import pytest
+
+    from adlake.session import scratch_dir
+
+    class Conf:
+        def __init__(self, **values):
+            self.values = values
+
+        def get(self, name, default=None):
+            return self.values.get(name.rpartition(".")[2], default)
+
+    class Session:
+        def __init__(self, **values):
+            self.conf = Conf(**values)
+
+    for master in ("yarn", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            scratch_dir(Session(master=master), "x")
+    assert scratch_dir(Session(dir="hdfs://shared/"), "x").startswith("hdfs://shared/x-")

@@ -143,3 +143,14 @@ def test_unidentified_copy_does_not_win(spark):
 def test_tag_run(spark):
     row = tag_run(spark.range(1), "check", datetime(2024, 1, 31, tzinfo=UTC)).first()
     assert (row["run_ts"], row["query_file"]) == (datetime(2024, 1, 31), "check")
+
+
+def test_number_suffixes_are_rejected(spark):
+    from adlake.operators.projections import coerce
+    from adlake.schemas import SOURCE_COLUMNS
+
+    plain = {name: "1" for name in SOURCE_COLUMNS}
+    rows = [{**plain, "line_number": n, "cost": cost} for n, cost in enumerate(["1.5", "1.5d", "2F", "inf", "1e3", "3 f"])]
+    good, rejected = coerce(spark.createDataFrame(rows))
+    assert {row["line_number"] for row in good.collect()} == {0, 3, 4}
+    assert {row["line_number"] for row in rejected.collect()} == {1, 2, 5}

@@ -136,7 +136,7 @@ def test_failed_batch_is_recorded_and_raised(lake, spark, sf_dir):
     with pytest.raises(Exception, match="bad"):
         silver_batch(failing, 3, lake.silver, lake.batch_metrics, "q")
     [row] = lake.batch_metrics.read().collect()
-    assert (row["status"], row["row_count"], len(row["detail"])) == ("failed", 0, 1000)
+    assert (row["status"], row["row_count"], len(row["detail"])) == ("failed", 300, 1000)
     assert lake.silver.read().count() == 0
 
 

@@ -312,3 +312,18 @@ def test_defaults():
     assert maintenance.TARGET_BYTES == 134217728
     assert (maintenance.RETENTION, maintenance.RETAIN_LAST) == (timedelta(days=7), 24)
     assert maintenance.ORPHAN_AGE == timedelta(days=3)
+
+
+def test_a_repeated_key_is_refused_at_any_number_of_deltas(spark, folder):
+    from datetime import date
+
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("day", T.DateType(), False), T.StructField("v", T.LongType())])
+    table = UpsertTable(spark, folder, schema, ["id"], "day", "")
+    day = date(2024, 1, 1)
+    for _ in range(3):
+        with pytest.raises(ValueError, match="repeats a key"):
+            table.upsert(spark.createDataFrame([(1, day, 1), (1, day, 2)], schema))
+        table.upsert(spark.createDataFrame([(2, day, 1)], schema))
+        assert table.read().count() == 1
