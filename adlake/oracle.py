@@ -65,7 +65,9 @@ src AS (
     CAST(CASE WHEN event_type = 'click' THEN event_id % 10 + 1 ELSE -1 END AS INT) AS click_nb,
     value / 1000 AS cost, value / 100 AS cpo,
     CASE WHEN event_type = 'click' THEN event_id % 5000 ELSE -1 END AS time_since_last_click,
-    event_id % 1000 AS cat1, event_id * 5 % 1000 AS cat5, event_id * 9 % 1000 AS cat9,
+    event_id % 1000 AS cat1, event_id * 2 % 1000 AS cat2, event_id * 3 % 1000 AS cat3, event_id * 4 % 1000 AS cat4,
+    event_id * 5 % 1000 AS cat5, event_id * 6 % 1000 AS cat6, event_id * 7 % 1000 AS cat7, event_id * 8 % 1000 AS cat8,
+    event_id * 9 % 1000 AS cat9,
     make_timestamp((1704067200 + sec) * 1000000) AS event_time,
     sha256(concat_ws('|', CAST(event_id + 1 AS VARCHAR), CAST(sec AS VARCHAR), CAST(user_id AS VARCHAR),
       CAST(camp AS VARCHAR),
@@ -87,7 +89,7 @@ SELECT event_id, strftime(event_time, {MICROS}) AS event_time,
   CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_date, CAST(hour(event_time) AS INT) AS event_hour,
   source_timestamp, user_id, campaign_id, conversion, conversion_timestamp, conversion_id, attribution,
   click, click_pos, click_nb, round({cost} + 1e-9, 6) AS cost, round(cpo + 1e-9, 6) AS cpo, time_since_last_click,
-  cat1, cat5, cat9, 'ad-events' AS kafka_topic, {offset} AS kafka_offset
+  cat1, cat2, cat3, cat4, cat5, cat6, cat7, cat8, cat9, 'ad-events' AS kafka_topic, {offset} AS kafka_offset
 FROM {source} WHERE {where}"""
 
 

@@ -299,7 +299,8 @@ def bronze_projection(spark, sf_dir):
 SILVER_CHECKED = [
     "event_id", "event_time", "event_date", "event_hour", "source_timestamp", "user_id", "campaign_id",
     "conversion", "conversion_timestamp", "conversion_id", "attribution", "click", "click_pos",
-    "click_nb", "cost", "cpo", "time_since_last_click", "cat1", "cat5", "cat9", "kafka_topic", "kafka_offset",
+    "click_nb", "cost", "cpo", "time_since_last_click", *[f"cat{i}" for i in range(1, 10)],
+    "kafka_topic", "kafka_offset",
 ]
 
 
