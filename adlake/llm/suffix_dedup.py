@@ -35,7 +35,9 @@ ANCHOR = 20
 SPAN = LENGTH - ANCHOR + 1  # places of an anchor in a window
 BLOCK_BYTES = 1 << 20
 BLOCK_ROWS = 30_000  # anchor suffixes sorted at once
-MOST_SUFFIXES = 4096  # of an anchor that are sorted together
+MOST_SUFFIXES = 65_536  # of an anchor that are sorted together: some 30 MB
+LOCAL = 4  # times in a batch from which an anchor's rows need no grouping
+SPREAD = 1 << 20
 
 
 def window_anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -73,11 +75,24 @@ def sliding_least(values: np.ndarray, span: int) -> np.ndarray:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Anchors and their places. Where a batch has an anchor often, its rows are
+    known to repeat and are dealt anywhere (``deal`` above 0); one mark (place
+    -1) tells the task that gathers the anchor's other rows."""
     for batch in batches:
         hashes, texts = batch.column("_hash").to_numpy(), [utf8(text) for text in batch.column("text").to_pylist()]
-        for part in chunks(map(len, texts), BLOCK_BYTES):
-            owner, place, anchor, _ = window_anchors(texts[part])
-            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(hashes[part][owner]), pa.array(place.astype(np.int32))], ["anchor", "_hash", "place"])
+        found = [(part, *window_anchors(texts[part])[:3]) for part in chunks(map(len, texts), BLOCK_BYTES)]
+        if not found:
+            continue
+        anchor = np.concatenate([mark for _, _, _, mark in found]).view(np.int64)
+        place = np.concatenate([at for _, _, at, _ in found]).astype(np.int32)
+        text = np.concatenate([hashes[part][owner] for part, owner, _, _ in found])
+        values, inverse, counts = np.unique(anchor, return_inverse=True, return_counts=True)
+        often = counts >= LOCAL
+        deal = np.where(often[inverse], 1 + np.arange(len(anchor)) % SPREAD, 0).astype(np.int32)
+        marks = values[often]
+        none = np.zeros(len(marks), np.int64)
+        columns = [np.append(anchor, marks), np.append(deal, none.astype(np.int32)), np.append(text, none), np.append(place, none.astype(np.int32) - 1)]
+        yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], ["anchor", "deal", "_hash", "place"])
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,10 +106,12 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         same = anchor[1:] == anchor[:-1]
         several = np.append(anchor[0] == last if last is not None else False, same)
         if held is not None and several[0]:
-            yield held
+            yield held.drop_columns(["deal"])
         several[:-1] |= same
-        yield batch.filter(pa.array(several))
-        held, last = None if several[-1] else batch.slice(batch.num_rows - 1), anchor[-1]
+        repeats = several & (batch.column("place").to_numpy() >= 0) | (batch.column("deal").to_numpy() > 0)
+        yield batch.filter(pa.array(repeats)).drop_columns(["deal"])
+        told = several[-1] or batch.column("place")[-1].as_py() < 0 or batch.column("deal")[-1].as_py() > 0
+        held, last = None if told else batch.slice(batch.num_rows - 1), anchor[-1]
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,8 +273,9 @@ def repeated_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     copies = stored(keys.join(few(groups), ["_hash", "_other"]).where(F.col("_id") > F.col("least")).select("_id", "_hash").distinct(), "copies")
     alone = long.join(few(copies), ["_id", "_hash"], "left_anti")
 
-    anchors = alone.select("_hash", "text").mapInArrow(_anchors, "anchor long, _hash long, place int")
-    several = anchors.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_repeated, "anchor long, _hash long, place int")
+    anchors = alone.select("_hash", "text").mapInArrow(_anchors, "anchor long, deal int, _hash long, place int")
+    dealt = anchors.repartition("anchor", "deal").sortWithinPartitions("anchor", "deal")
+    several = dealt.mapInArrow(_repeated, "anchor long, _hash long, place int")
     several = stored(several, "anchors")
     frequent = stored(several.groupBy("anchor").count().where(F.col("count") > MOST_SUFFIXES).select("anchor", F.lit(True).alias("frequent")), "frequent")
     marked = several.join(few(frequent), "anchor", "left").withColumn("frequent", F.coalesce("frequent", F.lit(False)))
