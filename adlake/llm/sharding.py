@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from adlake.llm.shared import stored
+from adlake.llm.shared import few, stored
 
 ROWS_IN_BUCKET = 20_000
 
@@ -28,10 +28,10 @@ def ranked(frame: DataFrame, within: list[str], order: list[str], spread: list[s
     return numbered.join(starts, keys).withColumn(rank, F.col("_start") + F.col("_inside")).drop("_bucket", "_start", "_inside")
 
 
-def moves_allowed(wanted: dict[tuple[int, int], int], counts: list[int], capacity: list[int], most: list[int]) -> dict[tuple[int, int], int]:
+def moves_allowed(wanted: dict[tuple[int, int], int], counts: list[int], capacity: list[int]) -> dict[tuple[int, int], int]:
     """How many of the wanted moves between shards may happen.
 
-    First what is met by moves the other way, then what fits under ``most``.
+    First what is met by moves the other way, then what the capacity allows.
     The table is shards by shards, whatever the data.
     """
     shards = range(len(counts))
@@ -40,7 +40,7 @@ def moves_allowed(wanted: dict[tuple[int, int], int], counts: list[int], capacit
     now = list(counts)
     for i in sorted(shards, key=lambda i: capacity[i] - now[i]):  # from the fullest
         for j in sorted(shards, key=lambda j: now[j] - capacity[j]):  # to the emptiest
-            n = min(left.get((i, j), 0), max(0, most[j] - now[j]))
+            n = min(left.get((i, j), 0), max(0, capacity[j] - now[j]))
             if n:
                 allowed[i, j] += n
                 now[i], now[j] = now[i] - n, now[j] + n
@@ -67,37 +67,45 @@ def _move(state: DataFrame, wishes: DataFrame, allowed: dict[tuple[int, int], in
     return state.join(moved, "row", "left").withColumn("shard", F.coalesce("to", "shard")).drop("to")
 
 
-def balanced_labels(members: DataFrame, shards: int, rounds: int = 6, slack: float = 0.05) -> DataFrame:
+def balanced_labels(members: DataFrame, shards: int, rounds: int = 6) -> DataFrame:
     """Puts rows into shards of sizes at most one apart, cutting few links.
 
     ``members`` has ``row`` (unique) and ``group`` (null: no links); the rows of
     a group are linked with each other. Links are counted through the group, as
     a histogram over the shards, never as pairs. Each round a row wants to go
     where most rows of its group are; quotas between shards let as many move as
-    keeps each shard under its size and ``slack``. The last step moves rows,
-    those without links first, until sizes are equal.
+    a shard's size allows. The last step moves rows, those without links first,
+    until sizes are equal.
     """
     state = members.withColumn("shard", F.pmod(F.xxhash64("row", F.lit(3)), F.lit(shards)).cast("int"))
-    total = members.count()
+    linked = stored(members.where(F.col("group").isNotNull()).groupBy("group").count().where("count > 1").select("group", F.lit(True).alias("linked")), "groups")
+    state = stored(state.join(few(linked), "group", "left").select("row", "group", F.coalesce("linked", F.lit(False)).alias("linked"), "shard"), "labels")
+    total = sum(_counts(state, shards))
     capacity = [total // shards + (shard < total % shards) for shard in range(shards)]
-    # Room beyond the slack for what one exchange of labels leaves uneven.
-    most = [int(size * (1 + slack)) + 1 for size in capacity]
-    linked = members.where(F.col("group").isNotNull()).groupBy("group").count().where("count > 1").select("group")
-    state = stored(state.join(linked.withColumn("linked", F.lit(True)), "group", "left").select("row", "group", F.coalesce("linked", F.lit(False)).alias("linked"), "shard"), "labels")
+    # Rows without links fit anywhere and make room in the last step, so the
+    # quotas count the others alone.
+    ties = state.where("linked").drop("linked")
+    counts = _counts(ties, shards)
+    alone = state.where("NOT linked").select("row", "group", "shard", "linked")
     for number in range(rounds):
-        ties = state.where("linked")
-        histogram = ties.groupBy("group", "shard").agg(F.count("*").alias("n"))
+        histogram = ties.groupBy("group", "shard").agg(F.count("*").alias("here"))
         # Equal counts: a shard that depends on group and round, else all crowd into one.
-        at = F.struct("n", (-F.pmod(F.xxhash64("group", "shard", F.lit(number)), F.lit(1 << 30))).alias("tie"), F.col("shard").alias("target"))
-        best = histogram.groupBy("group").agg(F.max(at).alias("best")).select("group", "best.target", F.col("best.n").alias("there"))
-        here = ties.join(histogram.withColumnRenamed("n", "here"), ["group", "shard"]).join(best, "group")
-        wishes = here.where(F.col("target") != F.col("shard")).withColumn("order", -F.least(F.col("there") - F.col("here"), F.lit(16)))
+        tie = -F.pmod(F.xxhash64("group", "shard", F.lit(number)), F.lit(1 << 30))
+        # A full shard is no target: a group larger than a shard goes on to the next.
+        full = [shard for shard in range(shards) if counts[shard] >= capacity[shard]]
+        choice = F.when(~F.col("shard").isin(full), F.struct("here", tie.alias("tie"), F.col("shard").alias("target")))
+        best = F.max(choice).over(Window.partitionBy("group"))
+        wanted = histogram.withColumn("best", best).where((F.col("best.target") != F.col("shard")) & (F.col("best.here") >= F.col("here")))
+        wanted = stored(wanted.select("group", "shard", "best.target", (F.col("best.here") - F.col("here")).alias("gain")), "targets")
+        wishes = ties.join(few(wanted), ["group", "shard"]).withColumn("order", -F.least("gain", F.lit(16)))
         wishes = stored(wishes.select("row", "group", "shard", "target", "order"), "wishes")
-        allowed = moves_allowed(_pairs(wishes, "shard", "target"), _counts(state, shards), capacity, most)
+        allowed = moves_allowed(_pairs(wishes, "shard", "target"), counts, capacity)
         if not allowed:
             break
-        state = stored(_move(state, wishes, allowed), "labels")
-    return _even_out(state, shards, capacity)
+        for (start, end), n in allowed.items():
+            counts[start], counts[end] = counts[start] - n, counts[end] + n
+        ties = stored(_move(ties, wishes, allowed), "labels")
+    return _even_out(alone.unionByName(ties.withColumn("linked", F.lit(True))), shards, capacity)
 
 
 def _even_out(state: DataFrame, shards: int, capacity: list[int]) -> DataFrame:
