@@ -88,7 +88,7 @@ def _cells(queries: DataFrame, candidates: DataFrame, blocks: int, asks: DataFra
     return out
 
 
-def _answer(cell: pd.DataFrame, k: int, blocks: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _answer(cell: pd.DataFrame, k: int, blocks: int, asking: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Query, row and partial score of what one cell returns."""
     asked = cell[cell["kind"] == 2]
     queries = cell[cell["kind"] == 0].sort_values("query", kind="stable")
@@ -98,7 +98,7 @@ def _answer(cell: pd.DataFrame, k: int, blocks: int) -> Iterator[tuple[np.ndarra
         return
     left, right = _matrix(queries["vector"], width), _matrix(candidates["vector"], width)
     query, row = queries["query"].to_numpy(np.int64), candidates["row"].to_numpy(np.int64)
-    if len(asked):
+    if asking:
         at = np.searchsorted(query, asked["query"].to_numpy(np.int64))
         to = np.searchsorted(row, asked["row"].to_numpy(np.int64))
         for start in range(0, len(at), SLICE // max(1, width)):
@@ -127,10 +127,13 @@ def _answer(cell: pd.DataFrame, k: int, blocks: int) -> Iterator[tuple[np.ndarra
         yield query[part][at], row[to], scores[at, to]
 
 
-def _partial_scores(cells: DataFrame, k: int, blocks: int) -> DataFrame:
+def _partial_scores(cells: DataFrame, k: int, blocks: int, asking: bool = False) -> DataFrame:
+    """What the cells return: with ``asking`` the scores of the entries asked
+    for, else those of at least the cutoff, or the best k without one."""
+
     def run(cell: pd.DataFrame) -> pd.DataFrame:
         block = cell["block"].iloc[0]
-        parts = [pd.DataFrame({"query": q, "row": r, "block": block, "part": p}) for q, r, p in _answer(cell, k, blocks)]
+        parts = [pd.DataFrame({"query": q, "row": r, "block": block, "part": p}) for q, r, p in _answer(cell, k, blocks, asking)]
         return pd.concat(parts) if parts else pd.DataFrame({"query": [], "row": [], "block": [], "part": []}).astype("int64")
 
     return cells.groupBy("block", "down", "across").applyInPandas(run, "query long, row long, block int, part long")
@@ -166,7 +169,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, blocks: int =
     lists = gathered.withColumn("place", F.row_number().over(per_node)).where(F.col("place") <= k)
     first = stored(lists.select("query", "row").distinct(), "lists")
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    exact = _partial_scores(_cells(queries, rows, blocks, asks=first.select("query", "row", every)), k, blocks)
+    exact = _partial_scores(_cells(queries, rows, blocks, asks=first.select("query", "row", every)), k, blocks, asking=True)
     names = rows.select("row", "id")
     sums = exact.groupBy("query", "row").agg(F.sum("part").alias("score")).join(names, "row")
     # With fewer than k other rows there is no cutoff: all of them are wanted.
@@ -175,7 +178,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, blocks: int =
     seen = stored(_partial_scores(_cells(queries, rows, blocks, cutoffs=cutoffs), k, blocks), "entries")
     known = seen.groupBy("query", "row").agg(F.sum("part").alias("score"), F.collect_set("block").alias("told"))
     missing = known.select("query", "row", F.explode(F.array_except(F.sequence(F.lit(0), F.lit(blocks - 1)), "told")).alias("block"))
-    rest = _partial_scores(_cells(queries, rows, blocks, asks=missing), k, blocks)
+    rest = _partial_scores(_cells(queries, rows, blocks, asks=missing), k, blocks, asking=True)
     total = seen.unionByName(rest).groupBy("query", "row").agg(F.sum("part").alias("score")).join(names, "row")
     asked = queries.select("query", F.col("id").alias("query_id"))
     return _best(total, k).join(asked, "query").select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias("vec_id"), "score")
