@@ -1,17 +1,15 @@
 from __future__ import annotations
 
-import random
+import os
+import sys
 
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from samples import prose  # noqa: E402
 
-def prose(seed: int, words: int, vocabulary: int = 400) -> str:
-    """Words of a small invented vocabulary, eight to a line."""
-    draw = random.Random(seed)
-    out = [f"w{draw.randrange(vocabulary)}x" for _ in range(words)]
-    return "\n".join(" ".join(out[at : at + 8]) + "." for at in range(0, words, 8))
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
 @pytest.fixture

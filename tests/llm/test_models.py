@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from adlake.llm import language_id, queries, toxicity
 from adlake.llm.shared import utf8
+from samples import prose
+
 
 
 @pytest.fixture(scope="module")
@@ -100,9 +102,9 @@ def test_toxicity_slopes():
 
 
 def test_toxic_words_are_found_anywhere(spark, make, odd, empty):
-    rows = [(at, f"calm words number {at} go here and there " * 6 + ("you idiot " if at % 3 == 0 else "") + "again and again " * 9) for at in range(240)]
+    rows = [(at, prose(at, 60, 50) + (" you idiot " if at % 3 == 0 else " ") + prose(at + 999, 60, 50)) for at in range(240)]
     labels = spark.createDataFrame([(at, 1, int(at % 3 == 0)) for at in range(200)], "doc_id long, quality int, toxic int")
-    docs = make(rows + [(500, "fine " * 3000 + "idiot " + "fine " * 3000)])
+    docs = make(rows + [(500, prose(1, 3000, 50) + " idiot " + prose(2, 3000, 50))])
     scores = {row["doc_id"]: row for row in toxicity.score_toxicity(docs, labels, F.lit(True)).collect()}
     assert all(scores[at]["predicted"] == int(at % 3 == 0) for at in range(200, 240)) and scores[500]["predicted"] == 1
     found = toxicity.score_toxicity(odd.withColumn("score", F.lit("clash")), labels, F.lit(True)).collect()
