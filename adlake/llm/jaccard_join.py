@@ -2,9 +2,9 @@
 
 A set's shingles are hashes in a fixed order. Two sets that link share one of
 their first quarter (the prefix), so sets meet in the groups of their prefix
-tokens, sorted by size. Tokens of many sets are ordered last in a second round,
-which leaves them out of most prefixes; what still meets there is dealt to
-tiles: a token, a band of sizes, and a part of the sets on either side. Parity
+tokens, sorted by size. Frequent tokens come last in the order, which keeps them
+out of most prefixes. Where sets crowd in a group all the same, they meet again
+in a second round, dealt to tiles: a token, a band of sizes, and a part of the sets on either side. Parity
 bitmaps of 2,048 bits bound the overlap of a pair from above before the sorted
 arrays are intersected.
 
@@ -27,9 +27,13 @@ from adlake.llm.shared import chunks, few, mix64, stored, substring_hashes, utf8
 
 WORDS = 5
 # Similarity of at least 3/4: the overlap is at least 3/7 of both sizes.
-BITS = 2048
+BITS = 2048  # of a parity bitmap at least
+MOST_BITS = 65_536
+FREQUENT = 8  # sets of a token: from there on it comes last in the order
+LOCAL_TOKENS = 4_000_000  # of a task, counted together
+COUNTED = 0.35  # of a set
 GROUP = 16  # sets of a token that meet at once; more wait for the second round
-MOST_HOT = 1 << 20  # hot tokens that are broadcast (16 MB)
+MOST_HOT = 1 << 20  # tokens of an order that are broadcast (16 MB)
 TILE = 2048
 BLOCK_BYTES = 1 << 20
 SEEN_SETS = 200_000
@@ -38,37 +42,61 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of each word of a lower-cased text."""
-    flat = np.frombuffer(text, np.uint8)
-    word = ~SPACE[flat]
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]])))
-    starts, ends = edges[::2], edges[1::2]
-    out = np.empty(len(starts), np.uint64)
-    for part in chunks(ends - starts, BLOCK_BYTES):
-        low, high = starts[part.start], ends[part.stop - 1]
-        out[part] = substring_hashes(flat[low:high], starts[part] - low, ends[part] - low)
+def _word_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, in blocks that end with a word."""
+    if len(flat) <= 2 * BLOCK_BYTES:
+        return mix64(substring_hashes(flat, starts, ends))
+    out, first = np.empty(len(starts), np.uint64), 0
+    while first < len(starts):
+        low = starts[first]
+        last = max(first + 1, int(np.searchsorted(ends, low + BLOCK_BYTES)))
+        part = slice(first, last)
+        out[part] = substring_hashes(flat[low : ends[last - 1]], starts[part] - low, ends[part] - low)
+        first = last
     return mix64(out)
 
 
-def shingle_set(text: str | None) -> np.ndarray:
-    """Sorted distinct hashes of the five-word shingles of a whole text.
+def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+    """Sorted distinct hashes of the five-word shingles of each whole text.
 
     A to Z in lower case; words are what stands between blanks and the
     characters U+0009 to U+000D. Fewer than five words are one shingle.
     """
-    if not text:
-        return np.zeros(0, np.uint64)
-    words = word_hashes(utf8(text).lower())
-    if not len(words):
-        return np.zeros(0, np.uint64)
-    if len(words) < WORDS:
-        return mix64(np.array([(words * PLACE[: len(words)]).sum(dtype=np.uint64) + np.uint64(len(words))]))
-    count = len(words) - WORDS + 1
-    total = np.zeros(count, np.uint64)
+    sets: list[np.ndarray] = []
+    for part in chunks([len(text or "") for text in texts], BLOCK_BYTES):
+        sets += _shingle_sets([utf8(text).lower() for text in texts[part]])
+    return sets
+
+
+def _shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
+    flat = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    word = np.zeros(len(flat) + 2, bool)
+    word[1:-1] = ~SPACE[flat]
+    edges = np.flatnonzero(word[1:] != word[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    borders = np.cumsum([0, *(len(text) + 1 for text in texts)])
+    bounds = np.searchsorted(starts, borders)  # each text's first word, and the end
+    words = _word_hashes(flat, starts, ends)
+    total = np.zeros(max(0, len(words) - WORDS + 1), np.uint64)
     for at in range(WORDS):
-        total += words[at : at + count] * PLACE[at]
-    return np.unique(mix64(total))
+        total += words[at : at + len(total)] * PLACE[at]
+    hashes = mix64(total)
+    sets = []
+    for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        if high - low >= WORDS:
+            own = np.sort(hashes[low : high - WORDS + 1])
+            same = own[1:] == own[:-1]
+            sets.append(own[np.append(True, ~same)] if same.any() else own)
+        elif high > low:
+            few_words = (words[low:high] * PLACE[: high - low]).sum(dtype=np.uint64) + np.uint64(high - low)
+            sets.append(mix64(np.array([few_words])))
+        else:
+            sets.append(np.zeros(0, np.uint64))
+    return sets
+
+
+def shingle_set(text: str | None) -> np.ndarray:
+    return shingle_sets([text])[0]
 
 
 def set_id(shingles: np.ndarray) -> int:
@@ -81,11 +109,24 @@ def parity_bitmap(shingles: np.ndarray) -> bytes:
     """Bit b: whether an odd number of shingles falls on b.
 
     Bits in which two bitmaps differ are at most the shingles they don't share.
+    A larger set has more bits, by powers of two; halves fold by exclusive or.
     """
-    counts = np.bincount((shingles & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS)
+    bits = min(MOST_BITS, max(BITS, 1 << max(0, len(shingles) - 1).bit_length()))
+    counts = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits(counts & 1).tobytes()
 
 
+def folded(bitmaps: list[bytes], bits: int) -> np.ndarray:
+    """The bitmaps as rows of 64-bit words, folded to so many bits."""
+    out = np.empty((len(bitmaps), bits // 64), np.uint64)
+    sizes = np.array([len(bitmap) for bitmap in bitmaps])
+    for size in np.unique(sizes):
+        rows = np.flatnonzero(sizes == size)
+        own = np.frombuffer(b"".join([bitmaps[row] for row in rows]), np.uint64)
+        out[rows] = np.bitwise_xor.reduce(own.reshape(len(rows), -1, bits // 64), axis=1)
+    return out
+
+
 def may_link(bitmaps_a: np.ndarray, bitmaps_b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray) -> np.ndarray:
     """False where the bitmaps show that two sets share too little."""
     differ = np.bitwise_count(bitmaps_a ^ bitmaps_b).sum(axis=1, dtype=np.int64)
@@ -105,60 +146,118 @@ def prefix_size(n: np.ndarray | int) -> np.ndarray | int:
     return n - (3 * n + 3) // 4 + 1
 
 
+class _Seen:
+    """Sets met before in a task; forgets when full."""
+
+    def __init__(self):
+        self.ids: set[int] = set()
+
+    def new(self, sid: int) -> bool:
+        if sid in self.ids:
+            return False
+        if len(self.ids) >= SEEN_SETS:
+            self.ids.clear()
+        self.ids.add(sid)
+        return True
+
+
 def _sets(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, sid (0 for the empty set) and bitmap of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_set(text) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([len(s) for s in found], pa.int64()),
-                    pa.array([set_id(s) if len(s) else 0 for s in found], pa.int64()),
-                    pa.array([parity_bitmap(s) for s in found], pa.binary()),
-                ],
-                ["doc_id", "n_shingles", "sid", "bitmap"],
-            )
+            found = shingle_sets(batch.column("text").to_pylist())
+            columns = [
+                batch.column("doc_id"),
+                pa.array([len(s) for s in found], pa.int64()),
+                pa.array([set_id(s) if len(s) else 0 for s in found], pa.int64()),
+                pa.array([parity_bitmap(s) for s in found], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "sid", "bitmap"])
+
+    schema = "doc_id long, n_shingles long, sid long, bitmap binary"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, sid long, bitmap binary")
+def _frequent_tokens(docs: DataFrame) -> DataFrame:
+    """Tokens of at least ``FREQUENT`` sets, and of how many: token, times.
 
+    Counts the first ``COUNTED`` of each set by hash: a prefix is a quarter, and
+    reaches so far when its frequent tokens are put last. They only tell which
+    tokens to put last; any choice gives the same links.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, parts, size = _Seen(), [], 0
 
-def _tokens(docs: DataFrame, hot=None, every: bool = False) -> DataFrame:
+        def told() -> pa.RecordBatch:
+            tokens, times = np.unique(np.concatenate(parts), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(times.astype(np.int64))], ["token", "times"])
+
+        for batch in batches:
+            for shingles in shingle_sets(batch.column("text").to_pylist()):
+                if len(shingles) and seen.new(set_id(shingles)):
+                    parts.append(shingles[: int(len(shingles) * COUNTED) + 1])
+                    size += len(parts[-1])
+                    if size >= LOCAL_TOKENS:
+                        yield told()
+                        parts, size = [], 0
+        if parts:
+            yield told()
+
+    tokens = docs.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(run, "token long, times long")
+    return tokens.groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") >= FREQUENT)
+
+
+class Order:
+    """Tokens in the order of their hashes, but frequent ones last."""
+
+    def __init__(self, tokens: np.ndarray, times: np.ndarray):
+        self.tokens, first = np.unique(tokens.view(np.uint64), return_index=True)
+        self.times = times[first]
+
+    def with_first(self, other: Order) -> Order:
+        """Both lists, with the other's times where they share a token."""
+        return Order(np.append(other.tokens, self.tokens), np.append(other.times, self.times))
+
+    def rank(self, shingles: np.ndarray) -> np.ndarray:
+        if not len(self.tokens):
+            return np.zeros(len(shingles), np.int64)
+        at = np.minimum(np.searchsorted(self.tokens, shingles), len(self.tokens) - 1)
+        return np.where(self.tokens[at] == shingles, self.times[at], 0)
+
+    def prefix(self, shingles: np.ndarray) -> np.ndarray:
+        rank, size = self.rank(shingles), prefix_size(len(shingles))
+        plain = shingles[rank == 0]
+        if len(plain) >= size:
+            return plain[:size]
+        return shingles[np.lexsort((shingles, rank))][:size]
+
+
+def _tokens(docs: DataFrame, orders, every: bool = False) -> DataFrame:
     """Prefix tokens: token, sid, n, place in the set's order.
 
-    Without ``hot`` the order is that of the hashes. With ``hot`` (a broadcast
-    of sorted tokens and their counts) these come last, the most frequent at
-    the end, and only sets with one in their first prefix (or ``every``) emit.
-    A copy of a set met before in the task emits nothing.
+    ``orders`` is a broadcast of the order, or for the second round of the
+    order before, the crowded tokens and the new order: then only sets with a
+    crowded token in their prefix before (or ``every`` set) emit. A copy of a
+    set met before in the task emits nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        order, seen = orders.value, _Seen()
+        first, crowded, order = order if isinstance(order, tuple) else (None, None, order)
         for batch in batches:
             parts: list[tuple[np.ndarray, int, int]] = []
             size = 0
-            for text in batch.column("text").to_pylist():
-                shingles = shingle_set(text)
-                n = len(shingles)
-                if not n:
+            for shingles in shingle_sets(batch.column("text").to_pylist()):
+                if not len(shingles):
                     continue
                 sid = set_id(shingles)
-                if sid in seen:
+                if not seen.new(sid) or (first and not every and not crowded.rank(first.prefix(shingles)).any()):
                     continue
-                if len(seen) >= SEEN_SETS:
-                    seen.clear()
-                seen.add(sid)
-                prefix = prefix_size(n)
-                if hot is not None:
-                    tokens, counts = hot.value
-                    at = np.minimum(np.searchsorted(tokens, shingles), len(tokens) - 1)
-                    rank = np.where(tokens[at] == shingles, counts[at], 0)
-                    if not every and not rank[:prefix].any():
-                        continue
-                    shingles = shingles[np.lexsort((shingles, rank))]
-                parts.append((shingles[:prefix], sid, n))
-                size += prefix
+                prefix = order.prefix(shingles)
+                parts.append((prefix, sid, len(shingles)))
+                size += len(prefix)
                 if size > 200_000:
                     yield _token_batch(parts)
                     parts, size = [], 0
@@ -266,26 +365,72 @@ def _first_meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
-def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within tiles that the bitmaps let pass."""
+def _tile_pairs(batches: Iterator[pa.RecordBatch], forest: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components within tiles that the bitmaps let pass.
+
+    With ``forest`` only as many as could join the components of a tile.
+    """
     for table, _ in _blocks(batches, "tile", 20_000):
         tile, sid, n, place, band, low, component = (table[name].to_numpy() for name in ("tile", "sid", "n", "place", "band", "low", "component"))
-        bitmaps = np.frombuffer(b"".join(table["bitmap"].to_pylist()), np.uint64).reshape(len(tile), BITS // 64)
-        a, b = [], []
-        for left, right in group_pairs(tile, n, place, differ=component):
-            own = np.minimum(band[left], band[right]) == low[left]  # else it meets in another tile
-            left, right = left[own], right[own]
-            good = may_link(bitmaps[left], bitmaps[right], n[left].astype(np.int64), n[right].astype(np.int64))
-            a.append(np.minimum(sid[left[good]], sid[right[good]]))
-            b.append(np.maximum(sid[left[good]], sid[right[good]]))
-        pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0) if a else np.zeros((0, 2), np.int64)
+        bitmaps = folded(table["bitmap"].to_pylist(), BITS)
+        sizes = n.astype(np.int64)
+        if forest:
+            found = _forest(tile, sid, sizes, place, band, low, component, bitmaps)
+        else:
+            parts = [np.zeros((2, 0), np.int64)]
+            for left, right in group_pairs(tile, n, place, differ=component):
+                own = np.minimum(band[left], band[right]) == low[left]  # else it meets in another tile
+                left, right = left[own], right[own]
+                good = may_link(bitmaps[left], bitmaps[right], sizes[left], sizes[right])
+                parts.append(np.stack([left[good], right[good]]))
+            found = np.concatenate(parts, axis=1)
+        ends = np.sort(np.stack([sid[found[0]], sid[found[1]]], axis=1), axis=1)
+        pairs = np.unique(ends, axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
+def _forest(tile, sid, sizes, place, band, low, component, bitmaps) -> np.ndarray:
+    """Pairs that could join a tile's components, nearest in size first.
+
+    What a pair joins counts as one from then on, so a tile gives about as many
+    pairs as it has components.
+    """
+    keys, label = np.unique(np.stack([tile, component]), axis=1, return_inverse=True)
+    label = label.reshape(-1).copy()
+    chosen = [np.zeros((2, 0), np.int64)]
+    for left, right in group_pairs(tile, sizes, place, differ=label):
+        own = np.minimum(band[left], band[right]) == low[left]
+        left, right = left[own], right[own]
+        good = may_link(bitmaps[left], bitmaps[right], sizes[left], sizes[right])
+        if not good.any():
+            continue
+        left, right = left[good], right[good]
+        ends = np.sort(np.stack([label[left], label[right]]), axis=0)
+        _, first = np.unique(ends, axis=1, return_index=True)
+        chosen.append(np.stack([left[first], right[first]]))
+        joined, (near, far) = np.arange(keys.shape[1]), ends
+        while True:
+            before = joined.copy()
+            least = np.minimum(joined[near], joined[far])
+            np.minimum.at(joined, near, least)
+            np.minimum.at(joined, far, least)
+            joined = joined[joined]
+            if (joined == before).all():
+                break
+        label[:] = joined[label]  # the scan goes on with these
+    return np.concatenate(chosen, axis=1)
+
+
 def _bitmaps_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        maps = [np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint64).reshape(-1, BITS // 64) for name in ("bitmap_a", "bitmap_b")]
-        good = may_link(*maps, batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy())
+        maps = [batch.column(name).to_pylist() for name in ("bitmap_a", "bitmap_b")]
+        bits = np.array([8 * min(len(a), len(b)) for a, b in zip(*maps)], np.int64)
+        sizes = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+        good = np.zeros(len(bits), bool)
+        for width in np.unique(bits):
+            rows = np.flatnonzero(bits == width)
+            ends = [folded([own[row] for row in rows], int(width)) for own in maps]
+            good[rows] = may_link(*ends, *(size[rows] for size in sizes))
         yield batch.select(["a", "b"]).filter(pa.array(good))
 
 
@@ -350,8 +495,10 @@ def link_components(docs: DataFrame) -> DataFrame:
     rows = stored(_sets(docs), "sets")
     known = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     sets = stored(known.groupBy("sid", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.first("bitmap").alias("bitmap")), "distinct")
+    order = _most(_frequent_tokens(docs))[0]
 
-    by_token = _tokens(docs).repartition("token").sortWithinPartitions("token", "n", "sid")
+    shared = docs.sparkSession.sparkContext.broadcast(order)
+    by_token = _tokens(docs, shared).repartition("token").sortWithinPartitions("token", "n", "sid")
     met = stored(by_token.mapInArrow(_first_meeting, "a long, b long, token long"), "met")
     pairs = stored(met.where("token IS NULL").groupBy("a", "b").agg(F.count("*").alias("shared")), "pairs")
     likeliest = pairs.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a")).select("a", "b")
@@ -359,23 +506,38 @@ def link_components(docs: DataFrame) -> DataFrame:
     rest = _labelled(pairs, labels).where("component_a != component_b").select("a", "b")
     labels = _joined(labels, _check(rest, sets, docs))
 
-    hot = met.where("token IS NOT NULL").groupBy("token").agg(F.sum("b").alias("rows"))
-    listed = hot.orderBy(F.desc("rows"), "token").limit(MOST_HOT + 1).collect()
-    if listed:
-        labels = _joined(labels, _check(_second_meeting(docs, sets, labels, listed), sets, docs))
+    # Beyond the bound of the broadcast every set takes part.
+    crowded, every = _most(met.where("token IS NOT NULL").groupBy("token").agg(F.sum("b").alias("times")))
+    if len(crowded.tokens) or every:
+        orders = docs.sparkSession.sparkContext.broadcast((order, crowded, order.with_first(crowded)))
+        tokens = stored(_tokens(docs, orders, every), "tokens")
+        # Twice the likeliest pairs alone, which leave few components; then all.
+        for forest in (True, True, False):
+            labels = _joined(labels, _check(_second_meeting(tokens, sets, labels, forest), sets, docs))
     return _by_document(rows, labels)
 
 
-def _second_meeting(docs: DataFrame, sets: DataFrame, labels: DataFrame, listed: list) -> DataFrame:
-    """Pairs of different components that meet when frequent tokens come last."""
-    every = len(listed) > MOST_HOT  # then sets whose hot tokens aren't listed take part as well
-    tokens = np.array([row["token"] for row in listed[:MOST_HOT]], np.int64).view(np.uint64)
-    counts = np.array([row["rows"] for row in listed[:MOST_HOT]], np.int64)
-    order = np.argsort(tokens)
-    shared = docs.sparkSession.sparkContext.broadcast((tokens[order], counts[order]))
+def _most(tokens: DataFrame) -> tuple[Order, bool]:
+    """The most frequent tokens, up to the bound, and whether there are more.
+
+    Levels of frequency are counted first, so that no task sorts all tokens;
+    a level that would exceed the bound stays out whole.
+    """
+    listed = stored(tokens.withColumn("level", F.floor(F.log2(F.col("times").cast("double")) * 8)), "frequent")
+    kept, least, levels = 0, None, listed.groupBy("level").count().orderBy(F.desc("level")).collect()
+    for row in levels:
+        kept += row["count"]
+        if kept > MOST_HOT:
+            break
+        least = row["level"]
+    most = listed.where(F.col("level") >= least if least is not None else F.lit(False)).select("token", "times").toArrow()
+    return Order(most["token"].to_numpy(), most["times"].to_numpy()), kept > MOST_HOT
+
+
+def _second_meeting(tokens: DataFrame, sets: DataFrame, labels: DataFrame, forest: bool) -> DataFrame:
+    """Pairs of different components that meet when crowded tokens come last."""
     own = labels.select(F.col("node").alias("sid"), "component")
-    rows = _tokens(docs, shared, every).join(own, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    rows = stored(rows, "tokens")
+    rows = tokens.join(own, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     stats = rows.groupBy("token").agg(F.count("*").alias("rows"), F.min("component").alias("least"), F.max("component").alias("most"))
     mixed = stored(stats.where("least != most").select("token", "rows"), "mixed")
     rows = rows.join(mixed, "token").join(sets.select("sid", "bitmap"), "sid")
@@ -390,7 +552,7 @@ def _second_meeting(docs: DataFrame, sets: DataFrame, labels: DataFrame, listed:
         .withColumn("tile", F.xxhash64("token", "low", F.least("mine", other), F.greatest("mine", other)))
     )
     tiles = rows.select("tile", "sid", "n", "place", "band", "low", "component", "bitmap").repartition("tile").sortWithinPartitions("tile", "n", "sid")
-    return tiles.mapInArrow(_tile_pairs, "a long, b long").distinct()
+    return tiles.mapInArrow(lambda batches: _tile_pairs(batches, forest), "a long, b long").distinct()
 
 
 def _by_document(rows: DataFrame, labels: DataFrame) -> DataFrame:
