@@ -30,7 +30,7 @@ WORDS = 5
 BITS = 2048  # of a parity bitmap at least
 MOST_BITS = 65_536
 FREQUENT = 8  # sets of a token: from there on it comes last in the order
-LOCAL_TOKENS = 4_000_000  # of a task, counted together
+LOCAL_TOKENS = 1_000_000  # of a task, counted together
 COUNTED = 0.35  # of a set
 GROUP = 16  # sets of a token that meet at once; more wait for the second round
 MOST_HOT = 1 << 20  # tokens of an order that are broadcast (16 MB)
@@ -56,16 +56,14 @@ def _word_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix64(out)
 
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
     """Sorted distinct hashes of the five-word shingles of each whole text.
 
     A to Z in lower case; words are what stands between blanks and the
     characters U+0009 to U+000D. Fewer than five words are one shingle.
     """
-    sets: list[np.ndarray] = []
     for part in chunks([len(text or "") for text in texts], BLOCK_BYTES):
-        sets += _shingle_sets([utf8(text).lower() for text in texts[part]])
-    return sets
+        yield from _shingle_sets([utf8(text).lower() for text in texts[part]])
 
 
 def _shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -96,7 +94,7 @@ def _shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
 
 
 def shingle_set(text: str | None) -> np.ndarray:
-    return shingle_sets([text])[0]
+    return next(shingle_sets([text]))
 
 
 def set_id(shingles: np.ndarray) -> int:
@@ -166,14 +164,11 @@ def _sets(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = shingle_sets(batch.column("text").to_pylist())
-            columns = [
-                batch.column("doc_id"),
-                pa.array([len(s) for s in found], pa.int64()),
-                pa.array([set_id(s) if len(s) else 0 for s in found], pa.int64()),
-                pa.array([parity_bitmap(s) for s in found], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "sid", "bitmap"])
+            if not batch.num_rows:
+                continue
+            rows = [(len(s), set_id(s) if len(s) else 0, parity_bitmap(s)) for s in shingle_sets(batch.column("text").to_pylist())]
+            columns = [pa.array(own, kind) for own, kind in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_shingles", "sid", "bitmap"])
 
     schema = "doc_id long, n_shingles long, sid long, bitmap binary"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
