@@ -4,13 +4,15 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as contract
+from adlake.oracle import oracle
+from adlake.queries import REGISTRY as QUERIES
 
-ORACLE = contract.oracle_sql()
-QUERIES = contract.queries()
+ORACLE = oracle()
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) == set(ORACLE) and QUERIES.items() <= contract.queries().items()
+    assert ORACLE.items() <= contract.oracle_sql().items() and set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.fixture(scope="module")
