@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.llm.components import components
-from adlake.llm.shared import chunks, few, mix64, stored, substring_hashes, utf8
+from adlake.llm.shared import chunks, few, mix64, pieces, stored, substring_hashes, utf8
 
 WORDS = 5
 # Similarity of at least 3/4: the overlap is at least 3/7 of both sizes.
@@ -163,7 +163,7 @@ def _sets(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, sid (0 for the empty set) and bitmap of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             if not batch.num_rows:
                 continue
             rows = [(len(s), set_id(s) if len(s) else 0, parity_bitmap(s)) for s in shingle_sets(batch.column("text").to_pylist())]
@@ -189,7 +189,7 @@ def _frequent_tokens(docs: DataFrame) -> DataFrame:
             tokens, times = np.unique(np.concatenate(parts), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(times.astype(np.int64))], ["token", "times"])
 
-        for batch in batches:
+        for batch in pieces(batches):
             for shingles in shingle_sets(batch.column("text").to_pylist()):
                 if len(shingles) and seen.new(set_id(shingles)):
                     parts.append(shingles[: int(len(shingles) * COUNTED) + 1])
@@ -241,7 +241,7 @@ def _tokens(docs: DataFrame, orders, every: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, seen = orders.value, _Seen()
         first, crowded, order = order if isinstance(order, tuple) else (None, None, order)
-        for batch in batches:
+        for batch in pieces(batches):
             parts: list[tuple[np.ndarray, int, int]] = []
             size = 0
             for shingles in shingle_sets(batch.column("text").to_pylist()):
@@ -439,7 +439,7 @@ def _intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets[sid] = shingle_set(text)
         return sets[sid]
 
-    for batch in batches:
+    for batch in pieces(batches):
         rows = zip(*[batch.column(name).to_pylist() for name in ("a", "b", "text_a", "text_b")])
         good = [linked(of(a, text_a), of(b, text_b)) for a, b, text_a, text_b in rows]
         yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))

@@ -15,6 +15,7 @@ from adlake.session import scratch_dir
 # as well could be mistaken for one another.
 NO_ID = -(2**63)
 BROADCAST_ROWS = 1_000_000  # of ids: some 16 MB
+PIECE_BYTES = 4 << 20  # turned into Python values at once
 RADIX = 0x9E3779B97F4A7C15
 _powers: list[np.ndarray] = []
 
@@ -47,6 +48,14 @@ def row_key() -> list[Column]:
     ]
 
 
+def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of some ``PIECE_BYTES``, one row at least."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * PIECE_BYTES // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -64,7 +73,7 @@ def add_columns(frame: DataFrame, column: str, added: dict[str, str], start: Cal
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = start()
-        for batch in batches:
+        for batch in pieces(batches):
             names, arrays = list(batch.schema.names), list(batch.columns)
             for name, values in zip(added, function(batch.column(column).to_pylist()), strict=True):
                 names.append(name)
