@@ -16,7 +16,7 @@ from adlake.llm.shared import add_columns, utf8
 WORD_BITS = 512  # two levels of such words hold 262,144 ranks
 LEVEL_SHIFT = 9
 WORD_MASK = WORD_BITS - 1
-CACHED_PIECES = 400_000  # in each half of the cache; some 100 MB together
+CACHED_PIECES = 200_000  # in each half of the cache; some 50 MB a half
 CACHED_PIECE_CHARS = 48
 IDS = np.dtype("<u4")
 
