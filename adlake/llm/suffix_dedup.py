@@ -263,15 +263,22 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def repeated_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Byte ranges (_id, _hash, start, end) that repeat, and later copies of texts.
 
-    ``docs`` has _id, _hash and text; each text's first row alone is looked at.
+    ``docs`` has _id, _hash and text; of each text one row of the least _id
+    alone is looked at, so a row that repeats is no earlier copy of itself.
     """
     long = docs.where(F.octet_length("text") >= LENGTH)
     both = [F.col("_hash"), F.xxhash64(F.lit(1), "text").alias("_other")]
     keys = long.select("_id", *both)
-    groups = keys.groupBy("_hash", "_other").agg(F.min("_id").alias("least"), F.max("_id").alias("most")).where("least != most")
-    groups = stored(groups.drop("most"), "copied")
-    copies = stored(keys.join(few(groups), ["_hash", "_other"]).where(F.col("_id") > F.col("least")).select("_id", "_hash").distinct(), "copies")
+    groups = keys.groupBy("_hash", "_other").agg(F.min("_id").alias("least"), F.count("*").alias("rows")).where("rows > 1")
+    groups = stored(groups.drop("rows"), "copied")
+    copied = keys.join(few(groups), ["_hash", "_other"])
+    copies = stored(copied.where(F.col("_id") > F.col("least")).select("_id", "_hash").distinct(), "copies")
     alone = long.join(few(copies), ["_id", "_hash"], "left_anti")
+    first = copied.where(F.col("_id") == F.col("least")).groupBy("_id", "_hash").count()
+    repeated = stored(first.where(F.col("count") > 1).select("_id", "_hash"), "repeated")
+    if repeated.limit(1).count():
+        once = stored(alone.join(few(repeated), ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]), "once")
+        alone = alone.join(few(repeated), ["_id", "_hash"], "left_anti").unionByName(once)
 
     anchors = alone.select("_hash", "text").mapInArrow(_anchors, "anchor long, deal int, _hash long, place int")
     dealt = anchors.repartition("anchor", "deal").sortWithinPartitions("anchor", "deal")

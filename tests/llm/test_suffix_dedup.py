@@ -44,6 +44,20 @@ def test_against_all_strings(make, monkeypatch, most, rows):
     assert {key: (*value[:4], bytes(value[4])) for key, value in found.items()} == expected
 
 
+@pytest.mark.parametrize("most", [4096, 1])
+def test_repeated_rows_are_one_document(make, monkeypatch, most):
+    monkeypatch.setattr(suffix_dedup, "MOST_SUFFIXES", most)
+    draw = random.Random(9)
+    word = lambda n: "".join(draw.choices("abcde é", k=n))
+    lone, copied = word(300), word(200)
+    rows = [(1, lone), (2, copied), (3, copied), (None, word(150)), (4, word(40) + lone[:120]), (5, lone[150:280] * 2), (5, word(130))]
+    expected = {(key, value[0]): value[1:] for row in (rows[:-1], rows[-1:]) for key, value in brute(row).items()}
+    found = dedup_bytes(make(rows * 2 + rows[:1] * 3)).collect()
+    assert len(found) == 2 * len(rows) + 3
+    for row in found:
+        assert (*tuple(row)[2:5], bytes(row["kept"])) == expected[row["doc_id"], row["n_bytes"]]
+
+
 def test_odd_rows(odd, empty):
     rows = dedup_bytes(odd).collect()
     assert len(rows) == odd.count()
