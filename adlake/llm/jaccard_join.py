@@ -160,7 +160,7 @@ class _Seen:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, sid (0 for the empty set) and bitmap of every row."""
+    """doc_id, text_hash, n_shingles, sid (0 for the empty set) and bitmap of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -168,10 +168,15 @@ def _sets(docs: DataFrame) -> DataFrame:
                 continue
             rows = [(len(s), set_id(s) if len(s) else 0, parity_bitmap(s)) for s in shingle_sets(batch.column("text").to_pylist())]
             columns = [pa.array(own, kind) for own, kind in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_shingles", "sid", "bitmap"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), *columns], ["doc_id", "text_hash", "n_shingles", "sid", "bitmap"])
 
-    schema = "doc_id long, n_shingles long, sid long, bitmap binary"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    schema = "doc_id long, text_hash long, n_shingles long, sid long, bitmap binary"
+    return _keyed(docs).mapInArrow(run, schema)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a hash of it: rows of one doc_id may have several texts."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
 
 
 def _frequent_tokens(docs: DataFrame) -> DataFrame:
@@ -452,8 +457,8 @@ def _check(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
         pairs = pairs.join(own, end)
     likely = stored(pairs.mapInArrow(_bitmaps_pass, "a long, b long"), "pairs")
     ends = likely.select(F.col("a").alias("sid")).union(likely.select(F.col("b").alias("sid"))).distinct()
-    wanted = stored(ends.join(sets.select("sid", "doc_id"), "sid"), "ends")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(few(wanted), "doc_id").select("sid", "text")
+    wanted = stored(ends.join(sets.select("sid", "doc_id", "text_hash"), "sid"), "ends")
+    texts = _keyed(docs).join(few(wanted), ["doc_id", "text_hash"]).select("sid", "text")
     texts = stored(texts.dropDuplicates(["sid"]), "texts")
     for end in ("a", "b"):
         likely = likely.join(texts.select(F.col("sid").alias(end), F.col("text").alias(f"text_{end}")), end)
@@ -489,7 +494,9 @@ def link_components(docs: DataFrame) -> DataFrame:
     """
     rows = stored(_sets(docs), "sets")
     known = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    sets = stored(known.groupBy("sid", "n_shingles").agg(F.min("doc_id").alias("doc_id"), F.first("bitmap").alias("bitmap")), "distinct")
+    least = F.min(F.struct("doc_id", "text_hash")).alias("least")
+    sets = known.groupBy("sid", "n_shingles").agg(least, F.first("bitmap").alias("bitmap"))
+    sets = stored(sets.select("sid", "n_shingles", "least.*", "bitmap"), "distinct")
     order = _most(_frequent_tokens(docs))[0]
 
     shared = docs.sparkSession.sparkContext.broadcast(order)

@@ -86,6 +86,13 @@ def test_one_id_with_several_texts(make):
     assert found == {2: 2, 3: 2, 5: 2}
 
 
+def test_near_copies_under_ids_with_several_texts(make):
+    texts = [" ".join(f"t{n}w{at}" for at in range(60)) for n in range(12)]
+    rows = [(3, text) for text in texts] + [(100 + n, text + " edit") for n, text in enumerate(texts)]
+    found = {(row["doc_id"], row["component_id"]) for row in link_components(make(rows)).collect()}
+    assert found == {(number, 3) for number, _ in rows}
+
+
 def test_components_of_a_long_chain(spark):
     order = list(range(3000))
     random.Random(1).shuffle(order)
