@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from adlake.llm.shared import add_columns, chunks
 
 WORD = re.compile(r"\w+")
+LONGEST = 64  # characters of a word; a longer run is overlapping pieces of so many
 WINDOW = 16  # words
 STRIDE = 8  # so windows overlap by half
 WORD_SIZE = 8
@@ -41,9 +42,22 @@ class Recurrent:
         return np.stack([x @ self.p["w_forward"] + self.p["b_forward"], x @ self.p["w_backward"] + self.p["b_backward"]])
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text in lower case.
+
+    A run of over ``LONGEST`` characters, as of text without blanks, stands as
+    pieces that overlap by half and cover it whole.
+    """
+    runs = WORD.findall(text.lower())
+    if max(map(len, runs), default=0) <= LONGEST:
+        return runs
+    step = LONGEST // 2
+    return [run[at : at + LONGEST] for run in runs for at in range(0, max(1, len(run) - step), step if len(run) > LONGEST else len(run))]
+
+
 def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the byte trigrams of all marked words, and where each starts."""
-    marked = [b"<%b>" % word[:64].encode("utf-8", "surrogatepass") for word in words]
+    marked = [b"<%b>" % word.encode("utf-8", "surrogatepass") for word in words]
     sizes = np.array([len(word) for word in marked], np.int64)
     flat = np.frombuffer(b"".join(marked) + b"  ", np.uint8).astype(np.uint32)
     mixed = (flat[:-2] * np.uint32(961) + flat[1:-1] * np.uint32(31) + flat[2:]) * np.uint32(0x9E3779B1)
@@ -114,7 +128,7 @@ def train(texts: list[str], labels: list[int], least_epochs: int = 4, least_step
     A text's logit is that of its highest window, so the slope of a text passes
     through that window alone: it may be the only one that earns the label.
     """
-    split = [WORD.findall(text.lower()) for text in texts]
+    split = [words_of(text) for text in texts]
     seen: dict[str, int] = {}
     for words in {tuple(words) for words in split}:
         for word in set(words):
@@ -253,7 +267,7 @@ class Scorer:
     def scores(self, texts: list[str]) -> np.ndarray:
         """Each text's highest window; a text without a word has the base score."""
         found = np.full(len(texts), self.free)
-        split = [WORD.findall(text.lower()) for text in texts]
+        split = [words_of(text) for text in texts]
         for part in chunks([len(words) for words in split], BATCH_WORDS):
             counts = [len(words) for words in split[part]]
             # A change of the table's rows must not come between look-up and use.
@@ -303,7 +317,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, rows: int
 
     Learns from the whole texts of a bounded sample of the labelled rows where
     ``learn``, a condition on doc_id, holds; the score of a text is that of its
-    highest window, over all overlapping windows of the whole text. A null or
+    highest window, over all overlapping windows of the whole text; a word of
+    over ``LONGEST`` characters counts as overlapping pieces. A null or
     empty text and one without a word get the score of no evidence. Without
     labels of both kinds every score is 0. Equal texts get equal scores;
     repeated rows, null ids and other columns pass through.

@@ -112,3 +112,15 @@ def test_toxic_words_are_found_anywhere(spark, make, odd, empty):
     none = toxicity.score_toxicity(odd, labels.where("false"), F.lit(True)).collect()
     assert {row["score"] for row in none} == {0.0}
     assert toxicity.score_toxicity(empty, labels, F.lit(True)).count() == 0
+
+
+def test_long_runs_are_read_to_their_end():
+    for size in (1, 31, 32, 33, 63, 64, 65, 96, 97, 128, 129, 1000):
+        run = "".join(chr(0x4E00 + at) for at in range(size))
+        own = toxicity.words_of(f"Go {run}, on")
+        assert own[0] == "go" and own[-1] == "on" and max(map(len, own)) <= 64
+        assert own[1:-1] == [run] if size <= 64 else set().union(*({word[at : at + 3] for at in range(len(word) - 2)} for word in own[1:-1])) == {run[at : at + 3] for at in range(size - 2)}
+    texts = [("我们今天去公园散步" * 12 + end * 4, label) for end, label in (("坏话脏话", 1), ("鲜花绿树", 0)) for _ in range(8)]
+    scorer = toxicity.Scorer(toxicity.train([text for text, _ in texts], [label for _, label in texts]))
+    toxic, clean = scorer.scores([texts[0][0], texts[-1][0]])
+    assert toxic > 0.5 > clean
