@@ -82,3 +82,22 @@ def test_every_sentence_is_recognised():
     recogniser = licenses.Recogniser()
     for name, sentence in licenses.SENTENCES.items():
         assert recogniser.identifiers(f"Before. {sentence}.\nAfter.") == [name]
+
+
+def test_wordings_of_real_files():
+    recogniser = licenses.Recogniser()
+    of = lambda text: recogniser.licences(recogniser.identifiers(text))
+    head = "{BSD-grant}:\n\n1. {BSD-source}.\n2. {BSD-binary}.\n".replace("{", "%(").replace("}", ")s") % licenses.SENTENCES
+    disclaimer = "\n" + licenses.SENTENCES["BSD-as-is"] + "."
+    named = "3. Neither the name of Google Inc. nor the names of its\ncontributors may be used to endorse or promote products derived from\nthis software without specific prior written permission.\n"
+    regents = disclaimer.replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE REGENTS AND CONTRIBUTORS")
+    assert of(head + named + disclaimer) == of(head + named) == of(head + named + regents) == ["BSD-3-Clause"]
+    assert of(head + disclaimer) == of(head + regents) == of(head) == of(head + "\nOther words.") == ["BSD-2-Clause"]
+    assert of(head + "3. You must send a postcard.\n" + disclaimer) == of(head + "3. You must send a postcard.") == ["LicenseRef-BSD-family"]
+    advertising = "3. " + licenses.SENTENCES["BSD-advertising"] + ": This product includes software developed by X.\n"
+    assert of(head + advertising + named.replace("3.", "4.") + regents) == ["BSD-4-Clause"]
+    assert of("# The ASF licenses this file\n# to You under the Apache License, Version 2.0\n# (the \"License\"); you may not use this file") == ["Apache-2.0"]
+    assert of("// SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0\nint x;") == ["Apache-2.0", "GPL-2.0-only", "MIT"]
+    assert of("To the extent possible under law, Jane Doe has waived all copyright and related or neighboring rights to This Work.") == ["CC0-1.0"]
+    for name, licence in (("Unlicense", "Unlicense"), ("AGPL-free", "AGPL-3.0-or-later"), ("LGPL-free-2.1", "LGPL-2.1-or-later"), ("GPL-3-body", "GPL-3.0"), ("Apache-body-grant", "Apache-2.0")):
+        assert of(licenses.SENTENCES[name] + ".") == [licence]
