@@ -56,6 +56,13 @@ def pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, rows)
 
 
+def pieces_of(array: pa.Array) -> Iterator[pa.Array]:
+    """The array in slices of some ``PIECE_BYTES``, one value at least."""
+    values = max(1, len(array) * PIECE_BYTES // max(1, array.nbytes))
+    for start in range(0, len(array), values):
+        yield array.slice(start, values)
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
