@@ -12,7 +12,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import bpe, decontamination, jaccard_join, language_id, licenses, line_dedup, sharding, suffix_dedup, topk_search, toxicity
+from adlake.llm import (
+    bpe,
+    decontamination,
+    jaccard_join,
+    language_id,
+    licenses,
+    line_dedup,
+    sharding,
+    suffix_dedup,
+    token_counts,
+    topk_search,
+    toxicity,
+    turn_repair,
+    vector_codes,
+)
 from adlake.llm.shared import of_hash, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +87,19 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).drop("text")
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.audit_conversations(turn_repair.damage(read_table(spark, sf_dir, "conversations")))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"), parts=8, count=16, rounds=6)
+
+
 QUERIES: dict[str, Query] = {
     function.__name__: function
     for function in (
@@ -86,10 +113,106 @@ QUERIES: dict[str, Query] = {
         op8_jaccard_join,
         op9_decontamination,
         op10_bpe,
+        op11_token_counts,
+        op12_turn_repair,
+        op13_vector_codes,
     )
 }
 
+TURN_REPAIR_SQL = r"""
+    WITH RECURSIVE k AS (
+      SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+    f AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        xor(4294967295, list_reduce(list_transform(range(1, length(key) + 1), lambda i: CAST(ascii(key[i]) AS BIGINT)),
+          lambda c, b: list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b)),
+          CAST(4294967295 AS BIGINT))) % 20 AS fate
+      FROM k),
+    d AS (
+      SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+        CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+      FROM f WHERE fate <> 0),
+    n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS seq FROM d),
+    w AS (
+      SELECT *, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS inner_text,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY seq) AS nth,
+        lag(role[1]) OVER (PARTITION BY conv_id ORDER BY seq) || role[1] AS pair
+      FROM n),
+    c AS (
+      SELECT conv_id, seq, turn, role, text, pair, inner_text = '' AS blank, inner_text <> '' AND nth > 1 AS dup,
+        inner_text <> '' AND nth = 1 AND inner_text[-1] NOT IN ('.', '!', '?') AS trunc
+      FROM w),
+    s AS (
+      SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps, max(seq) AS n,
+        CAST(count_if(blank) AS BIGINT) AS blank, CAST(count_if(dup) AS BIGINT) AS duplicate, CAST(count_if(trunc) AS BIGINT) AS truncated,
+        CAST(count_if(pair NOT IN ('su', 'ua', 'au')) AS BIGINT) AS illegal
+      FROM c GROUP BY conv_id),
+    r AS (  -- the cheapest way to each state before turn ``seq``; states: nothing yet, s, u, a
+      SELECT conv_id, CAST(1 AS BIGINT) AS seq, {'c': 0, 'e': ''} AS z, {'c': 100000000, 'e': ''} AS s, {'c': 3, 'e': 'I'} AS u, {'c': 6, 'e': 'II'} AS a FROM s
+      UNION ALL
+      SELECT conv_id, seq, z, s, u, least(a, {'c': u.c + 3, 'e': u.e || 'I'}) FROM (
+        SELECT conv_id, seq, z, s, a, least(u, {'c': z.c + 3, 'e': z.e || 'I'}, {'c': s.c + 3, 'e': s.e || 'I'}, {'c': a.c + 3, 'e': a.e || 'I'}) AS u FROM (
+          SELECT r.conv_id, r.seq + 1 AS seq, {'c': z.c + 4, 'e': z.e || 'D'} AS z,
+            least({'c': s.c + 4, 'e': s.e || 'D'}, {'c': z.c + CASE WHEN gone OR role[1] <> 's' THEN 100000000 ELSE more END, 'e': z.e || 'K'}) AS s,
+            least({'c': u.c + 4, 'e': u.e || 'D'}, {'c': z.c + stay_u, 'e': z.e || edit_u}, {'c': s.c + stay_u, 'e': s.e || edit_u}, {'c': a.c + stay_u, 'e': a.e || edit_u}) AS u,
+            least({'c': a.c + 4, 'e': a.e || 'D'}, {'c': u.c + stay_a, 'e': u.e || edit_a}) AS a
+          FROM r JOIN (
+            SELECT conv_id, seq, role, blank OR dup AS gone, CASE WHEN trunc THEN 3 ELSE 0 END AS more,
+              CASE WHEN blank OR dup THEN 100000000 ELSE more + CASE WHEN role[1] = 'u' THEN 0 ELSE 3 END END AS stay_u, CASE WHEN role[1] = 'u' THEN 'K' ELSE 'R' END AS edit_u,
+              CASE WHEN blank OR dup THEN 100000000 ELSE more + CASE WHEN role[1] = 'a' THEN 0 ELSE 3 END END AS stay_a, CASE WHEN role[1] = 'a' THEN 'K' ELSE 'R' END AS edit_a
+            FROM c) t ON t.conv_id IS NOT DISTINCT FROM r.conv_id AND t.seq = r.seq))),
+    b AS (SELECT s.*, least(r.z, r.a) AS way FROM s JOIN r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.seq = s.n + 1),
+    e AS (SELECT conv_id, way.e AS audit, length(replace(way.e, 'D', '')) AS total, unnest(range(1, length(way.e) + 1)) AS i FROM b),
+    o AS (SELECT conv_id, total, i, audit[i] AS edit, length(replace(audit[1:i], 'I', '')) AS seq, length(replace(audit[1:i], 'D', '')) AS place FROM e),
+    t AS (
+      SELECT o.conv_id, string_agg(
+        CASE WHEN o.edit = 'K' THEN c.role WHEN (o.place + o.total) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN o.edit = 'I' THEN '' ELSE c.text END,
+        chr(10) ORDER BY o.i) AS lines
+      FROM o LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM o.conv_id AND c.seq = o.seq WHERE o.edit <> 'D' GROUP BY o.conv_id)
+    SELECT a.conv_id, coalesce(b.gaps, 0) AS gaps, coalesce(b.blank, 0) AS blank, coalesce(b.duplicate, 0) AS duplicate,
+      coalesce(b.truncated, 0) AS truncated, coalesce(b.illegal, 0) AS illegal, CAST(coalesce(b.way.c, 0) AS BIGINT) AS cost,
+      coalesce(b.way.e, '') AS audit, sha256(coalesce(t.lines, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) a
+    LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+
+def vector_codes_sql(parts: int = 8, count: int = 16, rounds: int = 6) -> str:
+    """Plain rounds over all entries; a value a row."""
+    steps = [f"""
+    v AS (
+      SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS id,
+        list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+      FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    x AS (
+      SELECT id, i // (len(e) // {parts}) AS part, i % (len(e) // {parts}) AS pos, e[i + 1] AS val
+      FROM (SELECT id, e, unnest(range(len(e))) AS i FROM v)),
+    c0 AS (SELECT part, id AS entry, pos, val FROM x WHERE id < {count})"""]
+    for at in range(rounds + 1):
+        steps.append(f"""
+    a{at} AS (
+      SELECT id, part, min(struct_pack(d := d, entry := entry)) AS best FROM (
+        SELECT x.id, x.part, c.entry, sum((x.val - c.val) * (x.val - c.val)) AS d FROM x JOIN c{at} c ON c.part = x.part AND c.pos = x.pos GROUP BY ALL)
+      GROUP BY id, part)""")
+        if at < rounds:
+            steps.append(f"""
+    c{at + 1} AS (
+      SELECT c.part, c.entry, c.pos, coalesce(m.val, c.val) AS val FROM c{at} c LEFT JOIN (
+        SELECT x.part, a.best.entry AS entry, x.pos, CAST(floor(sum(x.val) / count(*)) AS BIGINT) AS val
+        FROM x JOIN a{at} a ON a.id = x.id AND a.part = x.part GROUP BY ALL) m ON m.part = c.part AND m.entry = c.entry AND m.pos = c.pos)""")
+    return f"""WITH {",".join(steps)},
+    r AS (
+      SELECT id, string_agg(lower(lpad(to_hex(best.entry), 2, '0')), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+      FROM a{rounds} GROUP BY id)
+    SELECT v.vec_id, r.code, r.error, CAST(sum(r.error) OVER (PARTITION BY v.label) AS BIGINT) AS label_error,
+      (SELECT sha256(string_agg(CAST(val AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM c{rounds}) AS codebooks_sha256
+    FROM v JOIN r ON r.id = v.id"""
+
+
 ORACLES: dict[str, str] = {
+    "op12_turn_repair": TURN_REPAIR_SQL,
+    "op13_vector_codes": vector_codes_sql(),
     "op1_topk_search": """
         WITH v AS (
           SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
