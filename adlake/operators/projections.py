@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from adlake.functions.exprs import ISO_MICROS, identity_hash, narrow_int
+from adlake.functions.exprs import ISO_MICROS, as_date, identity_hash, narrow_int
 from adlake.operators.dedup import latest_copy
 from adlake.operators.filters import event_date_between
 from adlake.schemas import PAYLOAD_SCHEMA, SILVER_COLUMNS, SOURCE_COLUMNS, SOURCE_SCHEMA
 
+GOOD, REJECTED = "good", "rejected"
+
 # Silver columns kept as INT; wider source values become NULL.
 NARROWED = ["conversion", "attribution", "click", "click_pos", "click_nb"]
 
@@ -107,9 +109,8 @@ def drop_unidentified(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.where(is_identified()), parsed.where(~is_identified())
 
 
-def select_silver(parsed: DataFrame, *carried: str) -> DataFrame:
-    """The Silver columns, in table order, of identified payloads, followed by
-    ``carried`` message columns."""
+def silver_columns() -> list[Column]:
+    """The Silver columns of a parsed payload, in table order."""
     derived = {
         "event_date": F.to_date("event.event_time"),
         "event_hour": F.hour("event.event_time"),
@@ -120,8 +121,31 @@ def select_silver(parsed: DataFrame, *carried: str) -> DataFrame:
         "kafka_topic": F.col("topic"),
         **{name: F.col(name) for name in ("bronze_ingest_ts", "kafka_partition", "kafka_offset", "payload_hash")},
     }
-    columns = [derived.get(name, F.col(f"event.{name}")).alias(name) for name in SILVER_COLUMNS]
-    return parsed.where(is_identified()).select(*columns, *carried)
+    return [derived.get(name, F.col(f"event.{name}")).alias(name) for name in SILVER_COLUMNS]
+
+
+def select_silver(parsed: DataFrame, *carried: str) -> DataFrame:
+    """The Silver columns, in table order, of identified payloads, followed by
+    ``carried`` message columns."""
+    return parsed.where(is_identified()).select(*silver_columns(), *carried)
+
+
+def project_landing(bronze: DataFrame, start: date | str | None = None, end: date | str | None = None) -> DataFrame:
+    """Every Bronze row, parsed once: Silver columns, ``status`` (``good`` or
+    ``rejected``: no event id or time), the message time, and the payload of a
+    rejected row. With dates, good rows outside them are left out."""
+    status = F.when(is_identified(), GOOD).otherwise(REJECTED)
+    kept = F.when(~is_identified(), F.col("payload"))
+    rows = parse_payload(bronze).select(*silver_columns(), "kafka_timestamp", kept.alias("payload"), status.alias("status"))
+    if start is None:
+        return rows
+    first, last = as_date(start), as_date(end if end is not None else start)
+    return rows.where((F.col("status") == REJECTED) | F.col("event_date").between(F.lit(first), F.lit(last)))
+
+
+def newest_events(rows: DataFrame) -> DataFrame:
+    """One Silver row per event id: the copy at the highest message position."""
+    return latest_copy(rows).select(*SILVER_COLUMNS)
 
 
 def project_silver(bronze: DataFrame) -> DataFrame:
@@ -141,11 +165,11 @@ def silver_candidates(
     rows = select_silver(parse_payload(bronze), "kafka_timestamp")
     if start is not None:
         rows = event_date_between(rows, start, end if end is not None else start)
-    return latest_copy(rows).select(*SILVER_COLUMNS)
+    return newest_events(rows)
 
 
-def tag_run(df: DataFrame, name: str, as_of: datetime) -> DataFrame:
+def tag_run(df: DataFrame, name: str | Column, as_of: datetime) -> DataFrame:
     """Stamps result rows with their run time and check name."""
     return df.withColumns(
-        {"run_ts": F.lit(as_of).cast(TimestampType()), "query_file": F.lit(name)}
+        {"run_ts": F.lit(as_of).cast(TimestampType()), "query_file": F.lit(name) if isinstance(name, str) else name}
     )

@@ -230,6 +230,16 @@ def oracle() -> dict[str, str]:
         "stored_table_range": f"SELECT * FROM ({UPSERTED}) WHERE event_date BETWEEN '2024-01-10' AND '2024-01-12'",
         "stored_table_folded": UPSERTED,
         "stored_table_maintained": UPSERTED,
+        "stored_table_changes": f"""WITH {AD},
+            target AS (SELECT event_id, event_date AS d FROM ad WHERE seq % 3 <> 0),
+            source AS (SELECT event_id, seq, event_date + 1 AS d FROM ad WHERE seq % 2 = 0),
+            first AS (SELECT * FROM source WHERE seq % 4 = 0),
+            middle AS (SELECT event_id, d FROM first UNION ALL SELECT * FROM target WHERE event_id NOT IN (SELECT event_id FROM first)),
+            pairs AS (
+              SELECT 'feed-0' AS batch, t.d AS old_date, f.d AS new_date FROM first f LEFT JOIN target t ON t.event_id = f.event_id
+              UNION ALL SELECT 'feed-1', m.d, s.d FROM source s LEFT JOIN middle m ON m.event_id = s.event_id)
+            SELECT batch, CAST(old_date AS VARCHAR) AS old_date, CAST(new_date AS VARCHAR) AS new_date, CAST(count(*) AS BIGINT) AS rows
+            FROM pairs GROUP BY ALL""",
         "stored_table_earlier_version": f"""WITH {AD} SELECT event_id, seq, {DATE}, event_hour, campaign_id,
             round(cost + 1e-9, 6) AS cost FROM ad WHERE seq % 3 <> 0""",
         "backfill_range": silver_out(
@@ -250,9 +260,25 @@ def oracle() -> dict[str, str]:
             SELECT {DAILY_OUT} FROM daily""",
         "gold_rebuild_after_move": f"""WITH {SRC}, {SRC_EVENTS}, {MOVED}, {hourly("hourly", "moved")}, {DAILY}
             SELECT {DAILY_OUT} FROM daily""",
+        "gold_rebuild_of_changes": f"""WITH {SRC}, {SRC_EVENTS}, fed AS (
+              SELECT * REPLACE ({COPIED_COST} AS cost, CASE WHEN {COPIED_OFFSET} % 3 = 0 THEN event_date + 1 ELSE event_date END AS event_date)
+              FROM sad WHERE event_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-15'),
+            {hourly("hourly", "fed")}, {DAILY}
+            SELECT {DAILY_OUT} FROM daily""",
+        "gold_by_name": f"""WITH {SRC}, {SRC_EVENTS}, {hourly("hourly", "sad")}, {DAILY}
+            SELECT {DAILY_OUT} FROM daily""",
         "stream_to_silver": silver_out(COPIED_COST, COPIED_OFFSET),
-        "stream_batch_metrics": f"""WITH {SRC} SELECT 'bronze_to_silver' AS query_name, 'success' AS status,
-            CAST(count(*) + count(*) FILTER (line_number % 10 = 0) AS BIGINT) AS rows FROM src""",
+        "stream_batch_metrics": f"""WITH {SRC}, copied AS (
+              SELECT CAST(count(*) + count(*) FILTER (line_number % 10 = 0) AS BIGINT) AS n FROM src)
+            SELECT 'bronze_to_silver' AS query_name, 'success' AS status, n AS rows FROM copied
+            UNION ALL SELECT 'kafka_to_bronze', 'success', n FROM copied
+            UNION ALL SELECT 'kafka_to_bronze', 'failed', CAST(count(*) FILTER (line_number % 4 = 0) AS BIGINT) FROM src""",
+        "stream_batch_rejects": f"""WITH {SRC}, numbered AS (
+              SELECT line_number % 2 AS batch_id, line_number % CASE WHEN line_number % 2 = 0 THEN 7 ELSE 11 END = 0 AS broken FROM src)
+            SELECT 'bronze_to_silver' AS query_name, batch_id, CAST(count(*) FILTER (NOT broken) AS BIGINT) AS good,
+              CAST(count(*) FILTER (broken) AS BIGINT) AS rejected FROM numbered GROUP BY batch_id""",
+        "stream_dead_letters": f"""WITH {SRC} SELECT 'letters-0' AS batch, 'ad-events' AS kafka_topic, line_number AS kafka_offset,
+            '{{' AS payload FROM src WHERE line_number % 7 = 0""",
         "report_campaign_daily": f"""WITH {AD}, {HOURLY}, {DAILY} SELECT {DATE}, campaign_id, {MEASURES}, {RATES}
             FROM daily WHERE daily.event_date >= DATE '2024-01-01'""",
         "report_campaign_hourly": f"""WITH {AD}, {HOURLY} SELECT {DATE}, event_hour, campaign_id, {MEASURES}, {RATES}
@@ -338,15 +364,46 @@ def oracle() -> dict[str, str]:
                 WHEN 'scale_up' THEN least(12, greatest(current_max + 2, 2))
                 WHEN 'scale_down' THEN greatest(1, current_max - 1) ELSE current_max END AS INT)
                 AS target_max_executors, reason FROM graded""",
+        "scaling_of_recorded_lag": """WITH base AS (SELECT *, user_id % 50 AS u FROM events),
+            recent AS (SELECT u, event_id % 6 AS part, event_id, epoch_us(TIMESTAMP '2024-01-31') - (event_id % 900) * 1000000 AS moment FROM base WHERE u <= 40),
+            newest AS (SELECT * FROM recent QUALIFY row_number() OVER (PARTITION BY u, part ORDER BY moment DESC, event_id DESC) = 1),
+            lags AS (SELECT u, CAST(sum(u * 100) AS BIGINT) AS lag FROM newest GROUP BY u),
+            apps AS (SELECT DISTINCT u, 'app-' || u AS app, CAST(u % 13 + 1 AS INT) AS current_max, CAST(u % 5 * 10000 AS BIGINT) AS duration_ms FROM base),
+            graded AS (SELECT apps.*, lag, CASE WHEN lag >= 15000 OR duration_ms >= 120000 THEN 'scale_up' WHEN lag IS NULL THEN 'unknown_lag'
+                WHEN lag <= 6000 AND duration_ms <= 30000 THEN 'scale_down' ELSE 'hold' END AS reason FROM apps LEFT JOIN lags ON lags.u = apps.u)
+            SELECT app, current_max, duration_ms, lag, CAST(CASE reason WHEN 'scale_up' THEN least(12, greatest(current_max + 2, 2))
+                WHEN 'scale_down' THEN greatest(1, current_max - 1) ELSE current_max END AS INT) AS target_max_executors, reason FROM graded""",
     }
-    steady = [
+    no_deltas = "0.0, 'OK', 'delete_files=0, data_files=n, delete_file_mb=0.0'"
+    results = [
         f"SELECT * FROM ({freshness('silver_freshness_minutes', 'event_time', 'SELECT max(event_time) AS latest FROM sad', '2024-01-31 00:00:00', 10, 30)})",
         f"SELECT * FROM ({DAILY_ROWS.format(source='sad')})",
         "SELECT 'silver_duplicate_event_ids_7d', 0.0, 'OK', 'duplicate_event_ids=0'",
         "SELECT 'streaming_max_batch_duration_ms_15m', 0.0, 'OK', NULL",
+        "SELECT 'gold_freshness_minutes', NULL, 'OK', NULL",
+        "SELECT 'silver_avg_file_size_mb', NULL, 'WARN', NULL",
+        "SELECT 'silver_small_file_ratio', 1.0, 'WARN', NULL",
+        "SELECT 'silver_snapshots_last_24h', 1.0, 'OK', NULL",
+        "SELECT 'silver_manifest_count', 1.0, 'OK', NULL",
+        *[f"SELECT '{name}_delete_file_count', {no_deltas}" for name in ("silver", "gold_hourly", "gold_daily")],
     ]
+    files = {
+        "silver_freshness_minutes": "silver_freshness",
+        "silver_daily_row_count_min_7d": "silver_daily_row_count",
+        "silver_duplicate_event_ids_7d": "duplicate_event_id",
+        "streaming_max_batch_duration_ms_15m": "streaming_batch_duration",
+        "gold_freshness_minutes": "gold_freshness",
+        "silver_avg_file_size_mb": "silver_avg_file_size",
+        "silver_small_file_ratio": "silver_small_file_ratio",
+        "silver_snapshots_last_24h": "snapshot_growth_24h",
+        "silver_manifest_count": "manifest_count",
+        "silver_delete_file_count": "silver_delete_file_count",
+        "gold_hourly_delete_file_count": "gold_delete_file_count",
+        "gold_daily_delete_file_count": "gold_delete_file_count",
+    }
+    file_of = " ".join(f"WHEN '{metric}' THEN '{name}'" for metric, name in files.items())
     checks["health_run"] = (
-        f"WITH {SRC}, {SRC_EVENTS} SELECT *, '2024-01-31 00:00:00.000000' AS run_ts FROM ("
-        + " UNION ALL ".join(steady) + ")"
+        f"WITH {SRC}, {SRC_EVENTS} SELECT *, '2024-01-31 00:00:00.000000' AS run_ts, CASE metric_name {file_of} END AS query_file FROM ("
+        + " UNION ALL ".join(results) + ")"
     )
     return checks

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from adlake.functions.exprs import as_date
-from adlake.operators.projections import silver_candidates
 from adlake.plans.gold import build_gold, days_between
+from adlake.plans.landing import upsert_events
 from adlake.sources.bronze import read_bronze
 from adlake.tables.lake import Lake
+from adlake.tables.upsert_table import Change
 
 
 def backfill_silver(
@@ -17,10 +19,11 @@ def backfill_silver(
     end: date | str,
     bronze_start: str | None = None,
     bronze_end: str | None = None,
-) -> int | None:
+) -> Change:
     """Upserts the events of inclusive event dates, optionally from part of Bronze."""
     bronze = read_bronze(lake.spark, lake.bronze_path, bronze_start, bronze_end)
-    return lake.silver.upsert(silver_candidates(bronze, start, end), action="backfill")
+    change, _ = upsert_events(lake, bronze, f"backfill-{uuid.uuid4().hex}", start, end)
+    return change
 
 
 def backfill_and_rebuild(
@@ -29,14 +32,10 @@ def backfill_and_rebuild(
     end: date | str,
     bronze_start: str | None = None,
     bronze_end: str | None = None,
-    also_rebuild: set[date] | None = None,
 ) -> None:
-    """Backfills Silver, then replaces Gold for the same dates.
-
-    ``also_rebuild`` names dates that events were moved away from; without them
-    those dates keep the KPIs of the moved events.
-    """
-    backfill_silver(lake, start, end, bronze_start, bronze_end)
-    dates = set(days_between(as_date(start), as_date(end))) | set(also_rebuild or ())
+    """Backfills Silver, then replaces Gold for the same dates and for those
+    that Silver's change feed says events were moved away from."""
+    change = backfill_silver(lake, start, end, bronze_start, bronze_end)
+    dates = set(days_between(as_date(start), as_date(end))) | change.dates
     if dates:
         build_gold(lake, mode="replace", dates=dates)

@@ -7,11 +7,13 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlake.functions.exprs import utc_now
+from adlake.functions.local import local_rows
 from adlake.operators.filters import resolve_dates
 from adlake.operators.kpis import daily_kpis, hourly_kpis
-from adlake.schemas import DAILY_SCHEMA, HOURLY_SCHEMA
+from adlake.schemas import DAILY_SCHEMA, GOLD_REBUILD_SCHEMA, HOURLY_SCHEMA
 from adlake.tables.lake import Lake
-from adlake.tables.maintenance import replace_dates
+from adlake.tables.upsert_table import Change, UpsertTable
 
 
 def gold_hourly(silver: DataFrame) -> DataFrame:
@@ -24,14 +26,14 @@ def gold_daily(hourly: DataFrame) -> DataFrame:
     return rows.select(*DAILY_SCHEMA.names)
 
 
-def publish_hourly(lake: Lake, rows: DataFrame) -> int | None:
-    """Upserts hourly KPIs by date, hour and campaign."""
-    return lake.hourly.upsert(rows, action="publish")
+def publish_hourly(lake: Lake, rows: DataFrame) -> Change:
+    """Upserts hourly KPIs by date, hour and campaign, the groups they are made by."""
+    return lake.hourly.upsert(rows, unique=True)
 
 
-def publish_daily(lake: Lake, rows: DataFrame) -> int | None:
-    """Upserts daily KPIs by date and campaign."""
-    return lake.daily.upsert(rows, action="publish")
+def publish_daily(lake: Lake, rows: DataFrame) -> Change:
+    """Upserts daily KPIs by date and campaign, the groups they are made by."""
+    return lake.daily.upsert(rows, unique=True)
 
 
 def days_between(first: date, last: date) -> list[date]:
@@ -60,19 +62,42 @@ def build_gold(
     if not days:
         return
 
-    def of_days(rows: DataFrame) -> DataFrame:
-        return rows if not dates else rows.where(F.col("event_date").isin(days))
+    def of_days(table: UpsertTable) -> DataFrame:
+        return table.read_dates(dates) if dates else table.read(first, last)
 
-    hourly = gold_hourly(of_days(lake.silver.read(first, last)))
+    hourly = gold_hourly(of_days(lake.silver))
     if mode == "merge":
         publish_hourly(lake, hourly)
     elif mode == "replace":
-        replace_dates(lake.hourly, hourly, days)
+        lake.hourly.replace_dates(hourly, set(days))
     else:
         raise ValueError(f"unknown mode {mode!r}")
 
-    daily = gold_daily(of_days(lake.hourly.read(first, last)))
+    daily = gold_daily(of_days(lake.hourly))
     if mode == "merge":
         publish_daily(lake, daily)
     else:
-        replace_dates(lake.daily, daily, days)
+        lake.daily.replace_dates(daily, set(days))
+
+
+def pending_changes(lake: Lake) -> DataFrame:
+    """Rows of Silver's change feed that Gold has not taken in yet."""
+    return lake.silver.changes().join(lake.gold_rebuilds.read().select("batch"), "batch", "left_anti")
+
+
+def rebuild_changed(lake: Lake) -> set[date]:
+    """Replaces Gold for every date that Silver's batches since the last call
+    added to or took from, and returns these dates.
+
+    Batches are marked as taken in after Gold is written; a run that stops in
+    between is simply repeated.
+    """
+    # One row per batch and pair of dates; batches that wait are few.
+    pending = pending_changes(lake).select("batch", "old_date", "new_date").collect()
+    dates = {day for row in pending for day in (row["old_date"], row["new_date"]) if day is not None}
+    if dates:
+        build_gold(lake, mode="replace", dates=dates)
+        moment = utc_now()
+        done = [(moment, batch) for batch in sorted({row["batch"] for row in pending})]
+        lake.gold_rebuilds.append(local_rows(lake.spark, done, GOLD_REBUILD_SCHEMA).coalesce(1))
+    return dates

@@ -17,9 +17,11 @@ from adlake.operators.dedup import duplicate_keys
 from adlake.operators.filters import trailing
 from adlake.operators.projections import tag_run
 from adlake.sources.file_stats import file_stats
+from adlake.tables.files import exists
 from adlake.tables.append_table import append_rows
 from adlake.tables.lake import Lake
-from adlake.tables.maintenance import table_files
+from adlake.tables.maintenance import data_folders
+from adlake.tables.upsert_table import UpsertTable
 
 MIB = 1024 * 1024
 
@@ -46,8 +48,9 @@ DATA_CONTENT = ("0", "DATA")
 DELTA_CONTENT = ("1", "2", "POSITION_DELETES", "EQUALITY_DELETES", "DELTA")
 
 
-def _result(stats: DataFrame, name: str, value: Column, severity: Column, details: Column) -> DataFrame:
-    return stats.select(
+def _cell(name: str, value: Column, severity: Column, details: Column) -> Column:
+    """One result, made of the columns of a one-row frame of statistics."""
+    return F.struct(
         F.lit(name).alias("metric_name"),
         value.cast("double").alias("metric_value"),
         severity.alias("severity"),
@@ -55,6 +58,11 @@ def _result(stats: DataFrame, name: str, value: Column, severity: Column, detail
     )
 
 
+def _results(stats: DataFrame, *cells: Column) -> DataFrame:
+    """A row per result; the statistics are planned once for all of them."""
+    return stats.select(F.explode(F.array(*cells)).alias("result")).select("result.*")
+
+
 def _graded(critical: Column | None, warn: Column | None) -> Column:
     """CRITICAL, else WARN, else OK; a condition that is NULL does not hold."""
     grade = None
@@ -69,26 +77,29 @@ def _text(*parts: str | Column) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-def _freshness(df: DataFrame, column: str, name: str, limits: dict[str, int], as_of) -> DataFrame:
-    stats = df.agg(F.max(column).alias("latest"))
-    seconds = F.unix_timestamp(timestamp_literal(as_of)) - F.unix_timestamp("latest")
-    stats = stats.withColumn("minutes", F.round(seconds / 60, 6))
-    minutes = F.col("minutes")
-    return _result(
-        stats,
+def _freshness(latest: str, column: str, name: str, limits: dict[str, int], as_of) -> Column:
+    """The age of the newest time, which the statistics hold as ``latest``."""
+    seconds = F.unix_timestamp(timestamp_literal(as_of)) - F.unix_timestamp(latest)
+    minutes = F.round(seconds / 60, 6)
+    return _cell(
         name,
         F.coalesce(minutes, F.lit(AGE_OF_NOTHING)),
-        _graded(F.col("latest").isNull() | (minutes > limits["critical"]), minutes > limits["warn"]),
-        _text(f"max_{column}=", F.col("latest")),
+        _graded(F.col(latest).isNull() | (minutes > limits["critical"]), minutes > limits["warn"]),
+        _text(f"max_{column}=", F.col(latest)),
     )
 
 
+def _silver_freshness(as_of) -> Column:
+    return _freshness("latest", "event_time", "silver_freshness_minutes", SILVER_AGE_MINUTES, as_of)
+
+
 def silver_freshness(silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    return _freshness(silver, "event_time", "silver_freshness_minutes", SILVER_AGE_MINUTES, as_of)
+    return _results(silver.agg(F.max("event_time").alias("latest")), _silver_freshness(as_of))
 
 
 def gold_freshness(hourly: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    return _freshness(hourly, "gold_updated_at", "gold_freshness_minutes", GOLD_AGE_MINUTES, as_of)
+    stats = hourly.agg(F.max("gold_updated_at").alias("latest"))
+    return _results(stats, _freshness("latest", "gold_updated_at", "gold_freshness_minutes", GOLD_AGE_MINUTES, as_of))
 
 
 def daily_volume(silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
@@ -96,15 +107,13 @@ def daily_volume(silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
     return trailing(silver, "event_date", EVENT_WINDOW, as_of).groupBy("event_date").agg(F.count("*").alias("rows"))
 
 
-def daily_row_count(silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    stats = daily_volume(silver, as_of).agg(
-        F.count("*").alias("days"),
-        F.min("rows").alias("low"),
-        F.max("rows").alias("high"),
-        F.avg("rows").alias("mean"),
-    )
-    return _result(
-        stats,
+def _volume_stats(rows: Column) -> list[Column]:
+    """Over daily row counts; NULL counts play no part."""
+    return [F.count(rows).alias("days"), F.min(rows).alias("low"), F.max(rows).alias("high"), F.avg(rows).alias("mean")]
+
+
+def _daily_rows() -> Column:
+    return _cell(
         "silver_daily_row_count_min_7d",
         F.coalesce("low", F.lit(0)),
         _graded(F.col("days") == 0, F.col("low") < F.col("mean") * LOW_DAY_SHARE),
@@ -115,74 +124,153 @@ def daily_row_count(silver: DataFrame, as_of: datetime | None = None) -> DataFra
     )
 
 
-def _data_files(files: DataFrame) -> DataFrame:
-    return files.where(F.col("content").cast("string").isin(*DATA_CONTENT))
+def daily_row_count(silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    return _results(daily_volume(silver, as_of).agg(*_volume_stats(F.col("rows"))), _daily_rows())
 
 
-def avg_file_size(files: DataFrame) -> DataFrame:
-    stats = _data_files(files).agg(F.count("*").alias("files"), F.avg("length").alias("mean"))
-    megabytes = F.coalesce(F.col("mean") / MIB, F.lit(0.0))
-    return _result(
-        stats,
+def _duplicates() -> Column:
+    found = F.col("duplicates")
+    return _cell("silver_duplicate_event_ids_7d", found, _graded(found > 0, None), _text("duplicate_event_ids=", found))
+
+
+def duplicate_event_ids(silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    recent = trailing(silver, "event_date", EVENT_WINDOW, as_of)
+    return _results(duplicate_keys(recent, "event_id").agg(F.count("*").alias("duplicates")), _duplicates())
+
+
+def silver_checks(silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """Freshness, daily rows and duplicates from one scan: counts per event and
+    per date are two grouping sets of one aggregation."""
+    start = as_utc(as_of).date() - EVENT_WINDOW
+    recent = silver.select("event_id", "event_date", "event_time", (F.col("event_date") >= F.lit(start)).alias("recent"))
+    groups = recent.groupingSets([["event_id"], ["event_date"]], "event_id", "event_date").agg(
+        F.grouping("event_date").alias("by_event"), F.count_if("recent").alias("rows"), F.max("event_time").alias("latest")
+    )
+    by_event = F.col("by_event") == 1
+    stats = groups.agg(
+        F.max("latest").alias("latest"),
+        *_volume_stats(F.when(~by_event & (F.col("rows") > 0), F.col("rows"))),
+        F.count_if(by_event & (F.col("rows") > 1)).alias("duplicates"),
+    )
+    return _results(stats, _silver_freshness(as_of), _daily_rows(), _duplicates())
+
+
+def _file_stats(only: Column | None = None) -> list[Column]:
+    """All that the checks ask of a listing, or of ``only`` some of its files."""
+    kind = F.col("content").cast("string")
+    here = F.lit(True) if only is None else only
+    is_data, is_delta = here & kind.isin(*DATA_CONTENT), here & kind.isin(*DELTA_CONTENT)
+    length = F.when(is_data, F.col("length"))
+    return [
+        F.count(length).alias("files"),
+        F.avg(length).alias("mean"),
+        F.count_if(length < SMALL_FILE).alias("small"),
+        F.count_if(is_delta).alias("deltas"),
+        F.coalesce(F.sum(F.when(is_delta, F.col("length"))), F.lit(0)).alias("delta_bytes"),
+    ]
+
+
+# The cells below take the statistics by name, or from the struct named ``at``.
+
+
+def _avg_file_size(at: str = "") -> Column:
+    files, mean = F.col(f"{at}files"), F.col(f"{at}mean")
+    megabytes = F.coalesce(mean / MIB, F.lit(0.0))
+    return _cell(
         "silver_avg_file_size_mb",
         megabytes,
-        _graded(F.col("files") == 0, F.col("mean") < LOW_AVG_FILE),
-        _text("files=", F.col("files"), ", avg_file_size_mb=", megabytes),
+        _graded(files == 0, mean < LOW_AVG_FILE),
+        _text("files=", files, ", avg_file_size_mb=", megabytes),
     )
 
 
-def small_file_ratio(files: DataFrame) -> DataFrame:
-    stats = _data_files(files).agg(
-        F.count("*").alias("files"),
-        F.sum(F.when(F.col("length") < SMALL_FILE, 1).otherwise(0)).alias("small"),
-    )
-    ratio = F.col("small") / F.nullif(F.col("files"), F.lit(0))
-    return _result(
-        stats,
+def avg_file_size(files: DataFrame) -> DataFrame:
+    return _results(files.agg(*_file_stats()), _avg_file_size())
+
+
+def _small_file_ratio(at: str = "") -> Column:
+    files, small = F.col(f"{at}files"), F.col(f"{at}small")
+    ratio = small / F.nullif(files, F.lit(0))
+    return _cell(
         "silver_small_file_ratio",
         F.coalesce(ratio, F.lit(0.0)),
-        _graded(F.col("files") == 0, ratio > SMALL_FILE_SHARE),
-        _text("small_files=", F.col("small"), ", total_files=", F.col("files")),
+        _graded(files == 0, ratio > SMALL_FILE_SHARE),
+        _text("small_files=", F.when(files > 0, small), ", total_files=", files),
     )
 
 
-def snapshot_growth(commits: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    stats = trailing(commits, "committed_at", SNAPSHOT_WINDOW, as_of).agg(
-        F.count("*").alias("recent"), F.max("commit").alias("latest")
-    )
-    return _result(
-        stats,
-        "silver_snapshots_last_24h",
-        F.col("recent"),
-        _graded(None, F.col("recent") > MANY_SNAPSHOTS),
-        _text("latest_snapshot_id=", F.col("latest"), ", snapshots_24h=", F.col("recent")),
+def small_file_ratio(files: DataFrame) -> DataFrame:
+    return _results(files.agg(*_file_stats()), _small_file_ratio())
+
+
+def _metadata_files(at: str = "") -> Column:
+    files = F.col(f"{at}files")
+    return _cell(
+        "silver_manifest_count",
+        files,
+        _graded(None, files > MANY_MANIFESTS),
+        _text("manifests=", files, ", avg_manifest_length_mb=", F.coalesce(F.col(f"{at}mean") / MIB, F.lit(0.0))),
     )
 
 
 def commit_record_count(records: DataFrame) -> DataFrame:
-    """On a listing of metadata files: here one per commit record."""
-    stats = records.agg(F.count("*").alias("records"), F.avg("length").alias("mean"))
-    return _result(
+    """On a listing of metadata files: here those of the change feed."""
+    return _results(records.agg(F.count("*").alias("files"), F.avg("length").alias("mean")), _metadata_files())
+
+
+def _delta_files(name: str, at: str = "") -> Column:
+    files, deltas = F.col(f"{at}files"), F.col(f"{at}deltas")
+    return _cell(
+        name,
+        deltas,
+        _graded(deltas > MANY_DELTA_FILES, deltas > F.greatest(files, F.lit(1)) * DELTA_FILE_SHARE),
+        _text("delete_files=", deltas, ", data_files=", files, ", delete_file_mb=", F.col(f"{at}delta_bytes") / MIB),
+    )
+
+
+def delta_file_count(files: DataFrame, name: str = "silver_delete_file_count") -> DataFrame:
+    """Files that take rows away from others, against data files."""
+    return _results(files.agg(*_file_stats()), _delta_files(name))
+
+
+def gold_delta_file_count(hourly_files: DataFrame, daily_files: DataFrame) -> DataFrame:
+    return delta_file_count(hourly_files, "gold_hourly_delete_file_count").unionByName(
+        delta_file_count(daily_files, "gold_daily_delete_file_count")
+    )
+
+
+def file_checks(silver: UpsertTable, hourly: UpsertTable, daily: UpsertTable) -> DataFrame:
+    """Every check of files, from one listing of all the tables' folders."""
+    feed = [silver.changes_path] if exists(silver.spark, silver.changes_path) else []
+    folders = {"silver": data_folders(silver), "hourly": data_folders(hourly), "daily": data_folders(daily), "feed": feed}
+    roots = {"silver": silver.data_path, "hourly": hourly.data_path, "daily": daily.data_path, "feed": silver.changes_path}
+    listing = file_stats(silver.spark, [path for paths in folders.values() for path in paths])
+    # A listing may leave out the scheme of a path.
+    inside = {name: F.contains("path", F.lit(root.split("://", 1)[-1].removeprefix("file:") + "/")) for name, root in roots.items()}
+    stats = listing.agg(*[F.struct(*_file_stats(where)).alias(name) for name, where in inside.items()])
+    return _results(
         stats,
-        "silver_manifest_count",
-        F.col("records"),
-        _graded(None, F.col("records") > MANY_MANIFESTS),
-        _text(
-            "manifests=", F.col("records"),
-            ", avg_manifest_length_mb=", F.coalesce(F.col("mean") / MIB, F.lit(0.0)),
-        ),
+        _avg_file_size("silver."),
+        _small_file_ratio("silver."),
+        _delta_files("silver_delete_file_count", "silver."),
+        _delta_files("gold_hourly_delete_file_count", "hourly."),
+        _delta_files("gold_daily_delete_file_count", "daily."),
+        _metadata_files("feed."),
     )
 
 
-def duplicate_event_ids(silver: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    recent = trailing(silver, "event_date", EVENT_WINDOW, as_of)
-    stats = duplicate_keys(recent, "event_id").agg(F.count("*").alias("duplicates"))
-    return _result(
+def snapshot_growth(commits: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    stats = trailing(commits, "committed_at", SNAPSHOT_WINDOW, as_of).agg(
+        F.count("*").alias("recent"), F.max("commit").alias("latest")
+    )
+    return _results(
         stats,
-        "silver_duplicate_event_ids_7d",
-        F.col("duplicates"),
-        _graded(F.col("duplicates") > 0, None),
-        _text("duplicate_event_ids=", F.col("duplicates")),
+        _cell(
+            "silver_snapshots_last_24h",
+            F.col("recent"),
+            _graded(None, F.col("recent") > MANY_SNAPSHOTS),
+            _text("latest_snapshot_id=", F.col("latest"), ", snapshots_24h=", F.col("recent")),
+        ),
     )
 
 
@@ -192,77 +280,65 @@ def batch_duration(metrics: DataFrame, as_of: datetime | None = None) -> DataFra
         F.max("batch_duration_ms").alias("longest"),
         F.sum(F.when(F.col("status") != "success", 1).otherwise(0)).alias("failed"),
     )
-    return _result(
+    return _results(
         stats,
-        "streaming_max_batch_duration_ms_15m",
-        F.coalesce("longest", F.lit(0)),
-        _graded(F.col("longest") > BATCH_MS["critical"], F.col("longest") > BATCH_MS["warn"]),
-        _text("recent_batches=", F.col("batches"), ", failed_batches=", F.col("failed")),
+        _cell(
+            "streaming_max_batch_duration_ms_15m",
+            F.coalesce("longest", F.lit(0)),
+            _graded(F.col("longest") > BATCH_MS["critical"], F.col("longest") > BATCH_MS["warn"]),
+            _text("recent_batches=", F.col("batches"), ", failed_batches=", F.col("failed")),
+        ),
     )
 
 
-def delta_file_count(files: DataFrame, name: str = "silver_delete_file_count") -> DataFrame:
-    """Un-folded delta files against data files."""
-    kind = F.col("content").cast("string")
-    is_delta = kind.isin(*DELTA_CONTENT)
+# Which check each metric belongs to.
+CHECK_OF = {
+    "silver_freshness_minutes": "silver_freshness",
+    "gold_freshness_minutes": "gold_freshness",
+    "silver_daily_row_count_min_7d": "silver_daily_row_count",
+    "silver_avg_file_size_mb": "silver_avg_file_size",
+    "silver_small_file_ratio": "silver_small_file_ratio",
+    "silver_snapshots_last_24h": "snapshot_growth_24h",
+    "silver_manifest_count": "manifest_count",
+    "silver_duplicate_event_ids_7d": "duplicate_event_id",
+    "streaming_max_batch_duration_ms_15m": "streaming_batch_duration",
+    "silver_delete_file_count": "silver_delete_file_count",
+    "gold_hourly_delete_file_count": "gold_delete_file_count",
+    "gold_daily_delete_file_count": "gold_delete_file_count",
+}
 
-    def total(condition: Column, value) -> Column:
-        return F.coalesce(F.sum(F.when(condition, value).otherwise(0)), F.lit(0))
 
-    stats = files.agg(
-        total(is_delta, 1).alias("deltas"),
-        total(kind.isin(*DATA_CONTENT), 1).alias("data"),
-        total(is_delta, F.col("length")).alias("delta_bytes"),
-    )
-    deltas = F.col("deltas")
-    return _result(
-        stats,
-        name,
-        deltas,
-        _graded(deltas > MANY_DELTA_FILES, deltas > F.greatest(F.col("data"), F.lit(1)) * DELTA_FILE_SHARE),
-        _text(
-            "delete_files=", deltas, ", data_files=", F.col("data"),
-            ", delete_file_mb=", F.col("delta_bytes") / MIB,
-        ),
-    )
+def recent_silver(silver: UpsertTable, as_of: datetime) -> DataFrame:
+    """Rows of the last seven days and of the newest date, whenever that was:
+    event dates follow event times, so the newest event is among them."""
+    days = silver.dates()
+    start = as_of.date() - EVENT_WINDOW
+    return silver.read_dates({day for day in days if day >= start} | set(days[-1:]))
 
 
-def gold_delta_file_count(hourly_files: DataFrame, daily_files: DataFrame) -> DataFrame:
-    return delta_file_count(hourly_files, "gold_hourly_delete_file_count").unionByName(
-        delta_file_count(daily_files, "gold_daily_delete_file_count")
-    )
+def batches_of(table: UpsertTable) -> DataFrame:
+    """A table's batches as commits: their name and time."""
+    return table.changes().groupBy(F.col("batch").alias("commit")).agg(F.max("changed_at").alias("committed_at"))
 
 
-def health_checks(lake: Lake, as_of: datetime) -> dict[str, DataFrame]:
-    """Every check on the lake's tables, by the name its rows are tagged with."""
+def health_checks(lake: Lake, as_of: datetime) -> list[DataFrame]:
+    """Every check on the lake's tables; Silver's rows are scanned once, and the
+    tables' folders listed once."""
     silver = lake.silver
-    recent = silver.read(start=as_of.date() - EVENT_WINDOW)
-    # Event dates follow event times, so the newest event is among the recent
-    # dates unless these are empty; only then is the whole table read.
-    newest = recent if not recent.isEmpty() else silver.read()
-    silver_files = table_files(silver)
-    return {
-        "silver_freshness": silver_freshness(newest, as_of),
-        "gold_freshness": gold_freshness(lake.hourly.read(), as_of),
-        "silver_daily_row_count": daily_row_count(recent, as_of),
-        "silver_avg_file_size": avg_file_size(silver_files),
-        "silver_small_file_ratio": small_file_ratio(silver_files),
-        "snapshot_growth_24h": snapshot_growth(silver.commits(), as_of),
-        "manifest_count": commit_record_count(file_stats(lake.spark, silver.commits_path)),
-        "duplicate_event_id": duplicate_event_ids(recent, as_of),
-        "streaming_batch_duration": batch_duration(
-            lake.batch_metrics.since(as_of - BATCH_WINDOW), as_of
-        ),
-        "silver_delete_file_count": delta_file_count(silver_files),
-        "gold_delete_file_count": gold_delta_file_count(table_files(lake.hourly), table_files(lake.daily)),
-    }
+    return [
+        silver_checks(recent_silver(silver, as_of), as_of),
+        gold_freshness(lake.hourly.read(), as_of),
+        file_checks(silver, lake.hourly, lake.daily),
+        snapshot_growth(batches_of(silver), as_of),
+        batch_duration(lake.batch_metrics.since(as_of - BATCH_WINDOW), as_of),
+    ]
 
 
 def run_health(lake: Lake, as_of: datetime | None = None) -> DataFrame:
     """Runs all checks as one job and appends their rows; returns them."""
     moment = as_utc(as_of)
-    tagged = [tag_run(check, name, moment) for name, check in health_checks(lake, moment).items()]
+    check = F.create_map(*[F.lit(text) for pair in CHECK_OF.items() for text in pair])[F.col("metric_name")]
     # One row per metric, so one file a run.
-    rows = reduce(DataFrame.unionByName, tagged).coalesce(1)
+    rows = tag_run(reduce(DataFrame.unionByName, health_checks(lake, moment)), check, moment).coalesce(1)
     append_rows(rows, lake.health_results)
     return lake.health_results.since(moment).where(F.col("run_ts") == F.lit(moment))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlake.operators.dedup import latest_per_key
 from adlake.operators.filters import trailing
 
+LAG_WINDOW = timedelta(minutes=15)
 STREAMING_QUERIES = ("kafka_to_bronze", "bronze_to_silver")
 
 # Default limits of the scaling rule.
@@ -22,39 +24,20 @@ LIMITS = {
 }
 
 
-def consumer_lag(offsets: DataFrame) -> DataFrame:
-    """Messages not yet read, over all partitions; nothing committed counts as 0."""
+def consumer_lag(offsets: DataFrame, *groups: str) -> DataFrame:
+    """Messages not yet read, over all partitions, optionally per group; nothing
+    committed counts as 0, and no partition at all leaves the lag unknown (NULL)."""
     behind = F.greatest(F.lit(0), F.col("end_offset") - F.coalesce("committed_offset", F.lit(0)))
-    return offsets.agg(F.coalesce(F.sum(behind), F.lit(0)).cast("bigint").alias("lag"))
+    lag = F.sum(F.when(F.col("end_offset").isNotNull(), behind)).cast("bigint").alias("lag")
+    return offsets.groupBy(*groups).agg(lag) if groups else offsets.agg(lag)
 
 
-def join_offsets(end: DataFrame, committed: DataFrame) -> DataFrame:
-    """End offsets with the committed ones, NULL where there is none."""
-    return end.join(committed, ["topic", "partition"], "left")
-
-
-def offsets_from_progress(spark: SparkSession, progress: dict) -> DataFrame:
-    """Offsets of a Kafka-fed query's last progress: ``endOffset`` is what it
-    has read, ``latestOffset`` what the topic holds."""
-    rows = [(s.get("latestOffset"), s.get("endOffset")) for s in progress["sources"]]
-    rows = [tuple(v if v is None or isinstance(v, str) else _json(v) for v in row) for row in rows]
-    frame = spark.createDataFrame(rows, "latest string, read string")
-
-    def exploded(column: str, name: str) -> DataFrame:
-        offsets = F.from_json(column, "map<string, map<string, bigint>>")
-        return (
-            frame.select(F.explode(offsets).alias("topic", "partitions"))
-            .select("topic", F.explode("partitions").alias("partition", name))
-            .withColumn("partition", F.col("partition").cast("int"))
-        )
-
-    return join_offsets(exploded("latest", "end_offset"), exploded("read", "committed_offset"))
-
-
-def _json(value) -> str:
-    import json
-
-    return json.dumps(value)
+def recorded_lag(offsets: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """``lag`` per streaming query from the newest offsets of each topic partition
+    recorded in 15 minutes. A query that recorded none has no row."""
+    recent = trailing(offsets, "metric_ts", LAG_WINDOW, as_of)
+    newest = latest_per_key(recent, ["query_name", "topic", "partition"], ["metric_ts", "batch_id"])
+    return consumer_lag(newest, "query_name")
 
 
 def max_duration(metrics: DataFrame, as_of: datetime | None = None) -> DataFrame:
@@ -65,23 +48,27 @@ def max_duration(metrics: DataFrame, as_of: datetime | None = None) -> DataFrame
     )
 
 
-def _value(source: DataFrame | int) -> Column:
-    return source.scalar() if isinstance(source, DataFrame) else F.lit(source).cast("bigint")
+def _with(apps: DataFrame, name: str, source: DataFrame | int | None) -> DataFrame:
+    if source is None:
+        return apps
+    value = source.scalar() if isinstance(source, DataFrame) else F.lit(source).cast("bigint")
+    return apps.withColumn(name, value)
 
 
-def decide(apps: DataFrame, lag: DataFrame | int, duration: DataFrame | int, **limits: int) -> DataFrame:
-    """Target executor limit per app. ``lag`` and ``duration`` are numbers or
-    one-row frames."""
+def decide(apps: DataFrame, lag: DataFrame | int | None = None, duration: DataFrame | int | None = None, **limits: int) -> DataFrame:
+    """Target executor limit per app.
+
+    ``lag`` and ``duration`` are numbers or one-row frames; where they are not
+    given, ``apps`` has its own ``lag`` and ``duration_ms``. A NULL lag is
+    unknown: a long batch still scales up, nothing scales down.
+    """
     rule = {**LIMITS, **limits}
-    frame = apps.withColumn("lag", _value(lag)).withColumn("duration_ms", _value(duration))
-    up = (F.col("lag") >= rule["scale_up_lag"]) | (F.col("duration_ms") >= rule["scale_up_duration"])
-    down = (F.col("lag") <= rule["scale_down_lag"]) & (F.col("duration_ms") <= rule["scale_down_duration"])
+    frame = _with(_with(apps, "lag", lag), "duration_ms", duration)
+    long, short = F.col("duration_ms") >= rule["scale_up_duration"], F.col("duration_ms") <= rule["scale_down_duration"]
+    up = F.coalesce(F.col("lag") >= rule["scale_up_lag"], F.lit(False)) | long
+    down = (F.col("lag") <= rule["scale_down_lag"]) & short
     current, lowest = F.col("current_max"), F.lit(rule["min_executors"])
     raised = F.least(F.lit(rule["hard_max"]), F.greatest(current + 2, lowest + 1))
     target = F.when(up, raised).when(down, F.greatest(lowest, current - 1)).otherwise(current)
-    return frame.withColumns(
-        {
-            "target_max_executors": target.cast("int"),
-            "reason": F.when(up, "scale_up").when(down, "scale_down").otherwise("hold"),
-        }
-    )
+    reason = F.when(up, "scale_up").when(F.col("lag").isNull(), "unknown_lag").when(down, "scale_down").otherwise("hold")
+    return frame.withColumns({"target_max_executors": target.cast("int"), "reason": reason})

@@ -15,126 +15,228 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+BINARY, DATE, DOUBLE, INT, LONG, TEXT, TIME = BinaryType(), DateType(), DoubleType(), IntegerType(), LongType(), StringType(), TimestampType()
 
-def _columns(data_type: DataType, names: str, nullable: bool = True) -> list[StructField]:
-    return [StructField(name, data_type, nullable) for name in names.split()]
 
+def some(name: str, kind: DataType) -> StructField:
+    return StructField(name, kind, True)
 
-def _text(names: str, nullable: bool = True) -> list[StructField]:
-    return _columns(StringType(), names, nullable)
 
+def must(name: str, kind: DataType) -> StructField:
+    return StructField(name, kind, False)
 
-def _long(names: str, nullable: bool = True) -> list[StructField]:
-    return _columns(LongType(), names, nullable)
 
+# The columns of the tables and messages below, their order and
+# their types, are what other readers of the lake rely on.
 
-def _int(names: str, nullable: bool = True) -> list[StructField]:
-    return _columns(IntegerType(), names, nullable)
-
-
-def _double(names: str) -> list[StructField]:
-    return _columns(DoubleType(), names)
-
-
-def _time(names: str, nullable: bool = True) -> list[StructField]:
-    return _columns(TimestampType(), names, nullable)
-
-
-def _date(names: str, nullable: bool = True) -> list[StructField]:
-    return _columns(DateType(), names, nullable)
-
-
-# The source log's columns in file order, with their types.
+# The source log's columns in file order.
 SOURCE_SCHEMA = StructType(
-    _long(
-        "timestamp uid campaign conversion conversion_timestamp conversion_id "
-        "attribution click click_pos click_nb"
-    )
-    + _double("cost cpo")
-    + _long("time_since_last_click cat1 cat2 cat3 cat4 cat5 cat6 cat7 cat8 cat9")
+    [
+        some("timestamp", LONG),
+        some("uid", LONG),
+        some("campaign", LONG),
+        some("conversion", LONG),
+        some("conversion_timestamp", LONG),
+        some("conversion_id", LONG),
+        some("attribution", LONG),
+        some("click", LONG),
+        some("click_pos", LONG),
+        some("click_nb", LONG),
+        some("cost", DOUBLE),
+        some("cpo", DOUBLE),
+        some("time_since_last_click", LONG),
+        some("cat1", LONG),
+        some("cat2", LONG),
+        some("cat3", LONG),
+        some("cat4", LONG),
+        some("cat5", LONG),
+        some("cat6", LONG),
+        some("cat7", LONG),
+        some("cat8", LONG),
+        some("cat9", LONG),
+    ]
 )
 SOURCE_COLUMNS = SOURCE_SCHEMA.names
 
 # The JSON payload: identity and times first, then the source columns but
 # `timestamp`, which travels as `source_timestamp`.
 PAYLOAD_SCHEMA = StructType(
-    _text("event_id")
-    + _time("event_time")
-    + _long("source_timestamp")
-    + [field for field in SOURCE_SCHEMA.fields if field.name != "timestamp"]
-    + _time("producer_ingest_ts")
+    [
+        some("event_id", TEXT),
+        some("event_time", TIME),
+        some("source_timestamp", LONG),
+        *[field for field in SOURCE_SCHEMA.fields if field.name != "timestamp"],
+        some("producer_ingest_ts", TIME),
+    ]
 )
 
 # What the message source delivers, whether broker or files.
 RAW_SCHEMA = StructType(
-    _columns(BinaryType(), "key value")
-    + _text("topic")
-    + _int("partition")
-    + _long("offset")
-    + _time("timestamp")
+    [
+        some("key", BINARY),
+        some("value", BINARY),
+        some("topic", TEXT),
+        some("partition", INT),
+        some("offset", LONG),
+        some("timestamp", TIME),
+    ]
 )
 
 BRONZE_SCHEMA = StructType(
-    _text("topic", False)
-    + _long("kafka_partition kafka_offset", False)
-    + _time("kafka_timestamp")
-    + _text("kafka_key")
-    + _text("payload payload_hash", False)
-    + _time("bronze_ingest_ts", False)
-    + _text("ingest_date ingest_hour", False)
+    [
+        must("topic", TEXT),
+        must("kafka_partition", LONG),
+        must("kafka_offset", LONG),
+        some("kafka_timestamp", TIME),
+        some("kafka_key", TEXT),
+        must("payload", TEXT),
+        must("payload_hash", TEXT),
+        must("bronze_ingest_ts", TIME),
+        must("ingest_date", TEXT),
+        must("ingest_hour", TEXT),
+    ]
 )
 
 SILVER_SCHEMA = StructType(
-    _text("event_id", False)
-    + _time("event_time", False)
-    + _date("event_date", False)
-    + _int("event_hour", False)
-    + _long("source_timestamp user_id campaign_id")
-    + _int("conversion")
-    + _long("conversion_timestamp conversion_id")
-    + _int("attribution click click_pos click_nb")
-    + _double("cost cpo")
-    + _long("time_since_last_click cat1 cat2 cat3 cat4 cat5 cat6 cat7 cat8 cat9")
-    + _time("producer_ingest_ts bronze_ingest_ts silver_ingest_ts")
-    + _text("kafka_topic")
-    + _long("kafka_partition kafka_offset")
-    + _text("payload_hash")
+    [
+        must("event_id", TEXT),
+        must("event_time", TIME),
+        must("event_date", DATE),
+        must("event_hour", INT),
+        some("source_timestamp", LONG),
+        some("user_id", LONG),
+        some("campaign_id", LONG),
+        some("conversion", INT),
+        some("conversion_timestamp", LONG),
+        some("conversion_id", LONG),
+        some("attribution", INT),
+        some("click", INT),
+        some("click_pos", INT),
+        some("click_nb", INT),
+        some("cost", DOUBLE),
+        some("cpo", DOUBLE),
+        some("time_since_last_click", LONG),
+        some("cat1", LONG),
+        some("cat2", LONG),
+        some("cat3", LONG),
+        some("cat4", LONG),
+        some("cat5", LONG),
+        some("cat6", LONG),
+        some("cat7", LONG),
+        some("cat8", LONG),
+        some("cat9", LONG),
+        some("producer_ingest_ts", TIME),
+        some("bronze_ingest_ts", TIME),
+        some("silver_ingest_ts", TIME),
+        some("kafka_topic", TEXT),
+        some("kafka_partition", LONG),
+        some("kafka_offset", LONG),
+        some("payload_hash", TEXT),
+    ]
 )
 SILVER_COLUMNS = SILVER_SCHEMA.names
 
 HOURLY_SCHEMA = StructType(
-    _date("event_date", False)
-    + _int("event_hour", False)
-    + _long("campaign_id", False)
-    + _long("events clicks conversions attributed_conversions")
-    + _double("spend avg_event_cost")
-    + _long("unique_users")
-    + _double("ctr_proxy conversion_rate cost_per_attributed_conversion")
-    + _time("gold_updated_at")
+    [
+        must("event_date", DATE),
+        must("event_hour", INT),
+        must("campaign_id", LONG),
+        some("events", LONG),
+        some("clicks", LONG),
+        some("conversions", LONG),
+        some("attributed_conversions", LONG),
+        some("spend", DOUBLE),
+        some("avg_event_cost", DOUBLE),
+        some("unique_users", LONG),
+        some("ctr_proxy", DOUBLE),
+        some("conversion_rate", DOUBLE),
+        some("cost_per_attributed_conversion", DOUBLE),
+        some("gold_updated_at", TIME),
+    ]
 )
 
 DAILY_SCHEMA = StructType(
-    _date("event_date", False)
-    + _long("campaign_id", False)
-    + _long("events clicks conversions attributed_conversions")
-    + _double("spend")
-    + _long("unique_users_approx")
-    + _double("ctr_proxy conversion_rate cost_per_attributed_conversion")
-    + _time("gold_updated_at")
+    [
+        must("event_date", DATE),
+        must("campaign_id", LONG),
+        some("events", LONG),
+        some("clicks", LONG),
+        some("conversions", LONG),
+        some("attributed_conversions", LONG),
+        some("spend", DOUBLE),
+        some("unique_users_approx", LONG),
+        some("ctr_proxy", DOUBLE),
+        some("conversion_rate", DOUBLE),
+        some("cost_per_attributed_conversion", DOUBLE),
+        some("gold_updated_at", TIME),
+    ]
 )
 
 BATCH_METRIC_SCHEMA = StructType(
-    _time("metric_ts", False)
-    + _text("query_name", False)
-    + _long("batch_id", False)
-    + _long("row_count batch_duration_ms")
-    + _text("status detail")
+    [
+        must("metric_ts", TIME),
+        must("query_name", TEXT),
+        must("batch_id", LONG),
+        some("row_count", LONG),
+        some("batch_duration_ms", LONG),
+        some("status", TEXT),
+        some("detail", TEXT),
+    ]
 )
 
 HEALTH_SCHEMA = StructType(
-    _text("metric_name") + _double("metric_value") + _text("severity details") + _time("run_ts") + _text("query_file")
+    [
+        some("metric_name", TEXT),
+        some("metric_value", DOUBLE),
+        some("severity", TEXT),
+        some("details", TEXT),
+        some("run_ts", TIME),
+        some("query_file", TEXT),
+    ]
 )
 
+# The tables below are this library's own.
+
+# A parsed batch: Silver's columns, all nullable, and what it came from.
+LANDING_SCHEMA = StructType(
+    [
+        *[some(field.name, field.dataType) for field in SILVER_SCHEMA.fields],
+        some("kafka_timestamp", TIME),
+        some("payload", TEXT),
+        some("status", TEXT),
+        some("batch", TEXT),
+    ]
+)
+
+BATCH_REJECT_SCHEMA = StructType(
+    [
+        must("metric_ts", TIME),
+        must("query_name", TEXT),
+        must("batch_id", LONG),
+        some("good", LONG),
+        some("rejected", LONG),
+    ]
+)
+
+TOPIC_OFFSET_SCHEMA = StructType(
+    [
+        must("metric_ts", TIME),
+        must("query_name", TEXT),
+        must("batch_id", LONG),
+        some("topic", TEXT),
+        some("partition", INT),
+        some("end_offset", LONG),
+        some("committed_offset", LONG),
+    ]
+)
+
+GOLD_REBUILD_SCHEMA = StructType([must("rebuilt_at", TIME), must("batch", TEXT)])
+
 FILE_STATS_SCHEMA = StructType(
-    _text("path") + _long("length") + _time("modificationTime") + _text("content")
+    [
+        some("path", TEXT),
+        some("length", LONG),
+        some("modificationTime", TIME),
+        some("content", TEXT),
+    ]
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Callable
 from datetime import datetime, timedelta
@@ -10,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
 from adlake.functions.exprs import utc_now
-from adlake.schemas import BATCH_METRIC_SCHEMA
+from adlake.functions.local import local_rows
+from adlake.schemas import BATCH_METRIC_SCHEMA, BATCH_REJECT_SCHEMA, TOPIC_OFFSET_SCHEMA
 from adlake.tables.append_table import AppendTable
 
 log = logging.getLogger(__name__)
@@ -30,7 +32,11 @@ def batch_metric(
 ) -> DataFrame:
     duration_ms = int(duration.total_seconds() * 1000)
     row = (at or utc_now(), query_name, batch_id, row_count, duration_ms, status, (detail or "")[:DETAIL_LENGTH])
-    return spark.createDataFrame([row], BATCH_METRIC_SCHEMA)
+    return local_rows(spark, [row], BATCH_METRIC_SCHEMA)
+
+
+def batch_rejects(spark: SparkSession, query_name: str, batch_id: int, good: int, rejected: int) -> DataFrame:
+    return local_rows(spark, [(utc_now(), query_name, batch_id, good, rejected)], BATCH_REJECT_SCHEMA)
 
 
 def record_safely(table: AppendTable, make_row: Callable[[], DataFrame], query_name: str) -> None:
@@ -41,9 +47,30 @@ def record_safely(table: AppendTable, make_row: Callable[[], DataFrame], query_n
         log.exception("could not record a metric of %s", query_name)
 
 
-class BatchMetricListener(StreamingQueryListener):
-    """Records the batches of one run of a query whose sink is Spark's own, from
-    its progress reports, and its failure when it ends with one.
+def topic_offsets(progress: dict) -> list[tuple[str, int, int | None, int | None]]:
+    """``(topic, partition, end, read)`` of a query's progress report: where the
+    sources' topics end and how far the query has read them. A source that does
+    not count by topic and partition gives none."""
+    rows: dict[tuple[str, int], list[int | None]] = {}
+    for source in progress.get("sources") or []:
+        for at, name in enumerate(("latestOffset", "endOffset")):
+            value = source.get(name)
+            offsets = json.loads(value) if isinstance(value, str) else value
+            for topic, partitions in offsets.items() if isinstance(offsets, dict) else ():
+                for partition, offset in partitions.items() if isinstance(partitions, dict) else ():
+                    rows.setdefault((topic, int(partition)), [None, None])[at] = offset
+    return [(topic, partition, *found) for (topic, partition), found in sorted(rows.items())]
+
+
+def offset_rows(spark: SparkSession, query_name: str, progress: dict) -> DataFrame:
+    """A progress report as rows of the topic-offset table."""
+    at = datetime.fromisoformat(progress["timestamp"])
+    rows = [(at, query_name, progress["batchId"], *found) for found in topic_offsets(progress)]
+    return local_rows(spark, rows, TOPIC_OFFSET_SCHEMA)
+
+
+class OffsetListener(StreamingQueryListener):
+    """Records, batch by batch, the topic offsets of one run of a query.
 
     Add it right before starting the query: it follows the first run of that
     name it sees begin, and leaves when that run ends.
@@ -54,31 +81,22 @@ class BatchMetricListener(StreamingQueryListener):
         self.table = table
         self.query_name = query_name
         self._run: str | None = None
-        self._next_batch = 0
-
-    def _record(self, *args, **kwargs) -> None:
-        record_safely(
-            self.table, lambda: batch_metric(self.spark, self.query_name, *args, **kwargs), self.query_name
-        )
 
     def onQueryStarted(self, event) -> None:
         if self._run is None and event.name == self.query_name:
             self._run = str(event.runId)
 
     def onQueryProgress(self, event) -> None:
-        progress = event.progress
-        if str(progress.runId) != self._run:
-            return
-        self._next_batch = progress.batchId + 1
-        took = timedelta(milliseconds=progress.durationMs.get("triggerExecution", 0))
-        self._record(progress.batchId, progress.numInputRows, took)
+        if str(event.progress.runId) == self._run:
+            self.record(json.loads(event.progress.json))
+
+    def record(self, progress: dict) -> None:
+        if topic_offsets(progress):
+            record_safely(self.table, lambda: offset_rows(self.spark, self.query_name, progress).coalesce(1), self.query_name)
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        if str(event.runId) != self._run:
-            return
-        if event.exception:
-            self._record(self._next_batch, 0, timedelta(), status="failed", detail=event.exception)
-        self.spark.streams.removeListener(self)
+        if str(event.runId) == self._run:
+            self.spark.streams.removeListener(self)

@@ -6,8 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
+from adlake.functions.local import local_rows
 from adlake.tables import files
 
 
@@ -20,7 +21,31 @@ class AppendTable:
     path: str
     schema: StructType
     time_column: str
-    writer_column: str | None = None
+    name: str | None = None  # of a catalog table over the folder, kept current by every write
+
+    def create(self) -> bool:
+        """An empty table; False when it is already there."""
+        if files.exists(self.spark, self.path):
+            return False
+        files.make_folder(self.spark, self.path)
+        return True
+
+    @property
+    def _stored(self) -> StructType:
+        return StructType([*self.schema.fields, StructField("writer", StringType()), StructField(self._partition, DateType())])
+
+    def register(self) -> None:
+        """Binds ``name`` to the folder; a binding to another folder is replaced."""
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self._stored)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        self.spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet PARTITIONED BY (writer, {self._partition}) LOCATION '{self.path}'")
+        self._publish()
+
+    def _publish(self) -> None:
+        """Makes the catalog's partitions those of the folder."""
+        if self.name and self.spark.catalog.tableExists(self.name):
+            self.spark.sql(f"MSCK REPAIR TABLE {self.name} SYNC PARTITIONS")
+            self.spark.catalog.refreshTable(self.name)
 
     @property
     def _partition(self) -> str:
@@ -32,6 +57,7 @@ class AppendTable:
             F.to_date(self.time_column).alias(self._partition),
         )
         body.write.mode("append").partitionBy(self._partition).parquet(f"{self.path}/writer={writer}")
+        self._publish()
 
     def read(self) -> DataFrame:
         """All rows. Filter on ``<time_column>_date`` before selecting to prune
@@ -48,10 +74,9 @@ class AppendTable:
         )
 
     def _scan(self) -> DataFrame:
-        schema = StructType([*self.schema.fields, StructField(self._partition, DateType())])
         if not files.exists(self.spark, self.path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path)
+            return local_rows(self.spark, [], self._stored)
+        return self.spark.read.schema(self._stored).parquet(self.path)
 
 
 def append_rows(rows: DataFrame, table: AppendTable, writer: str = "all") -> None:

@@ -17,11 +17,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).exists(_path(spark, path))
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    _file_system(spark, path).mkdirs(_path(spark, path))
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
-    """Names directly under a folder; none when it does not exist."""
+    """Names directly under a folder, sorted; none when it does not exist."""
     if not exists(spark, path):
         return []
-    return [status.getPath().getName() for status in _file_system(spark, path).listStatus(_path(spark, path))]
+    return sorted(status.getPath().getName() for status in _file_system(spark, path).listStatus(_path(spark, path)))
 
 
 def matching(spark: SparkSession, pattern: str) -> list:
@@ -29,18 +33,5 @@ def matching(spark: SparkSession, pattern: str) -> list:
     return _file_system(spark, pattern).globStatus(_path(spark, pattern)) or []
 
 
-def last_name(spark: SparkSession, pattern: str) -> str | None:
-    """Name of the last path a glob names, in path order."""
-    found = matching(spark, pattern)
-    return found[len(found) - 1].getPath().getName() if len(found) else None
-
-
-def size_of(spark: SparkSession, path: str) -> int:
-    """Bytes under a folder, without reading it."""
-    if not exists(spark, path):
-        return 0
-    return _file_system(spark, path).getContentSummary(_path(spark, path)).getLength()
-
-
 def delete(spark: SparkSession, path: str) -> None:
     _file_system(spark, path).delete(_path(spark, path), True)

@@ -1,4 +1,4 @@
-"""Compaction, delta folding, expiry and orphan removal for upsert tables."""
+"""Compaction of the keyed tables, expiry of their change feeds, and clean-up."""
 
 from __future__ import annotations
 
@@ -10,10 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlake.functions.exprs import as_utc
-from adlake.session import scratch_dir
 from adlake.sources.file_stats import file_stats
 from adlake.tables import files
-from adlake.tables.upsert_table import COMMIT_SCHEMA, LiveState, UpsertTable, in_order
+from adlake.tables.upsert_table import UpsertTable
 
 TARGET_BYTES = 128 * 1024 * 1024
 GROUP_BYTES = 100 * 1024**3
@@ -21,27 +20,17 @@ RETENTION = timedelta(days=7)
 RETAIN_LAST = 24
 ORPHAN_AGE = timedelta(days=3)
 
-ACTIONS = ("compact", "delete-files", "expire", "orphan", "all")
+ACTIONS = ("compact", "expire", "orphan", "all")
+STAGING = ".spark-staging-"  # Fixed value: how Spark names its staging folders
 
 
-def table_files(table: UpsertTable, state: LiveState | None = None) -> DataFrame:
-    """The live files of a table: ``DATA`` for base, ``DELTA`` for un-folded upserts."""
-    state = state or table.state()
-    base = [table.date_dir(commit, day) for day, commit in state.base.items()]
-    deltas = [table.commit_dir(commit) for commit in state.deltas]
-    spark = table.spark
-    return file_stats(spark, base, "DATA").unionByName(file_stats(spark, deltas, "DELTA"))
+def data_folders(table: UpsertTable) -> list[str]:
+    return [table.date_dir(day) for day in table.dates()]
 
 
-def _bytes_per_date(table: UpsertTable, state: LiveState, dates: Iterable[date]) -> dict[date, int]:
-    return {
-        day: files.size_of(table.spark, table.date_dir(state.base[day], day)) if day in state.base else 0
-        for day in dates
-    }
-
-
-def _file_counts(sizes: dict[date, int], target_bytes: int) -> dict[date, int]:
-    return {day: max(1, math.ceil(size / target_bytes)) for day, size in sizes.items()}
+def table_files(table: UpsertTable) -> DataFrame:
+    """The data files of a table."""
+    return file_stats(table.spark, data_folders(table))
 
 
 def compaction_candidates(stats: DataFrame, date_column: str, target_bytes: int) -> DataFrame:
@@ -54,126 +43,42 @@ def compaction_candidates(stats: DataFrame, date_column: str, target_bytes: int)
     )
 
 
-def compact_files(
-    table: UpsertTable, target_bytes: int = TARGET_BYTES, group_bytes: int = GROUP_BYTES
-) -> list[int]:
-    """Rewrites the base of dates with too many files, a group of dates per commit.
-
-    Deltas stay live: they mask the same keys in the new files as in the old,
-    so a run that stops half-way leaves the same rows. Returns the commits.
-    """
-    state = table.state()
-    stats = file_stats(table.spark, [table.date_dir(c, d) for d, c in state.base.items()])
+def compact_files(table: UpsertTable, target_bytes: int = TARGET_BYTES, group_bytes: int = GROUP_BYTES) -> list[list[date]]:
+    """Rewrites dates with too many files, a group of dates at a time, and
+    returns the groups. Rows stay as they are, so it may stop after any group."""
     # One row per date.
-    pending = compaction_candidates(stats, table.date_column, target_bytes).orderBy(table.date_column).collect()
-    commits, group, size = [], {}, 0
-
-    def rewrite() -> None:
-        current = table.state()
-        dates = set(group)
-        rows = table.scan_base(current, dates)
-        commits.append(table.write_base(rows, current, dates, "compact", _file_counts(group, target_bytes)))
-
+    pending = compaction_candidates(table_files(table), table.date_column, target_bytes).orderBy(table.date_column).collect()
+    groups: list[dict[date, int]] = []
+    size = group_bytes + 1
     for row in pending:
-        if group and size + row["bytes"] > group_bytes:
-            rewrite()
-            group, size = {}, 0
-        group[row[table.date_column]] = row["bytes"]
+        if size + row["bytes"] > group_bytes:
+            groups.append({})
+            size = 0
+        groups[-1][row[table.date_column]] = max(1, math.ceil(row["bytes"] / target_bytes))
         size += row["bytes"]
-    if group:
-        rewrite()
-    return commits
-
-
-def dates_touched(table: UpsertTable, state: LiveState) -> DataFrame:
-    """Dates that live deltas add to or take from, with their delta row count.
-
-    Scans the keys of the base, nothing else of it.
-    """
-    key = table.date_column
-    deltas = table.scan_deltas(state).select(*table.keys, *({key} - set(table.keys)))
-    delta_keys = deltas.select(*[F.col(k).alias(f"_{k}") for k in table.keys])
-    base = table.scan_base(state).select(*table.keys, *({key} - set(table.keys)))
-    same = [F.col(k) == F.col(f"_{k}") for k in table.keys]
-    masked = base.join(delta_keys, same, "left_semi").select(key, F.lit(0).alias("_added"))
-    return (
-        deltas.select(key, F.lit(1).alias("_added"))
-        .unionByName(masked)
-        .groupBy(key)
-        .agg(F.sum("_added").alias("delta_rows"))
-    )
-
+    for group in groups:
+        table.rewrite_dates(group)
+    return [sorted(group) for group in groups]
 
-def fold_deltas(table: UpsertTable, target_bytes: int = TARGET_BYTES) -> int | None:
-    """Merges all live deltas into new base data of the dates they touch.
 
-    Dates no delta adds to or takes from are neither read (but for their keys)
-    nor written. Returns the commit, None when there was nothing to fold.
-    """
-    state = table.state()
-    if not state.deltas:
-        return None
-    # One row per date.
-    added = {row[table.date_column]: row["delta_rows"] for row in dates_touched(table, state).collect()}
-    dates = set(added)
-    delta_bytes = sum(files.size_of(table.spark, table.commit_dir(c)) for c in state.deltas)
-    per_row = delta_bytes / max(1, sum(added.values()))
-    sizes = _bytes_per_date(table, state, dates)
-    counts = _file_counts({d: sizes[d] + int(added[d] * per_row) for d in dates}, target_bytes)
-    return table.write_base(table.view(state, dates), state, dates, "fold", counts, folded=state.deltas)
-
-
-def replace_dates(table: UpsertTable, rows: DataFrame, dates: Iterable[date]) -> int:
-    """Makes ``rows`` the whole content of ``dates``; keys gone from them disappear."""
-    fold_deltas(table)
-    return table.write_base(rows, table.state(), set(dates), "replace")
-
-
-def expire(
-    table: UpsertTable,
-    older_than: datetime | None = None,
-    retain_last: int = RETAIN_LAST,
-) -> dict[str, int]:
-    """Drops versions older than the limit, but for the newest ``retain_last``.
-
-    Every retained version stays readable. The retained records are rolled up
-    into one file, which keeps the commit log quick to read.
-    """
-    spark = table.spark
+def expire_changes(table: UpsertTable, older_than: datetime | None = None, retain_last: int = RETAIN_LAST) -> int:
+    """Drops batches of the change feed older than the limit, but for the newest
+    ``retain_last``; returns how many."""
     cutoff = as_utc(older_than) if older_than else as_utc(None) - RETENTION
-    read = [r for r in table.records_with_files() if r["action"] != "create"]
-    records = in_order(read)
-    if not records:
-        return {"commits": 0, "folders": 0}
-    cutoff_commit = int(cutoff.timestamp() * 1_000_000)
-    newest = [r["commit"] for r in records][-max(1, retain_last):]
-    first_kept = min([r["commit"] for r in records if r["commit"] >= cutoff_commit] + newest)
-    oldest = table.state(at=first_kept)
-    kept = {r["commit"] for r in records if r["commit"] >= first_kept or r["commit"] in oldest.commits}
-    dropped = [r for r in records if r["commit"] not in kept]
-
-    # The roll-up is in place before the folders of the records read above go;
-    # records committed meanwhile are in neither. Deltas go first: the record
-    # that marks a delta as folded must outlive it.
-    rollup = spark.createDataFrame([tuple(r)[:-1] for r in records if r["commit"] in kept], COMMIT_SCHEMA)
-    rollup.coalesce(1).write.parquet(f"{table.commits_path}/rollup-{table.new_commit()}")
-    folder_kinds = {r["file"].rsplit("/", 1)[0]: r["kind"] for r in read}
-    for folder, _ in sorted(folder_kinds.items(), key=lambda f: ("/rollup-" in f[0], f[1] == "base")):
-        files.delete(spark, folder)
-
-    folders = [table.commit_dir(r["commit"]) for r in dropped]
-    for record in records:
-        if record["kind"] == "base" and record["commit"] in kept and record["commit"] < first_kept:
-            for day in record["written"]:
-                if oldest.base.get(day) != record["commit"]:
-                    folders.append(table.date_dir(record["commit"], day))
-    for folder in folders:
-        files.delete(spark, folder)
-    return {"commits": len(dropped), "folders": len(folders)}
+    batches = table.changes().groupBy("batch").agg(F.max("changed_at").alias("changed_at"))
+    # One row per batch beyond those that stay, streamed rather than collected.
+    newest = batches.orderBy(F.col("changed_at").desc(), "batch").limit(max(1, retain_last)).select("batch")
+    old = batches.where(F.col("changed_at") < F.lit(cutoff)).join(newest, "batch", "left_anti").select("batch")
+    dropped = 0
+    for row in old.toLocalIterator():
+        files.delete(table.spark, f"{table.changes_path}/batch={row['batch']}")
+        dropped += 1
+    return dropped
 
 
 def orphan_files(listing: DataFrame, commits: DataFrame, older_than: datetime) -> DataFrame:
-    """Files of a listing that belong to no recorded commit and are older than the limit."""
+    """Files of a listing whose ``commit=<number>`` folder is not among ``commits``
+    and that are older than the limit."""
     number = F.regexp_extract("path", r"commit=(\d+)/", 1).try_cast("bigint")
     return (
         listing.where(F.col("modificationTime") < F.lit(as_utc(older_than)))
@@ -183,31 +88,17 @@ def orphan_files(listing: DataFrame, commits: DataFrame, older_than: datetime) -
     )
 
 
-def orphans(table: UpsertTable, older_than: datetime | None = None, dry_run: bool = False) -> DataFrame:
-    """Orphan files of a table; unless ``dry_run``, the folders they fill are deleted.
-
-    A folder that also holds a newer file is left for a later run.
-    """
+def abandoned_folders(table: UpsertTable, older_than: datetime | None = None, dry_run: bool = False) -> list[str]:
+    """Staging folders that a job left behind when its driver died, older than
+    the limit; unless ``dry_run``, they are deleted."""
     limit = as_utc(older_than) if older_than else as_utc(None) - ORPHAN_AGE
-    spark = table.spark
-    if not files.exists(spark, table.data_path):
-        return file_stats(spark, [])
-    listing = file_stats(spark, table.data_path)
-    found = orphan_files(listing, table.commits(), limit)
-    if dry_run:
-        return found
-    # The list outlives the files on it.
-    report = scratch_dir(spark, "orphans")
-    found.write.parquet(report)
-    found = spark.read.parquet(report)
-    rows = found.select("path").withColumn("commit", F.regexp_extract("path", r"commit=(\d+)/", 1))
-    young = listing.where(F.col("modificationTime") >= F.lit(limit)).select(
-        F.regexp_extract("path", r"commit=(\d+)/", 1).alias("commit")
-    )
-    whole = rows.join(young, "commit", "left_anti").select("commit").where("commit <> ''").distinct()
-    # One row per abandoned commit, streamed rather than collected.
-    for row in whole.toLocalIterator():
-        files.delete(spark, table.commit_dir(int(row["commit"])))
+    found = []
+    for status in files.matching(table.spark, f"{table.data_path}/{STAGING}*"):
+        if status.getModificationTime() < limit.timestamp() * 1000:
+            path = status.getPath().toString()
+            found.append(path)
+            if not dry_run:
+                files.delete(table.spark, path)
     return found
 
 
@@ -228,9 +119,8 @@ def maintain(
     now = as_utc(as_of)
     steps = {
         "compact": lambda table: compact_files(table, target_bytes),
-        "delete-files": lambda table: fold_deltas(table, target_bytes),
-        "expire": lambda table: expire(table, now - retention, retain_last),
-        "orphan": lambda table: orphans(table, now - orphan_age, dry_run),
+        "expire": lambda table: expire_changes(table, now - retention, retain_last),
+        "orphan": lambda table: abandoned_folders(table, now - orphan_age, dry_run),
     }
     chosen = steps if action == "all" else {action: steps[action]}
     return [(table.path, name, step(table)) for table in tables for name, step in chosen.items()]

@@ -1,78 +1,58 @@
-"""A keyed table on plain Parquet, for installations without a row-level table
-format (where one exists, use ``operators.upsert.merge_into``).
-
-An upsert appends one *delta*: a folder of rows, one per key. A *base* commit
-holds whole dates. Reading is ``merge_frames``: base rows whose key no live
-delta holds, plus the newest delta row per key. Every commit is one record row
-under ``commits/``, written last, so a half-written folder is never read.
-
-Writing is cheap and independent of table size; reading costs an anti-join with
-the deltas since the last fold, so ``maintenance.fold_deltas`` keeps it small.
-
-Limits: two upserts that run at once must not share keys, and only one job at
-a time may rewrite base data.
+"""A keyed table on Spark's own Parquet writer, for installations without a
+row-level table format (where one exists, use ``operators.upsert.merge_into``).
+
+The table is a folder of Parquet files by date. An upsert rewrites the dates it
+touches, and no others, by a dynamic partition overwrite: dates of the batch, and
+dates that hold an earlier row of one of its keys. The latter come from a scan of
+keys and dates alone, which a Bloom filter of the batch's keys thins out before
+it is shuffled.
+
+What an upsert changes is kept as a *change feed*: a row per batch and pair of
+old and new date. It is written before any date is, so that a batch repeated
+after a crash rewrites the same dates and ends in the same rows.
+
+Limits: one writer at a time. Spark replaces a partition folder by a delete and a
+rename, folder by folder: readers should not run through a write's last moments,
+and a driver that dies in them leaves dates to be repeated from the batch (its
+new files are still in the staging folder beside the data).
 """
 
 from __future__ import annotations
 
-import time
-from dataclasses import dataclass, field, replace
+import uuid
+from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    DateType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampType,
-)
+from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
-from adlake.functions.exprs import as_date
-from adlake.operators.dedup import latest_per_key
+from adlake.functions.exprs import as_date, utc_now
+from adlake.functions.local import local_rows
+from adlake.operators.key_filter import buckets_for, key_filter, may_hold
+from adlake.operators.upsert import merge_frames
 from adlake.tables import files
 
-COMMIT_SCHEMA = StructType(
+CHANGE_SCHEMA = StructType(
     [
-        StructField("commit", LongType(), False),  # microseconds since 1970
-        StructField("committed_at", TimestampType(), False),
-        StructField("kind", StringType(), False),  # base | delta
-        StructField("action", StringType(), False),
-        StructField("query_id", StringType(), True),
-        StructField("batch_id", LongType(), True),
-        StructField("dates", ArrayType(DateType(), False), False),  # base: dates it defines
-        StructField("written", ArrayType(DateType(), False), False),  # base: those with rows
-        StructField("folded", ArrayType(LongType(), False), False),  # base: deltas it contains
-        StructField("bytes", LongType(), False),
+        StructField("changed_at", TimestampType()),
+        StructField("old_date", DateType()),  # null for an inserted row
+        StructField("new_date", DateType()),
+        StructField("rows", LongType()),
+        StructField("batch", StringType()),
     ]
 )
 
 
-class ConcurrentRewriteError(RuntimeError):
-    """Another job committed base data since this rewrite began."""
-
-
 @dataclass(frozen=True)
-class LiveState:
-    """What a version of the table consists of: one base commit per date and
-    the deltas on top. Its size follows dates and un-folded deltas, not rows."""
+class Change:
+    """What one upsert did: its name in the feed, its rows, and the dates that
+    gained or lost rows."""
 
-    base: dict[date, int] = field(default_factory=dict)
-    owners: frozenset[int] = frozenset()  # base commits that define some date, rows or none
-    deltas: tuple[int, ...] = ()
-    last_base: int = 0
-
-    @property
-    def commits(self) -> set[int]:
-        return set(self.owners) | set(self.deltas)
-
-
-def in_order(records: list) -> list:
-    unique = {record["commit"]: record for record in records}
-    return [unique[commit] for commit in sorted(unique)]
+    batch: str
+    rows: int
+    dates: frozenset[date]
 
 
 class UpsertTable:
@@ -84,156 +64,82 @@ class UpsertTable:
         keys: list[str],
         date_column: str = "event_date",
         cluster_by: str = "campaign_id",
+        name: str | None = None,
     ):
+        """``name`` is a catalog table over the folder, kept current by every write."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.keys = list(keys)
         self.date_column = date_column
         self.cluster_by = cluster_by
-
-    # -- commits ---------------------------------------------------------
-
-    @property
-    def commits_path(self) -> str:
-        return f"{self.path}/commits"
+        self.name = name
 
     @property
     def data_path(self) -> str:
         return f"{self.path}/data"
 
-    def commit_dir(self, commit: int) -> str:
-        return f"{self.data_path}/commit={commit}"
-
-    def date_dir(self, commit: int, day: date) -> str:
-        return f"{self.commit_dir(commit)}/{self.date_column}={day.isoformat()}"
+    @property
+    def changes_path(self) -> str:
+        return f"{self.path}/changes"
 
-    def _log(self) -> DataFrame:
-        """Commit records. A log roll-up interrupted before its clean-up leaves
-        a record twice."""
-        if not files.exists(self.spark, self.commits_path):
-            return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        return (
-            self.spark.read.schema(COMMIT_SCHEMA)
-            .option("recursiveFileLookup", "true")
-            .parquet(self.commits_path)
-        )
+    def version_path(self, version: str) -> str:
+        return f"{self.path}/versions/{version}"
 
-    def commits(self) -> DataFrame:
-        """One row per retained commit."""
-        return self._log().dropDuplicates(["commit"])
-
-    def records(self, at: int | None = None) -> list:
-        """Retained commits in order, optionally up to commit number ``at``.
-        Expiry and folding bound their number; data sizes do not matter."""
-        log = self._log() if at is None else self._log().where(F.col("commit") <= at)
-        return in_order(log.collect())
-
-    def records_with_files(self) -> list:
-        """All commit records, repeated ones too, with the ``file`` each is in."""
-        return self._log().select("*", F.col("_metadata.file_path").alias("file")).collect()
-
-    def state(self, at: int | None = None) -> LiveState:
-        """The live commits, optionally as of commit number ``at``."""
-        records = self.records(at)
-        folded = {commit for record in records for commit in record["folded"]}
-        owner = {day: record for record in records for day in record["dates"]}
-        return LiveState(
-            base={day: r["commit"] for day, r in owner.items() if day in r["written"]},
-            owners=frozenset(r["commit"] for r in owner.values()),
-            deltas=tuple(r["commit"] for r in records if r["kind"] == "delta" and r["commit"] not in folded),
-            last_base=max((r["commit"] for r in records if r["kind"] == "base"), default=0),
-        )
+    def date_dir(self, day: date) -> str:
+        return f"{self.data_path}/{self.date_column}={day.isoformat()}"
 
     def is_created(self) -> bool:
-        return files.exists(self.spark, f"{self.commits_path}/created/_SUCCESS")
+        return files.exists(self.spark, self.data_path)
 
     def create(self) -> bool:
-        """First, empty commit; False when the table is already there."""
+        """An empty table; False when it is already there."""
         if self.is_created():
             return False
-        self.record(self.new_commit(), "base", "create", name="created")
+        files.make_folder(self.spark, self.data_path)
         return True
 
-    def new_commit(self) -> int:
-        """A number above every earlier one, even when the clock was set back.
-        Numbers have 16 digits until the year 2286, so names sort like them."""
-        last = files.last_name(self.spark, f"{self.data_path}/commit=*")
-        return max(time.time_ns() // 1000, int(last.split("=")[1]) + 1 if last else 0)
-
-    def record(self, commit: int, kind: str, action: str, name: str | None = None, **details) -> None:
-        """Publishes a commit whose data is completely written."""
-        row = {
-            "query_id": None, "batch_id": None, "dates": [], "written": [], "folded": [],
-            "bytes": files.size_of(self.spark, self.commit_dir(commit)),
-            **details,
-        }
-        frame = self.spark.range(1).select(
-            F.lit(commit).cast("bigint").alias("commit"),
-            F.timestamp_micros(F.lit(commit)).alias("committed_at"),
-            F.lit(kind).alias("kind"),
-            F.lit(action).alias("action"),
-            *[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in COMMIT_SCHEMA.fields[4:]],
-        )
-        frame.coalesce(1).write.mode("overwrite").parquet(f"{self.commits_path}/{name or commit}")
-
     # -- reading ---------------------------------------------------------
 
-    def _scan(self, paths: list[str]) -> DataFrame:
-        with_commit = StructType([*self.schema.fields, StructField("commit", LongType())])
-        if not paths:
-            return self.spark.createDataFrame([], with_commit)
-        return self.spark.read.schema(with_commit).option("basePath", self.data_path).parquet(*paths)
-
-    def scan_base(self, state: LiveState, dates: set[date] | None = None) -> DataFrame:
-        """Base rows before deltas mask them, optionally of some dates only."""
-        days = sorted(state.base) if dates is None else sorted(dates & state.base.keys())
-        return self._scan([self.date_dir(state.base[day], day) for day in days]).drop("commit")
-
-    def scan_deltas(self, state: LiveState) -> DataFrame:
-        """All rows of the live deltas, with their ``commit``."""
-        return self._scan([self.commit_dir(commit) for commit in state.deltas])
-
-    def view(self, state: LiveState, dates: set[date] | None = None) -> DataFrame:
-        """The table's rows in a state, optionally of some dates only.
-
-        The anti-join takes keys of *all* live deltas: an update may have moved
-        a row to another date. Date filters reach the base scan.
-        """
-        columns = self.schema.names
-        base = self.scan_base(state, dates).select(*columns)
-        if not state.deltas:
-            return base
-        deltas = self.scan_deltas(state)
-        kept = base.join(deltas.select(*self.keys), self.keys, "left_anti").select(*columns)
-        newest = deltas if len(state.deltas) == 1 else latest_per_key(deltas, self.keys, "commit")
-        newest = newest.select(*columns)
-        if dates is not None:
-            newest = newest.where(F.col(self.date_column).isin(sorted(dates)))
-        return kept.unionByName(newest)
-
-    def read(
-        self,
-        start: date | str | None = None,
-        end: date | str | None = None,
-        at: int | None = None,
-    ) -> DataFrame:
-        """The current rows, optionally within inclusive dates and as of a commit.
-
-        With bounds, only the folders of those dates are listed and read.
-        """
-        state = self.state(at)
+    def dates(self) -> list[date]:
+        """The dates that hold rows."""
+        prefix = f"{self.date_column}="
+        names = files.child_names(self.spark, self.data_path)
+        return sorted(date.fromisoformat(name.removeprefix(prefix)) for name in names if name.startswith(prefix))
+
+    def read_dates(self, days: set[date]) -> DataFrame:
+        """Rows of some dates; only their folders are listed."""
+        folders = [self.date_dir(day) for day in self.dates() if day in days]
+        if not folders:
+            return local_rows(self.spark, [], self.schema)
+        return self.spark.read.schema(self.schema).option("basePath", self.data_path).parquet(*folders).select(*self.schema.names)
+
+    def read(self, start: date | str | None = None, end: date | str | None = None, version: str | None = None) -> DataFrame:
+        """The rows, optionally within inclusive dates, or those of a saved version."""
         first, last = start and as_date(start), end and as_date(end)
-        if not (first or last):
-            return self.view(state)
-        inside = {d: c for d, c in state.base.items() if (not first or d >= first) and (not last or d <= last)}
-        rows = self.view(replace(state, base=inside))
+        if version is None and (first or last):
+            rows = self.read_dates({d for d in self.dates() if (not first or d >= first) and (not last or d <= last)})
+        else:
+            path = self.data_path if version is None else self.version_path(version)
+            rows = self.spark.read.schema(self.schema).parquet(path).select(*self.schema.names)
         if first:
             rows = rows.where(F.col(self.date_column) >= F.lit(first))
         if last:
             rows = rows.where(F.col(self.date_column) <= F.lit(last))
         return rows
 
+    def changes(self) -> DataFrame:
+        """The change feed: a row per batch, old date and new date."""
+        if not files.exists(self.spark, self.changes_path):
+            return local_rows(self.spark, [], CHANGE_SCHEMA)
+        return self.spark.read.schema(CHANGE_SCHEMA).parquet(self.changes_path)
+
+    def changed_dates(self, batch: str) -> set[date]:
+        """Dates that gained or lost rows by a batch; one row per pair is read."""
+        folder = f"{self.changes_path}/batch={batch}"
+        pairs = self.spark.read.schema(CHANGE_SCHEMA).parquet(folder).select("old_date", "new_date").collect()
+        return {day for pair in pairs for day in pair if day is not None}
+
     # -- writing ---------------------------------------------------------
 
     def conform(self, df: DataFrame) -> DataFrame:
@@ -246,51 +152,94 @@ class UpsertTable:
             columns.append(value.alias(f.name))
         return df.select(*columns)
 
-    def is_committed(self, query_id: str, batch_id: int) -> bool:
-        if files.exists(self.spark, f"{self.commits_path}/{query_id}-{batch_id}/_SUCCESS"):
-            return True
-        rolled = f"{self.commits_path}/rollup-*"
-        if not files.last_name(self.spark, rolled):
-            return False
-        log = self.spark.read.schema(COMMIT_SCHEMA).parquet(rolled)
-        match = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
-        return not log.where(match).isEmpty()
+    def earlier_rows(self, batch: DataFrame, rows: int) -> DataFrame:
+        """``(keys, old_date)`` of the rows that ``batch`` may replace.
 
-    def upsert(
-        self,
-        source: DataFrame,
-        query_id: str | None = None,
-        batch_id: int | None = None,
-        action: str = "upsert",
-    ) -> int | None:
+        The scan reads keys and dates alone. Rows that fail the filter of the
+        batch's keys never reach the join's shuffle; a batch too large for a
+        filter of bounded size is joined without.
+        """
+        held = self.read().select(*self.keys, F.col(self.date_column).alias("old_date"))
+        buckets = buckets_for(rows)
+        return may_hold(held, self.keys, key_filter(batch, self.keys, buckets), buckets) if buckets else held
+
+    def moves(self, batch: DataFrame, rows: int) -> DataFrame:
+        """Rows of ``batch`` by the date that holds the key now and the new one."""
+        new = F.col(self.date_column).alias("new_date")
+        if self.date_column in self.keys:
+            # A key cannot change its date, so the batch alone tells.
+            pairs = batch.select(F.lit(None).cast("date").alias("old_date"), new)
+        else:
+            pairs = batch.select(*self.keys, new).join(self.earlier_rows(batch, rows), self.keys, "left")
+        return pairs.groupBy("old_date", "new_date").agg(F.count("*").alias("rows"))
+
+    def _record(self, batch: DataFrame, rows: int, name: str) -> set[date]:
+        """Writes what the batch will change, unless an earlier run of it did,
+        and returns the dates."""
+        folder = f"{self.changes_path}/batch={name}"
+        if files.exists(self.spark, f"{folder}/_SUCCESS"):
+            return self.changed_dates(name)
+        # One row per pair of dates.
+        found = self.moves(batch, rows).collect()
+        moment = utc_now()
+        pairs = local_rows(self.spark, [(moment, *pair) for pair in found], StructType(CHANGE_SCHEMA.fields[:-1]))
+        pairs.coalesce(1).write.mode("overwrite").parquet(folder)
+        return {day for pair in found for day in (pair["old_date"], pair["new_date"]) if day is not None}
+
+    def upsert(self, source: DataFrame, batch: str | None = None, unique: bool = False) -> Change:
         """Updates or inserts rows by key; ``source`` holds one row per key.
 
-        A source that repeats a key is refused, as a merge would be, whatever
-        the table already holds.
-
-        A (``query_id``, ``batch_id``) that is already committed is skipped, so
-        a replayed streaming batch changes nothing. Returns the rows written,
-        None when skipped.
+        ``unique`` says that it does by construction; otherwise it is counted
+        first, and a source that repeats a key is refused before anything is
+        written, as a merge would. A named ``batch`` that comes again, whole or
+        after a crash, ends in the same rows.
         """
-        name = None
-        if query_id is not None:
-            name = f"{query_id}-{batch_id}"
-            if self.is_committed(query_id, batch_id):
-                return None
-        commit = self.new_commit()
-        written = Observation()
-        observed = self.conform(source).observe(written, F.count(F.lit(1)).alias("rows"))
-        observed.write.mode("errorifexists").parquet(self.commit_dir(commit))
-        rows = written.get["rows"]
-        if rows == 0:
-            files.delete(self.spark, self.commit_dir(commit))
-            return 0
-        repeated = self._scan([self.commit_dir(commit)]).groupBy(*self.keys).count().where("count > 1")
-        if not repeated.isEmpty():
-            files.delete(self.spark, self.commit_dir(commit))
-            raise ValueError(f"the source repeats a key ({', '.join(self.keys)})")
-        self.record(commit, "delta", action, name=name, query_id=query_id, batch_id=batch_id)
-        return rows
+        name = batch or uuid.uuid4().hex
+        rows = self.conform(source).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if unique:
+                count = rows.count()
+            else:
+                counts = rows.groupBy(*self.keys).agg(F.count("*").alias("n"))
+                count, most = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max("n")).first()
+                if count and most > 1:
+                    raise ValueError(f"the source repeats a key ({', '.join(self.keys)})")
+            if not count:
+                return Change(name, 0, frozenset())
+            touched = self._record(rows, count, name)
+            self._overwrite(merge_frames(self.read_dates(touched), rows, self.keys), touched)
+            return Change(name, count, frozenset(touched))
+        finally:
+            rows.unpersist()
+
+    def replace_dates(self, rows: DataFrame, days: set[date]) -> None:
+        """Makes ``rows`` the whole content of ``days``; keys gone from them disappear."""
+        day = F.col(self.date_column)
+        inside = F.when(day.isin(sorted(days)), day).otherwise(F.raise_error(F.lit("a row outside the replaced dates")).cast("date"))
+        self._overwrite(self.conform(rows).withColumn(self.date_column, inside), set(days))
+
+    def rewrite_dates(self, files_per_date: dict[date, int]) -> None:
+        """The same rows of some dates in so many files each."""
+        self._overwrite(self.read_dates(set(files_per_date)), set(files_per_date), files_per_date)
+
+    def _overwrite(self, rows: DataFrame, days: set[date], files_per_date: dict[date, int] | None = None) -> None:
+        """Replaces the content of ``days``. Dates left without rows are removed
+        last, so that no row is missing meanwhile."""
+        before = {day: files.child_names(self.spark, self.date_dir(day)) for day in self.dates() if day in days}
+        order = [self.date_column] + ([self.cluster_by] if self.cluster_by else [])
+        (
+            self._spread(rows, files_per_date)
+            .sortWithinPartitions(*order)
+            .select(*self.schema.names)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(self.date_column)
+            .parquet(self.data_path)
+        )
+        for day, names in before.items():
+            if files.child_names(self.spark, self.date_dir(day)) == names:  # nothing replaced them
+                files.delete(self.spark, self.date_dir(day))
+        self._publish()
 
     def _spread(self, rows: DataFrame, files_per_date: dict[date, int] | None) -> DataFrame:
         """Rows in partitions of about one file each, a large date in several.
@@ -301,7 +250,7 @@ class UpsertTable:
         if files_per_date is None:
             return rows.hint("rebalance", self.date_column)
         # One row per date.
-        counts = self.spark.createDataFrame(list(files_per_date.items()), f"{self.date_column} date, _files int")
+        counts = local_rows(self.spark, list(files_per_date.items()), StructType([StructField(self.date_column, DateType()), StructField("_files", IntegerType())]))
         slot = F.pmod(F.xxhash64(*self.keys), F.coalesce("_files", F.lit(1)))
         return (
             rows.join(F.broadcast(counts), self.date_column, "left")
@@ -309,38 +258,21 @@ class UpsertTable:
             .repartition(max(1, sum(files_per_date.values())), self.date_column, "_slot")
         )
 
-    def write_base(
-        self,
-        rows: DataFrame,
-        state: LiveState,
-        dates: set[date],
-        action: str,
-        files_per_date: dict[date, int] | None = None,
-        folded: tuple[int, ...] = (),
-    ) -> int:
-        """Commits ``rows`` as the whole content of ``dates``; rows are
-        clustered inside each file."""
-        commit = self.new_commit()
-        if dates:
-            order = [self.date_column] + ([self.cluster_by] if self.cluster_by else [])
-            (
-                self._spread(self.conform(rows), files_per_date)
-                .sortWithinPartitions(*order)
-                .select(*self.schema.names)
-                .write.mode("errorifexists")
-                .partitionBy(self.date_column)
-                .parquet(self.commit_dir(commit))
-            )
-        written = [
-            date.fromisoformat(n.split("=", 1)[1])
-            for n in files.child_names(self.spark, self.commit_dir(commit))
-            if n.startswith(f"{self.date_column}=")
-        ]
-        if not set(written) <= dates:
-            raise ValueError(f"rows outside the rewritten dates: {sorted(set(written) - dates)}")
-        if self.state().last_base != state.last_base:
-            raise ConcurrentRewriteError(self.path)
-        self.record(
-            commit, "base", action, dates=sorted(dates), written=sorted(written), folded=list(folded)
-        )
-        return commit
+    def save_version(self, version: str) -> None:
+        """Keeps a copy of the rows as they are, to read with ``version``."""
+        self.read().write.partitionBy(self.date_column).parquet(self.version_path(version))
+
+    # -- the catalog -----------------------------------------------------
+
+    def register(self) -> None:
+        """Binds ``name`` to the folder; a binding to another folder is replaced."""
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in self.schema)
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        self.spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet PARTITIONED BY ({self.date_column}) LOCATION '{self.data_path}'")
+        self._publish()
+
+    def _publish(self) -> None:
+        """Makes the catalog's dates those of the folder."""
+        if self.name and self.spark.catalog.tableExists(self.name):
+            self.spark.sql(f"MSCK REPAIR TABLE {self.name} SYNC PARTITIONS")
+            self.spark.catalog.refreshTable(self.name)

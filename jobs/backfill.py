@@ -1,7 +1,5 @@
 """Rebuilds Silver for a date range from Bronze, and optionally Gold after it."""
 
-from datetime import date
-
 from jobs.common import parser
 
 from adlake.plans.backfill import backfill_and_rebuild, backfill_silver
@@ -16,13 +14,12 @@ def main(argv=None) -> None:
     args.add_argument("--bronze-start-date")
     args.add_argument("--bronze-end-date")
     args.add_argument("--rebuild-gold", action="store_true")
-    args.add_argument("--also-rebuild", nargs="*", default=[], help="dates that events were moved away from")
     args = args.parse_args(argv)
 
     lake = Lake(build_session("backfill-silver"), args.root)
     bounds = (args.event_start_date, args.event_end_date, args.bronze_start_date, args.bronze_end_date)
     if args.rebuild_gold:
-        backfill_and_rebuild(lake, *bounds, also_rebuild={date.fromisoformat(d) for d in args.also_rebuild})
+        backfill_and_rebuild(lake, *bounds)
     else:
         backfill_silver(lake, *bounds)
 

@@ -4,7 +4,7 @@ from jobs.common import options, parser
 
 from adlake.session import build_session
 from adlake.sources.messages import raw_stream
-from adlake.streaming.queries import start_bronze_with_metrics
+from adlake.streaming.queries import start_bronze
 from adlake.tables.lake import Lake
 
 
@@ -24,7 +24,7 @@ def main(argv=None) -> None:
     if args.format != "kafka":
         source = {"path": f"{args.root}/feed", **source}
     trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
-    start_bronze_with_metrics(lake, raw_stream(lake.spark, args.format, source), trigger).awaitTermination()
+    start_bronze(lake, raw_stream(lake.spark, args.format, source), trigger).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -1,4 +1,4 @@
-"""Compacts, folds, expires and cleans the upsert tables."""
+"""Compacts the keyed tables, expires their change feeds and cleans up."""
 
 from datetime import timedelta
 
@@ -14,8 +14,8 @@ def main(argv=None) -> None:
     args.add_argument("--action", choices=ACTIONS, default="all")
     args.add_argument("--tables", nargs="*", choices=["silver", "hourly", "daily"])
     args.add_argument("--target-file-size-bytes", type=int, default=TARGET_BYTES)
-    args.add_argument("--snapshot-retention-days", type=int, default=7)
-    args.add_argument("--snapshot-retain-last", type=int, default=RETAIN_LAST)
+    args.add_argument("--change-retention-days", type=int, default=7)
+    args.add_argument("--change-retain-last", type=int, default=RETAIN_LAST)
     args.add_argument("--orphan-retention-days", type=int, default=3)
     args.add_argument("--dry-run", action="store_true")
     args = args.parse_args(argv)
@@ -25,18 +25,13 @@ def main(argv=None) -> None:
         [tables[name] for name in args.tables or tables],
         args.action,
         args.target_file_size_bytes,
-        timedelta(days=args.snapshot_retention_days),
-        args.snapshot_retain_last,
+        timedelta(days=args.change_retention_days),
+        args.change_retain_last,
         timedelta(days=args.orphan_retention_days),
         args.dry_run,
     )
     for path, action, outcome in outcomes:
-        print(path, action)
-        if action == "orphan":
-            for row in outcome.toLocalIterator():
-                print(row["path"], row["length"], row["modificationTime"])
-        else:
-            print(outcome)
+        print(path, action, outcome)
 
 
 if __name__ == "__main__":

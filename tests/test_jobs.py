@@ -1,7 +1,10 @@
 """The jobs one after another, as an operator would run them."""
 
+from datetime import datetime, timezone
+
 from adlake.operators.projections import SOURCE_COLUMNS
 from adlake.sources.source_log import HEADER
+from adlake.streaming.metrics import OffsetListener
 from adlake.tables.lake import Lake
 from jobs import backfill, bootstrap, bronze_stream, gold, health, maintenance, replay, scaling, silver_stream
 
@@ -29,16 +32,22 @@ def test_whole_run(spark, tmp_path, capsys):
 
     days = ["--event-start-date", "2024-01-01", "--event-end-date", "2024-01-01"]
     backfill.main([*common, *days])
-    backfill.main([*common, *days, "--rebuild-gold", "--also-rebuild", "2024-01-02"])
+    backfill.main([*common, *days, "--rebuild-gold"])
+    gold.main([*common, "--changed"])
+    gold.main([*common, "--changed"])
     assert lake.daily.read().selectExpr("sum(events) AS n").first()["n"] == 48
 
-    maintenance.main([*common, "--action", "delete-files", "--tables", "silver"])
-    assert lake.silver.state().deltas == ()
-    maintenance.main([*common, "--snapshot-retention-days", "0", "--snapshot-retain-last", "1"])
+    maintenance.main([*common, "--action", "compact", "--tables", "silver"])
+    maintenance.main([*common, "--change-retention-days", "0", "--change-retain-last", "1"])
     health.main([*common, "--as-of", "2024-01-03T00:00:00"])
-    scaling.main([*common, "--current-max", "4", "--lag", "300000"])
+    scaling.main([*common, "--current-max", "4"])  # a feed of files tells no lag
+    output = capsys.readouterr().out
+    assert "silver_duplicate_event_ids_7d" in output and output.count("unknown_lag") == 2
+    progress = {"timestamp": datetime.now(timezone.utc).isoformat(), "batchId": 9, "sources": [{"endOffset": {"t": {"0": 5}}, "latestOffset": {"t": {"0": 300005}}}]}
+    OffsetListener(spark, lake.topic_offsets, "kafka_to_bronze").record(progress)
+    scaling.main([*common, "--current-max", "4"])
     output = capsys.readouterr().out
-    assert "silver_duplicate_event_ids_7d" in output and "scale_up" in output
+    assert "300000" in output and "scale_up" in output and output.count("unknown_lag") == 1
     assert lake.silver.read().count() == 48
 
 

@@ -1,9 +1,11 @@
 """What Catalyst makes of the queries."""
 
 import re
-from datetime import date
+from datetime import date, datetime, timezone
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
@@ -11,12 +13,12 @@ from adlake.operators.dedup import latest_copy
 from adlake.operators.kpis import hourly_kpis
 from adlake.operators.projections import project_bronze, project_silver, silver_candidates
 from adlake.plans.gold import gold_hourly
+from adlake.plans.health import health_checks
 from adlake.queries import message_feed, with_copies
 from adlake.schemas import BRONZE_SCHEMA
-from adlake.sources.bronze import read_bronze
+from adlake.sources.bronze import read_bronze, write_bronze
 from adlake.sources.testdata import ad_events
 from adlake.tables.lake import bootstrap
-from adlake.tables.maintenance import fold_deltas
 
 
 def plan(frame):
@@ -25,23 +27,19 @@ def plan(frame):
 
 @pytest.fixture(scope="module")
 def lake(spark, sf_dir, tmp_path_factory):
-    """Silver with base data of all dates and deltas on top."""
+    """Silver with rows of all dates, written more than once."""
     lake = bootstrap(spark, str(tmp_path_factory.mktemp("plans")))
-    bronze = project_bronze(message_feed(spark, sf_dir))
-    bronze.write.partitionBy("ingest_date", "ingest_hour").parquet(lake.bronze_path)
+    write_bronze(project_bronze(message_feed(spark, sf_dir)), lake.bronze_path, "feed")
     rows = silver_candidates(read_bronze(spark, lake.bronze_path))
     lake.silver.upsert(rows)
-    fold_deltas(lake.silver)
-    for n in (2, 3):
-        lake.silver.upsert(rows.where(F.col("kafka_offset") % n == 0))
+    lake.silver.upsert(rows.where(F.col("kafka_offset") % 2 == 0))
     return lake
 
 
 def test_no_python_on_the_data_path(spark, sf_dir):
-    streaming = {"stream_to_silver", "stream_batch_metrics"}
     for name, run in contract.queries().items():
         if name.startswith(("report", "health", "campaign", "gold_hourly", "silver", "scaling", "source", "latest")):
-            if name not in streaming | {"health_run"}:
+            if name != "health_run":  # lists folders in tasks
                 text = plan(run(spark, sf_dir))
                 assert not re.search("Python|Pandas|BatchEval", text), name
                 assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
@@ -54,31 +52,29 @@ def test_kpis_read_only_their_columns(spark, sf_dir):
     assert text.count("Exchange") == 1 and "partial_count" in text
 
 
-def test_date_bounds_prune_the_base(lake):
-    frame = gold_hourly(lake.silver.read("2024-01-10", "2024-01-11"))
-    text = plan(frame)
-    assert "LeftAnti" in text
-    base = text.split("FileScan")[1]
-    assert "InMemoryFileIndex(2 paths)" in base
-    assert "PartitionFilters: [isnotnull(event_date" in base
-    # Gold needs 6 of 33 columns, and the key for the anti-join.
-    assert "cat1" not in base.split("ReadSchema")[1]
+def test_date_bounds_prune_the_scan(lake):
+    text = plan(gold_hourly(lake.silver.read("2024-01-10", "2024-01-11")))
+    assert "Join" not in text
+    scan = text.split("FileScan")[1]
+    assert "InMemoryFileIndex(2 paths)" in scan
+    assert "PartitionFilters: [isnotnull(event_date" in scan
+    # Gold needs 6 of 33 columns.
+    assert "cat1" not in scan.split("ReadSchema")[1] and "event_id" not in scan.split("ReadSchema")[1]
 
 
-def test_filters_reach_the_base_scan(lake):
+def test_filters_reach_the_scan(lake):
     text = plan(lake.silver.read().where((F.col("event_date") == F.lit(date(2024, 1, 10))) & (F.col("campaign_id") == 3)))
-    base = text.split("FileScan")[1]
-    assert re.search(r"PartitionFilters: \[.*event_date", base)
-    assert "EqualTo(campaign_id,3)" in base
-
-
-def test_folded_table_reads_without_a_join(lake, spark, sf_dir, tmp_path):
-    other = bootstrap(spark, str(tmp_path))
-    other.silver.upsert(lake.silver.read())
-    assert "Window" not in plan(other.silver.read())  # one delta is one row per key
-    fold_deltas(other.silver)
-    text = plan(other.silver.read())
-    assert "Join" not in text and "Exchange" not in text
+    scan = text.split("FileScan")[1]
+    assert re.search(r"PartitionFilters: \[.*event_date", scan)
+    assert "EqualTo(campaign_id,3)" in scan and "Exchange" not in text
+
+
+def test_health_scans_silver_once(lake):
+    checks = reduce(DataFrame.unionByName, health_checks(lake, datetime(2024, 1, 31, tzinfo=timezone.utc)))
+    scans = re.findall(r"FileScan parquet \[([^]]*)\]", plan(checks))
+    silver = [columns for columns in scans if "event_id#" in columns]
+    assert [re.sub("#[0-9]+", "", columns) for columns in silver] == ["event_id,event_time,event_date"]
+    assert plan(checks).count("folder_listing") <= 1
 
 
 def test_dedup_limits_each_key_before_the_shuffle(spark, sf_dir):

@@ -2,7 +2,8 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from adlake.plans.scaling import consumer_lag, decide, join_offsets, max_duration, offsets_from_progress
+from adlake.plans.scaling import consumer_lag, decide, max_duration, recorded_lag
+from adlake.schemas import TOPIC_OFFSET_SCHEMA
 
 AS_OF = datetime(2024, 1, 31)
 OFFSETS = "topic string, partition int, end_offset bigint, committed_offset bigint"
@@ -11,18 +12,28 @@ OFFSETS = "topic string, partition int, end_offset bigint, committed_offset bigi
 def test_lag(spark):
     frame = spark.createDataFrame([("t", 0, 10, 4), ("t", 1, 7, None), ("t", 2, 3, 5)], OFFSETS)
     assert consumer_lag(frame).first()["lag"] == 13
-    assert consumer_lag(frame.where("false")).first()["lag"] == 0
+    assert consumer_lag(frame.where("false")).first()["lag"] is None  # unknown
 
 
-def test_join_offsets(spark, rows):
-    end = spark.createDataFrame([("t", 0, 10), ("t", 1, 7)], "topic string, partition int, end_offset bigint")
-    committed = spark.createDataFrame([("t", 0, 4)], "topic string, partition int, committed_offset bigint")
-    assert rows(join_offsets(end, committed)) == [("t", 0, 10, 4), ("t", 1, 7, None)]
+def test_recorded_lag_takes_the_newest_report(spark, rows):
+    def report(minutes, query, batch, partition, end, read):
+        return (AS_OF - timedelta(minutes=minutes), query, batch, "t", partition, end, read)
 
+    frame = spark.createDataFrame(
+        [
+            report(10, "a", 1, 0, 100, 0), report(5, "a", 2, 0, 110, 105), report(5, "a", 3, 0, 111, 105), report(5, "a", 2, 1, 7, None),
+            report(16, "b", 1, 0, 99, 0), report(15, "c", 1, 0, 5, 9),
+        ],
+        TOPIC_OFFSET_SCHEMA,
+    )
+    assert rows(recorded_lag(frame, AS_OF)) == [("a", 13), ("c", 0)]
 
-def test_offsets_from_progress(spark, rows):
-    progress = {"sources": [{"endOffset": {"t": {"0": 4}}, "latestOffset": '{"t": {"0": 10, "1": 7}}'}]}
-    assert rows(offsets_from_progress(spark, progress)) == [("t", 0, 10, 4), ("t", 1, 7, None)]
+
+@pytest.mark.parametrize("duration, expected", [(0, (4, "unknown_lag")), (50000, (4, "unknown_lag")), (120000, (6, "scale_up"))])
+def test_unknown_lag_never_scales_down(spark, duration, expected):
+    apps = spark.createDataFrame([("a", 4, None, duration)], "app string, current_max int, lag bigint, duration_ms bigint")
+    row = decide(apps).first()
+    assert (row["target_max_executors"], row["reason"]) == expected
 
 
 def test_duration(spark):
