@@ -41,7 +41,7 @@ def test_odd_rows(odd, empty):
     assert dedup_lines(empty).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op2_line_dedup", "op1_topk_search"])
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_and_its_twin(spark, sf_dir, name):
     from compare import connect, difference
 
