@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+from collections import Counter
 from heapq import heappop, heappush
 
 import numpy as np
@@ -13,11 +14,10 @@ from pyspark.sql import DataFrame
 
 from adlake.llm.shared import add_columns, utf8
 
-WORD_BITS = 512  # two levels of such words hold 262,144 ranks
-LEVEL_SHIFT = 9
-WORD_MASK = WORD_BITS - 1
-CACHED_PIECES = 200_000  # in each half of the cache; some 50 MB a half
+CACHED_PIECES = 600_000  # in each half of the cache; some 130 MB a half
 CACHED_PIECE_CHARS = 48
+HOT_PIECES = 4_000  # some two thirds of all pieces, and small enough for a core's own cache
+HOT_SAMPLE_CHARS = 2_000_000  # of a worker's first texts, counted to find them
 IDS = np.dtype("<u4")
 
 
@@ -37,19 +37,29 @@ def split_pattern(pattern: str) -> regex.Pattern:
     return regex.compile(inside.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
+def _join(buckets: dict[int, int | list[int]], rank: int, at: int) -> None:
+    """One more position in a bucket that has some: a heap from then on."""
+    held = buckets[rank]
+    if isinstance(held, list):
+        heappush(held, at)
+    else:
+        buckets[rank] = [held, at] if held < at else [at, held]
+
+
 class BytePairCodec:
     """Encodes and decodes by merge ranks.
 
     A piece is a linked list of tokens. Each adjacent pair that merges waits in
     the bucket of its rank; two levels of bitmaps tell the lowest rank with a
-    bucket by find-first-set. Buckets are heaps, so that of equal ranks the
-    leftmost pair merges first. An entry whose pair has changed is stale and is
+    bucket by find-first-set. A bucket is one position or a heap of them, so
+    that of equal ranks the leftmost pair merges first. An entry whose pair has changed is stale and is
     skipped when met. A piece of n bytes takes O(n log n), whatever it repeats.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        if ranks and max(ranks.values()) >= WORD_BITS * WORD_BITS:
-            raise ValueError("more ranks than two bitmap levels hold")
+        # Both levels of bitmaps have words of about as many bits.
+        self.shift = max(max(ranks.values(), default=0).bit_length() + 1, 2) // 2
+        self.mask = (1 << self.shift) - 1
         missing = [value for value in range(256) if bytes([value]) not in ranks]
         if missing:
             raise ValueError(f"the vocabulary lacks single bytes: {missing[:5]}")
@@ -63,42 +73,50 @@ class BytePairCodec:
             for cut in range(1, len(token))
             if token[:cut] in ranks and token[cut:] in ranks
         }
-        self.low = [0] * WORD_BITS  # all zero between pieces
+        self.low = [0] * ((max(ranks.values(), default=0) >> self.shift) + 1)  # all zero between pieces
         self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.hot: dict[str, bytes] = {}
+        self.counts: Counter[str] = Counter()
+        self.counted = 0
 
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        merges, low, end = self.merges.get, self.low, len(piece)
+        merges, low, end, shift, mask = self.merges.get, self.low, len(piece), self.shift, self.mask
         high = 0
-        single = self.single
-        ids = [single[value] for value in piece]
+        ids = list(map(self.single.__getitem__, piece))
         following = list(range(1, end + 1))
-        preceding = list(range(-1, end - 1))
+        preceding = list(range(-1, end))
         pair_rank = list(map(merges, zip(ids, ids[1:])))
         pair_rank.append(None)
-        buckets: dict[int, list[int]] = {}
+        buckets: dict[int, int | list[int]] = {}
         for at, rank in enumerate(pair_rank):
             if rank is not None:
                 if rank in buckets:
-                    buckets[rank].append(at)  # in ascending order, so a heap already
+                    _join(buckets, rank, at)
                 else:
-                    buckets[rank] = [at]
-                    word = rank >> LEVEL_SHIFT
-                    low[word] |= 1 << (rank & WORD_MASK)
+                    buckets[rank] = at
+                    word = rank >> shift
+                    low[word] |= 1 << (rank & mask)
                     high |= 1 << word
         while high:
             word = (high & -high).bit_length() - 1
             bits = low[word]
             bit = bits & -bits
-            rank = (word << LEVEL_SHIFT) | (bit.bit_length() - 1)
-            bucket = buckets[rank]
-            if len(bucket) > 1:
+            rank = (word << shift) | (bit.bit_length() - 1)
+            at = buckets[rank]
+            if at.__class__ is list:
+                bucket = at
                 at = heappop(bucket)
+                if not bucket:
+                    del buckets[rank]
+                    low[word] = bits ^ bit
+                    if bits == bit:
+                        high &= high - 1
             else:
-                at = bucket.pop()
+                del buckets[rank]
                 low[word] = bits ^ bit
                 if bits == bit:
                     high &= high - 1
@@ -106,33 +124,32 @@ class BytePairCodec:
                 continue
             gone = following[at]
             after = following[gone]
-            ids[at], following[at] = rank, after
+            ids[at] = rank
+            following[at] = after
+            preceding[after] = at
             pair_rank[gone] = None
-            new = None
             if after < end:
-                preceding[after] = at
-                new = merges((rank, ids[after]))
+                pair_rank[at] = new = merges((rank, ids[after]))
                 if new is not None:
-                    bucket = buckets.get(new)
-                    if bucket:
-                        heappush(bucket, at)
+                    if new in buckets:
+                        _join(buckets, new, at)
                     else:
-                        buckets[new] = [at]
-                        word = new >> LEVEL_SHIFT
-                        low[word] |= 1 << (new & WORD_MASK)
+                        buckets[new] = at
+                        word = new >> shift
+                        low[word] |= 1 << (new & mask)
                         high |= 1 << word
-            pair_rank[at] = new
+            else:
+                pair_rank[at] = None
             before = preceding[at]
             if before >= 0:
                 pair_rank[before] = new = merges((ids[before], rank))
                 if new is not None:
-                    bucket = buckets.get(new)
-                    if bucket:
-                        heappush(bucket, before)
+                    if new in buckets:
+                        _join(buckets, new, before)
                     else:
-                        buckets[new] = [before]
-                        word = new >> LEVEL_SHIFT
-                        low[word] |= 1 << (new & WORD_MASK)
+                        buckets[new] = before
+                        word = new >> shift
+                        low[word] |= 1 << (new & mask)
                         high |= 1 << word
         out, at = [], 0
         while at < end:
@@ -151,13 +168,23 @@ class BytePairCodec:
             self.newer[piece] = ids
         return ids
 
+    def _count(self, pieces: list[str], chars: int) -> None:
+        """Looks out for the most frequent pieces, until enough text was seen."""
+        self.counts.update(pieces)
+        self.counted += chars
+        if self.counted >= HOT_SAMPLE_CHARS:
+            self.hot = {piece: self._encoded(piece) for piece, _ in self.counts.most_common(HOT_PIECES)}
+            self.counts = Counter()
+
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         pieces = self.pattern.findall(text)
-        found = list(map(self.newer.get, pieces))
+        if self.counted < HOT_SAMPLE_CHARS:
+            self._count(pieces, len(text))
+        found = list(map(self.hot.get, pieces))
         if None in found:
-            encoded = self._encoded
-            found = [encoded(piece) if ids is None else ids for piece, ids in zip(pieces, found)]
+            cached, encoded = self.newer.get, self._encoded
+            found = [(cached(piece) or encoded(piece)) if ids is None else ids for piece, ids in zip(pieces, found)]
         return b"".join(found)
 
     def decode(self, ids: bytes) -> bytes:
