@@ -48,7 +48,7 @@ from adlake.schemas import SOURCE_COLUMNS
 from adlake.session import scratch_dir
 from adlake.sources.bronze import bronze_stream, read_bronze, register_bronze, write_bronze
 from adlake.sources.messages import as_feed, publish, raw_stream
-from adlake.sources.source_log import limit_events, read_source_log
+from adlake.sources.source_log import read_source_log
 from adlake.sources.testdata import (
     BASE_EPOCH,
     PARTITIONS,
@@ -230,7 +230,13 @@ def source_log_lines(spark, sf_dir):
 
 @query
 def source_log_first_events(spark, sf_dir):
-    return limit_events(read_source_log(spark, written_log(spark, sf_dir)), 500).select("line_number", "uid")
+    return read_source_log(spark, written_log(spark, sf_dir), max_events=500).select("line_number", "uid")
+
+
+@query
+def source_log_events_after(spark, sf_dir):
+    """A stretch of the log: the first rows after a line."""
+    return read_source_log(spark, written_log(spark, sf_dir), start_line=1000, max_events=700).select("line_number", "uid")
 
 
 def textual_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,78 +2,128 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adlake.schemas import SOURCE_COLUMNS
 
 HEADER = "\t".join(SOURCE_COLUMNS)
 
+TASK_BITS = 33  # Fixed value: how Spark's rising ids hold the task above its rows
+
 # Lines per range when looking for the n-th row.
 LIMIT_RANGE = 1_000_000
 
 
-def with_line_number(lines: DataFrame) -> DataFrame:
-    """Numbers the lines of a text log from 1, not counting header rows.
-
-    Ids rise along each file split, so a line's number is its place in its
-    split plus the lines of earlier splits, in order of file name and start.
-    Both passes scan the same splits; nothing is shuffled but one count per
-    split. ``lines`` must be an untouched ``spark.read.text``.
-    """
-    located = lines.select(
+def _located(lines: DataFrame) -> DataFrame:
+    """Lines with their file split and an id that rises along it."""
+    return lines.select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_id"),
     ).withColumn("_split", F.xxhash64("_file", "_start"))
+
+
+def _split_offsets(located: DataFrame, good: Column) -> DataFrame:
+    """Per file split: the number of its first line and of its first good row.
+
+    One row per file split, a list the driver holds for scheduling anyway; the
+    unpartitioned window runs over that.
+    """
     splits = located.groupBy("_file", "_start", "_split").agg(
         F.count("*").alias("_lines"),
+        F.count_if(good).alias("_good"),
         F.min("_id").alias("_first"),
         F.min(F.when(F.col("value") == HEADER, F.col("_id"))).alias("_header_id"),
     )
-    # From here on one row per file split, a list the driver holds for
-    # scheduling anyway; the unpartitioned window runs over that.
     headed = (F.col("_start") == 0) & F.coalesce(F.col("_header_id") == F.col("_first"), F.lit(False))
     same_hash = F.count("*").over(Window.partitionBy("_split"))
-    before = F.sum("_rows").over(
-        Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
+    earlier = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    # A task may hold several splits; its ids rise from the task's own start.
+    task = F.shiftright("_first", TASK_BITS)
+    in_task = Window.partitionBy(task).orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
+
+    def before(column: str, window) -> Column:
+        return F.coalesce(F.sum(column).over(window), F.lit(0))
+
+    return (
         splits.withColumn("_skipped", headed.cast("int"))
-        .withColumn("_rows", F.col("_lines") - F.col("_skipped"))
+        .withColumns({"_rows": F.col("_lines") - F.col("_skipped"), "_good_rows": F.col("_good") - F.col("_skipped")})
         .select(
             F.when(same_hash == 1, F.col("_split"))
             .otherwise(F.raise_error(F.lit("two file splits share a hash")).cast("bigint"))
             .alias("_split"),
             # The number of the split's first line; its header gets one less.
-            (F.coalesce(before, F.lit(0)) + 1 - F.col("_skipped")).alias("_number"),
+            (before("_rows", earlier) + 1 - F.col("_skipped")).alias("_number"),
             (F.col("_first") + F.col("_skipped")).alias("_first_row"),
             "_first",
+            # The same over good rows, whose ids are counted apart; a header has
+            # as many fields as a row.
+            (before("_good_rows", earlier) + 1 - F.col("_skipped")).alias("_good_number"),
+            (F.shiftleft(task, TASK_BITS) + before("_good", in_task)).alias("_first_good"),
         )
     )
-    # Some 50 bytes per file split, less than the driver keeps of a split itself.
+
+
+def with_line_number(lines: DataFrame) -> DataFrame:
+    """Numbers the lines of a text log from 1, not counting header rows.
+
+    Ids rise along each file split, so a line's number is its place in its
+    split plus the lines of earlier splits, in order of file name and start.
+    Both passes scan the same splits; nothing is shuffled but one count per
+    split. ``lines`` must be an untouched ``spark.read.text``.
+    """
+    located = _located(lines)
+    # Some 60 bytes per file split, less than the driver keeps of a split itself.
     return (
-        located.join(F.broadcast(offsets), "_split")
+        located.join(F.broadcast(_split_offsets(located, F.lit(False))), "_split")
         .where(F.col("_id") >= F.col("_first_row"))
         .select("value", (F.col("_id") - F.col("_first") + F.col("_number")).alias("line_number"))
     )
 
 
-def read_source_log(spark: SparkSession, path: str, start_line: int = 0) -> DataFrame:
+def with_row_number(lines: DataFrame, good: Column) -> DataFrame:
+    """Lines that are ``good``, with ``line_number`` and their place among the
+    good ones, ``row_number``: found as line numbers are, in the same two scans."""
+    located = _located(lines)
+    # These ids are given after the filter, so they count good lines alone.
+    kept = located.where(good).withColumn("_good_id", F.monotonically_increasing_id())
+    return (
+        kept.join(F.broadcast(_split_offsets(located, good)), "_split")
+        .where(F.col("_id") >= F.col("_first_row"))
+        .select(
+            "value",
+            (F.col("_id") - F.col("_first") + F.col("_number")).alias("line_number"),
+            (F.col("_good_id") - F.col("_first_good") + F.col("_good_number")).alias("row_number"),
+        )
+    )
+
+
+def read_source_log(spark: SparkSession, path: str, start_line: int = 0, max_events: int = 0) -> DataFrame:
     """Source rows as text columns with ``line_number``, plain or ``.gz``.
 
     ``path`` is a file, or a folder whose files in name order make up the log.
     Lines with another field count are dropped after numbering, so they leave
-    gaps. Quotes have no meaning in the log. A ``.gz`` file is one split and is read by one task: store a large
-    log as several files, uncompressed or in a splittable codec.
+    gaps. ``max_events`` keeps the first rows after ``start_line``; it costs no
+    scan more, or with a start line one. Quotes have no meaning in the log. A
+    ``.gz`` file is one split and is read by one task: store a large log as
+    several files, uncompressed or in a splittable codec.
     """
+    whole = F.size(F.split("value", "\t", -1)) == len(SOURCE_COLUMNS)
+    if max_events:
+        rows = with_row_number(spark.read.text(path), whole)
+        last = F.lit(max_events)
+        if start_line:
+            passed = rows.where(F.col("line_number") <= start_line).agg(F.coalesce(F.max("row_number"), F.lit(0)))
+            last = last + passed.scalar()
+        rows = rows.where(F.col("row_number") <= last)
+    else:
+        rows = with_line_number(spark.read.text(path)).where(whole)
     fields = F.split("value", "\t", -1)
     return (
-        with_line_number(spark.read.text(path))
-        .where(F.col("line_number") > start_line)
+        rows.where(F.col("line_number") > start_line)
         .withColumn("_fields", fields)
-        .where(F.size("_fields") == len(SOURCE_COLUMNS))
         .select("line_number", *[F.col("_fields")[i].alias(c) for i, c in enumerate(SOURCE_COLUMNS)])
     )
 

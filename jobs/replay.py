@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adlake.operators.projections import coerce, to_events, to_raw_messages
 from adlake.session import build_session
 from adlake.sources.messages import as_feed, publish
-from adlake.sources.source_log import limit_events, read_source_log
+from adlake.sources.source_log import read_source_log
 
 
 def main(argv=None) -> None:
@@ -25,7 +25,7 @@ def main(argv=None) -> None:
 
     spark = build_session("replay")
     base_epoch = args.base_epoch if args.base_epoch is not None else time.time()
-    rows = limit_events(read_source_log(spark, args.input, args.start_line), args.max_events)
+    rows = read_source_log(spark, args.input, args.start_line, args.max_events)
     good, rejected = coerce(rows)
     messages = to_raw_messages(to_events(good, base_epoch), "line_number")
     if args.format == "kafka":

@@ -96,3 +96,28 @@ def test_limit(spark, monkeypatch, n, width):
     kept = [i for i in range(1, 150) if i % 3]
     frame = spark.createDataFrame([(i,) for i in kept], "line_number bigint")
     assert numbers(limit_events(frame, n)) == (kept[:n] if n else kept)
+
+
+@pytest.mark.parametrize("start, most", [(0, 1), (0, 500), (0, 5000), (1, 1), (700, 900), (1999, 3), (4000, 10)])
+def test_first_rows_over_many_files_and_splits(spark, tmp_path, small_splits, start, most):
+    random.seed(7)
+    folder, n, kept = tmp_path / "log", 0, []
+    folder.mkdir()
+    for part in range(7):
+        lines = []
+        for _ in range(random.choice([1, 30, 700])):
+            n += 1
+            bad = random.random() < 0.3
+            lines.append(line(n) + "\t0" if bad else line(n, uid=n))
+            if not bad:
+                kept.append(n)
+        write(folder / f"part-{part}.tsv", ([HEADER] if part in (0, 4) else []) + lines)
+    frame = read_source_log(spark, str(folder), start, most)
+    assert numbers(frame) == [i for i in kept if i > start][:most]
+    assert all(int(r["uid"]) == r["line_number"] for r in frame.collect())
+
+
+def test_first_rows_take_two_scans(spark, tmp_path):
+    path = write(tmp_path / "log.tsv", [HEADER] + [line(n) for n in range(1, 50)])
+    text = read_source_log(spark, path, max_events=10)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Relation [") == 2 and "Sort" not in text.replace("SortOrder", "")
