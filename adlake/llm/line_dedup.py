@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.shared import row_key, stored
+from adlake.llm.shared import quoted, row_key, stored
 
 LINES = 3  # in a window
 
@@ -58,17 +58,17 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     fewer than three lines have no windows and stay; a null text stays null
     with no lines; a text whose lines all go is empty. Rows equal in doc_id and
     text are one document: a repeated row is no later occurrence. Other
-    columns pass through.
+    columns pass through, whatever their names.
     """
     own = docs.drop("n_lines", "n_removed")
-    lines = lines_of(F.col("text"))
-    count = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
+    row = F.struct(*[F.col(quoted(name)).alias(name) for name in own.columns]).alias("_row")
+    whole = F.col("_row.text")
+    lines = lines_of(whole)
+    count = F.when(whole.isNull(), 0).otherwise(F.size(lines))
     keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_covered")
     text = F.array_join(F.transform(keep, lambda at: F.get(lines, at)), "\n")
-    joined = own.select(*[F.col(f"`{name}`") for name in own.columns], *row_key()).join(covered_lines(docs), ["_id", "_hash"], "left")
-    gone = F.coalesce(F.size("_covered"), F.lit(0))
-    return joined.withColumns({
-        "n_lines": count.cast("long"),
-        "n_removed": F.when(F.col("_covered").isNull(), 0).otherwise(gone).cast("long"),
-        "text": F.when(F.col("_covered").isNull(), F.col("text")).otherwise(text),
-    }).drop("_id", "_hash", "_covered")
+    joined = own.select(row, *row_key()).join(covered_lines(docs.select("doc_id", "text")), ["_id", "_hash"], "left")
+    made = {"text": F.when(F.col("_covered").isNull(), whole).otherwise(text)}
+    columns = [made.get(name, F.col(f"_row.{quoted(name)}")).alias(name) for name in own.columns]
+    removed = F.when(F.col("_covered").isNull(), 0).otherwise(F.size("_covered"))
+    return joined.select(*columns, count.cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))

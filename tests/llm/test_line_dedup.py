@@ -41,6 +41,16 @@ def test_odd_rows(odd, empty):
     assert dedup_lines(empty).count() == 0
 
 
+def test_columns_of_any_name_pass_through(make):
+    text = "one\ntwo\nthree\nfour"
+    docs = make([(1, text), (2, text)])
+    for value in (F.lit(7), F.lit("x"), F.lit(None).cast("long")):
+        names = ["_id", "_hash", "_covered", "_row", "at", "lines", "a.b"]
+        rows = dedup_lines(docs.withColumns({name: value for name in names})).orderBy("doc_id").collect()
+        assert [(row["n_lines"], row["n_removed"], row["text"]) for row in rows] == [(4, 0, text), (4, 4, "")]
+        assert all(row[name] == rows[0]["_id"] for row in rows for name in names)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_and_its_twin(spark, sf_dir, name):
     from compare import connect, difference
