@@ -53,7 +53,7 @@ def test_items_in_documents(spark, make, odd, empty, monkeypatch):
         expected[n] = [number for number, item in items if distance(normal(item), own) <= int(len(normal(item)) / 16)]
     assert sum(map(bool, expected.values())) > 15
     table = spark.createDataFrame([*items, (50, None), (None, "a b"), (51, "tiny"), (52, "")], "item_id long, text string")
-    for chars in (16_000_000, 1500):
+    for chars in (16_000_000, 4000):
         monkeypatch.setattr(decontamination, "GROUP_CHARS", chars)
         found = match_items(make(rows).withColumn("matched_items", F.lit("clash")), table)
         assert {row["doc_id"]: row["matched_items"] for row in found.collect()} == expected
@@ -61,6 +61,36 @@ def test_items_in_documents(spark, make, odd, empty, monkeypatch):
     assert match_items(odd, table.where("false")).count() == odd.count() and match_items(empty, table).count() == 0
 
 
+def test_short_items_are_found_word_for_word(spark, make):
+    question = "水的沸点是多少摄氏度呢请回答"
+    items = [(1, question), (2, "what is 7 plus 5?"), (3, "yes"), (4, "是的"), (5, None), (None, "null id but long enough")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    rows = [
+        (1, f"前面的话。{question}？后面"), (2, f"前面{question}"), (3, "so, What is 7 plus 5? 12"), (4, "what is 7 plus 55"),
+        (5, "what is 8 plus 5"), (6, "yes 是的"), (7, question), (8, "somewhat is 7 plus 5"),
+    ]
+    found = {row["doc_id"]: row["matched_items"] for row in match_items(make(rows), table).collect()}
+    assert found == {1: [1], 2: [], 3: [2], 4: [], 5: [], 6: [], 7: [1], 8: []}
+    told = {(row["item_id"], row["text"]) for row in decontamination.unsearched(table).collect()}
+    assert told == {items[2], items[3], items[4], items[5]}
+
+
+def test_columns_of_any_name_pass_through_the_search(spark, make, monkeypatch):
+    monkeypatch.setattr(decontamination, "GROUP_CHARS", 30)
+    item = "a benchmark question of some length, asked in english"
+    table = spark.createDataFrame([(n, item + " " * n) for n in range(4)], "item_id long, text string")
+    names = {name: F.lit(name) for name in ("_matched_0", "_matched", "_matched_1", "group", "a.b")}
+    [row] = match_items(make([(1, f"So: {item}")]).withColumns(names), table).collect()
+    assert row["matched_items"] == [0, 1, 2, 3] and all(row[name] == name for name in names)
+
+
+def test_a_very_long_text_is_searched_whole(spark, make):
+    item = "a benchmark question of some length, asked in english"
+    table = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, "filler words here " * 280_000 + item), (2, "filler words here " * 280_000)]
+    assert {row["doc_id"]: row["matched_items"] for row in match_items(make(rows), table).collect()} == {1: [1], 2: []}
+
+
 def test_sentence_rules(make, odd, empty):
     bsd = [licenses.SENTENCES[name] for name in ("BSD-grant", "BSD-source", "BSD-binary", "BSD-endorse")]
     apache = """
