@@ -30,11 +30,13 @@ WORDS = 5
 BITS = 2048  # of a parity bitmap at least
 MOST_BITS = 65_536
 FREQUENT = 8  # sets of a token: from there on it comes last in the order
-LOCAL_TOKENS = 1_000_000  # of a task, counted together
+LOCAL_TOKENS = 500_000  # of a task, counted together
 COUNTED = 0.35  # of a set
 GROUP = 16  # sets of a token that meet at once; more wait for the second round
+GROUP_ROWS = 50_000  # of tokens' groups looked at together
 MOST_HOT = 1 << 20  # tokens of an order that are broadcast (16 MB)
 TILE = 2048
+TILE_ROWS = 20_000  # of tiles looked at together, one tile at least
 BLOCK_BYTES = 1 << 20
 SEEN_SETS = 200_000
 PLACE = np.array([0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
@@ -307,21 +309,44 @@ def group_pairs(token, n, place, most: int | None = None, differ=None):
         left = left[(left + step < last[left]) & ~large[left]]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], key: str, rows: int = 200_000) -> Iterator[tuple[pa.Table, bool]]:
-    """Sorted rows in blocks that end with a group; a longer group comes in parts.
+class _Pairs:
+    """Distinct pairs of sets of one block, held as one number each: the places
+    of both in the block's list of sets."""
+
+    def __init__(self, sid: np.ndarray):
+        self.sids, self.place = np.unique(sid, return_inverse=True)
+        self.keys: list[np.ndarray] = []
+
+    def add(self, left: np.ndarray, right: np.ndarray) -> None:
+        ends = self.place[left], self.place[right]
+        self.keys.append(np.unique(np.minimum(*ends) * len(self.sids) + np.maximum(*ends)))
+
+    def batch(self) -> tuple[np.ndarray, np.ndarray]:
+        keys = np.unique(np.concatenate(self.keys)) if self.keys else np.zeros(0, np.int64)
+        low, high = np.divmod(keys, max(1, len(self.sids)))
+        return self.sids[low], self.sids[high]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], key: str, rows: int = 200_000, whole: bool = False) -> Iterator[tuple[pa.Table, bool]]:
+    """Sorted rows in blocks that end with a group; a longer group comes in
+    parts, or with ``whole`` as one block all the same.
 
     True with a block whose last group goes on in the next one.
     """
     held: list[pa.RecordBatch] = []
-    size = 0
+    size, due = 0, rows
     for batch in batches:
         held.append(batch)
         size += batch.num_rows
-        if size < rows:
+        if size < due:
             continue
         table = pa.Table.from_batches(held)
         keys = table[key].to_numpy()
         cut = int(np.searchsorted(keys, keys[-1]))
+        if whole and not cut:
+            due = 2 * size  # looked at again when it has doubled
+            continue
+        due = rows
         if cut:
             yield table.slice(0, cut), False
             table = table.slice(cut)
@@ -336,7 +361,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], key: str, rows: int = 200_000) ->
 def _first_meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, token null) and, for large groups, tokens (null, rows, token)."""
     carried = 0
-    for table, open_ in _blocks(batches, "token"):
+    for table, open_ in _blocks(batches, "token", GROUP_ROWS):
         token, sid, n, place = (table[name].to_numpy() for name in ("token", "sid", "n", "place"))
         fresh = np.append(True, (token[1:] != token[:-1]) | (sid[1:] != sid[:-1]))
         token, sid, n, place = token[fresh], sid[fresh], n[fresh], place[fresh]
@@ -346,20 +371,19 @@ def _first_meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         # A group in parts is large in each of them.
         hot = sizes > GROUP
         carried = int(sizes[-1]) if open_ else 0
-        a, b = [], []
+        pairs = _Pairs(sid)
         for left, right in group_pairs(token, n, place, GROUP):
-            a.append(np.minimum(sid[left], sid[right]))
-            b.append(np.maximum(sid[left], sid[right]))
-        pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0) if a else np.zeros((0, 2), np.int64)
+            pairs.add(left, right)
+        a, b = pairs.batch()
         told = hot.copy()
         if open_:
             told[-1] = False
-        none = [None] * len(pairs)
+        tokens = np.concatenate([np.zeros(len(a), np.int64), values[told]])
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate([pairs[:, 0], np.zeros(told.sum(), np.int64)])),
-                pa.array(np.concatenate([pairs[:, 1], sizes[told].astype(np.int64)])),
-                pa.array(none + values[told].tolist(), pa.int64()),
+                pa.array(np.concatenate([a, np.zeros(told.sum(), np.int64)])),
+                pa.array(np.concatenate([b, sizes[told].astype(np.int64)])),
+                pa.array(tokens, mask=np.arange(len(tokens)) < len(a)),
             ],
             ["a", "b", "token"],
         )
@@ -368,25 +392,25 @@ def _first_meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _tile_pairs(batches: Iterator[pa.RecordBatch], forest: bool) -> Iterator[pa.RecordBatch]:
     """Pairs of different components within tiles that the bitmaps let pass.
 
-    With ``forest`` only as many as could join the components of a tile.
+    With ``forest`` only as many as could join the components of a tile. A tile
+    is taken whole: distinct sets are dealt to it by hash, some ``2 * TILE`` of
+    each of two bands.
     """
-    for table, _ in _blocks(batches, "tile", 20_000):
+    for table, _ in _blocks(batches, "tile", TILE_ROWS, whole=True):
         tile, sid, n, place, band, low, component = (table[name].to_numpy() for name in ("tile", "sid", "n", "place", "band", "low", "component"))
         bitmaps = folded(table["bitmap"].to_pylist(), BITS)
         sizes = n.astype(np.int64)
+        pairs = _Pairs(sid)
         if forest:
-            found = _forest(tile, sid, sizes, place, band, low, component, bitmaps)
+            pairs.add(*_forest(tile, sid, sizes, place, band, low, component, bitmaps))
         else:
-            parts = [np.zeros((2, 0), np.int64)]
             for left, right in group_pairs(tile, n, place, differ=component):
                 own = np.minimum(band[left], band[right]) == low[left]  # else it meets in another tile
                 left, right = left[own], right[own]
                 good = may_link(bitmaps[left], bitmaps[right], sizes[left], sizes[right])
-                parts.append(np.stack([left[good], right[good]]))
-            found = np.concatenate(parts, axis=1)
-        ends = np.sort(np.stack([sid[found[0]], sid[found[1]]], axis=1), axis=1)
-        pairs = np.unique(ends, axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                pairs.add(left[good], right[good])
+        a, b = pairs.batch()
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
 
 def _forest(tile, sid, sizes, place, band, low, component, bitmaps) -> np.ndarray:
@@ -422,7 +446,7 @@ def _forest(tile, sid, sizes, place, band, low, component, bitmaps) -> np.ndarra
 
 
 def _bitmaps_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches):
         maps = [batch.column(name).to_pylist() for name in ("bitmap_a", "bitmap_b")]
         bits = np.array([8 * min(len(a), len(b)) for a, b in zip(*maps)], np.int64)
         sizes = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
@@ -512,7 +536,8 @@ def link_components(docs: DataFrame) -> DataFrame:
     crowded, every = _most(met.where("token IS NOT NULL").groupBy("token").agg(F.sum("b").alias("times")))
     if len(crowded.tokens) or every:
         orders = docs.sparkSession.sparkContext.broadcast((order, crowded, order.with_first(crowded)))
-        tokens = stored(_tokens(docs, orders, every), "tokens")
+        # A copied set comes from several tasks, and counts once.
+        tokens = stored(_tokens(docs, orders, every).dropDuplicates(["token", "sid"]), "tokens")
         # Twice the likeliest pairs alone, which leave few components; then all.
         for forest in (True, True, False):
             labels = _joined(labels, _check(_second_meeting(tokens, sets, labels, forest), sets, docs))
