@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from adlake.llm.shared import add_columns, chunks, utf8
 
 UNDETERMINED = "und"
-MOST_LANGUAGES = 256
+SAMPLE_ROWS = 150_000  # of all languages together
 WINDOW = 256  # bytes a window
 WIDTHS = (2, 3, 4)  # bytes a filter spans
 STRIDE = WINDOW - max(WIDTHS) + 1  # so each filter sees each place of a text once
@@ -160,21 +160,23 @@ def predict(network: ByteNetwork, tables: list[np.ndarray], texts: list[bytes])
 def training_sample(docs: DataFrame, learn: Column, rows_per_language: int = 600, chars: int = 1200) -> list[tuple[str, str]]:
     """Labelled pieces of text: at most about ``rows_per_language`` of each.
 
-    The bound holds for the ``MOST_LANGUAGES`` most frequent labels. Rows are
-    taken by a hash of their text, so the sample is the same on every run, and
-    each gives a piece of ``chars`` characters from a place that its hash
-    decides.
+    With many labels each gives fewer, but every label gives some, and all give
+    about ``SAMPLE_ROWS``. Rows are taken by a hash of their text, so the sample
+    is the same on every run, and each gives a piece of ``chars`` characters
+    from a place that its hash decides.
     """
     known = docs.where(learn & F.col("lang").isNotNull())
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = known.groupBy("lang").count().collect()  # one row per label
     if not counts:
         return []
+    rows_per_language = min(rows_per_language, max(4, SAMPLE_ROWS // len(counts)))
     share = F.create_map(*[F.lit(x) for row in counts for x in (row["lang"], min(1.0, rows_per_language / row["count"]))])
     drawn = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20)
     place = F.pmod(F.xxhash64("text", F.lit(2)), F.greatest(F.length("text") - chars, F.lit(1))).cast("int") + 1
     pieces = known.where(F.col("text").isNotNull() & drawn).select("lang", F.substring("text", place, F.lit(chars)).alias("piece"))
     # Copies of one text are drawn together; the limit keeps the bound all the same.
-    rows = pieces.distinct().limit(len(counts) * rows_per_language * 2).collect()
+    order = [F.xxhash64("piece"), "piece", "lang"]
+    rows = pieces.distinct().orderBy(*order).limit(len(counts) * rows_per_language * 2).collect()
     return sorted((row["piece"], row["lang"]) for row in rows if has_letter(row["piece"]))
 
 
@@ -183,13 +185,14 @@ def has_letter(text: str | None) -> bool:
 
 
 def identify(docs: DataFrame, learn: Column, rows_per_language: int = 600) -> DataFrame:
-    """Adds ``lang_pred`` and ``score`` (0 to 1) to each document.
+    """Adds ``lang_pred``, ``score`` (0 to 1) and ``lang_lift`` to each document.
 
     The network learns from ``text`` and non-null ``lang`` of a bounded sample
     of the rows where ``learn`` holds (see ``training_sample``); only the text
     takes part in a prediction, in all its windows. A null text or one without
     a letter is ``und`` with score 0, and so is every text when there is
-    nothing to learn from. Equal texts get equal results; repeated rows, null
+    nothing to learn from. ``lang_lift`` is the score over that of chance, one
+    over the number of learned languages. Equal texts get equal results; repeated rows, null
     ids and other columns pass through.
     """
     sample = training_sample(docs, learn, rows_per_language)
@@ -206,8 +209,8 @@ def identify(docs: DataFrame, learn: Column, rows_per_language: int = 600) -> Da
             if told:
                 best, found = predict(model, tables, [utf8(texts[at]) for at in told])
                 lang[told], score[told] = np.array(model.languages, object)[best], found
-            return [lang, score]
+            return [lang, score, score * (len(model.languages) if model else 0)]
 
         return run
 
-    return add_columns(docs, "text", {"lang_pred": "string", "score": "double"}, start)
+    return add_columns(docs, "text", {"lang_pred": "string", "score": "double", "lang_lift": "double"}, start)

@@ -77,18 +77,19 @@ def add_columns(frame: DataFrame, column: str, added: dict[str, str], start: Cal
     kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
     kinds |= {f"array<{name}>": pa.list_(kind) for name, kind in list(kinds.items())}
     own = frame.drop(*added)
+    # Columns go by their places, so any name will do.
+    names = [*own.columns, *added]
+    places = [f"c{at}" for at in range(len(names))]
+    source, schema = places[own.columns.index(column)], [*[kind for _, kind in own.dtypes], *added.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = start()
         for batch in pieces(batches):
-            names, arrays = list(batch.schema.names), list(batch.columns)
-            for name, values in zip(added, function(batch.column(column).to_pylist()), strict=True):
-                names.append(name)
-                arrays.append(pa.array(values, kinds[added[name]]))
-            yield pa.RecordBatch.from_arrays(arrays, names)
-
-    schema = [f"{quoted(name)} {kind}" for name, kind in [*own.dtypes, *added.items()]]
-    return own.mapInArrow(run, ", ".join(schema))
+            made = [pa.array(values, kinds[kind]) for kind, values in zip(added.values(), function(batch.column(source).to_pylist()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], places)
+
+    placed = own.toDF(*places[: len(own.columns)]).mapInArrow(run, ", ".join(f"{place} {kind}" for place, kind in zip(places, schema)))
+    return placed.toDF(*names)
 
 
 def utf8(text: str | None) -> bytes:
