@@ -14,9 +14,9 @@ from adlake.llm import bpe, decontamination, jaccard_join, language_id, line_ded
 from adlake.llm.shared import of_hash, read_table, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-# A network of four languages never has a best score under 0.25; below this one
-# no language stands out.
-LEAST_SCORE = 0.3
+# The best language of any text scores at least what chance gives it; below this
+# multiple of that, no language stands out.
+LEAST_LIFT = 1.2
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +26,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     but texts without a letter is rejected, and ``lang`` stays.
     """
     found = language_id.identify(docs, ~of_hash("doc_id", 4, 2))
-    named = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+    named = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("lang_lift") >= LEAST_LIFT)
     # ``und`` with score 0 for a text with letters: there was no network.
     unlearnt = (F.col("lang_pred") == language_id.UNDETERMINED) & F.col("text").rlike(r"\p{L}")
     kept = found.where(named | unlearnt).withColumn("lang", F.when(named, F.col("lang_pred")).otherwise(F.col("lang")))
