@@ -22,6 +22,9 @@ SENTENCES = {
     "MIT-name": "Released under the MIT License",
     "MIT-name-2": "Licensed under the MIT License",
     "MIT-name-3": "This project is licensed under the MIT License",
+    "MIT-title": "The MIT License (MIT)",
+    "MIT-title-2": "MIT License",
+    "MIT-field": "License: MIT",
     "BSD-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "BSD-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
     "BSD-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
@@ -46,6 +49,9 @@ SENTENCES = {
     "Apache-body-grant": "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form",
     "GPL-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
     "GPL-free-2": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version",
+    "GPL-free-2-only": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",
+    "GPL-free-2-only-version": "This program is free software; you can redistribute it and/or modify it under the terms of version 2 of the GNU General Public License as published by the Free Software Foundation",
+    "GPL-free-3-only": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License version 3 as published by the Free Software Foundation",
     "GPL-hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE",
     "GPL-details": "See the GNU General Public License for more details",
     "GPL-3-body": "The GNU General Public License is a free, copyleft license for software and other kinds of works",
@@ -74,11 +80,17 @@ BSD_ENDORSE = ("BSD-endorse", "BSD-endorse-named", "BSD-endorse-named-2", "BSD-e
 BSD_AS_IS = (("BSD-as-is",), ("BSD-as-is-named",), ())
 # Conditions of a BSD licence with a clause that is not in the list.
 BSD_FAMILY = "LicenseRef-BSD-family"
+# A sentence that many licences hold: it counts where no licence claims the file.
+RESERVED = "LicenseRef-all-rights-reserved"
 # Identifiers in order and the licence they make. Of the rules
 # that begin at a place the longest counts; its sentences serve no other rule.
 RULES = [
     (("MIT-grant", "MIT-notice", "MIT-as-is", "MIT-liability"), "MIT"),
     (("MIT-grant", "MIT-notice"), "MIT"),
+    *(((title, "MIT-grant", "MIT-notice", "MIT-as-is", "MIT-liability"), "MIT") for title in ("MIT-title", "MIT-title-2")),
+    (("MIT-title",), "MIT"),
+    (("MIT-title-2",), "MIT"),
+    (("MIT-field",), "MIT"),
     (("MIT-name",), "MIT"),
     (("MIT-name-2",), "MIT"),
     (("MIT-name-3",), "MIT"),
@@ -112,6 +124,9 @@ RULES = [
     (("GPL-free",), "GPL-3.0-or-later"),
     (("GPL-free-2", "GPL-hope", "GPL-details"), "GPL-2.0-or-later"),
     (("GPL-free-2",), "GPL-2.0-or-later"),
+    (("GPL-free-2-only",), "GPL-2.0-only"),
+    (("GPL-free-2-only-version",), "GPL-2.0-only"),
+    (("GPL-free-3-only",), "GPL-3.0-only"),
     (("GPL-name",), "GPL-3.0"),
     (("GPL-name-2",), "GPL-3.0"),
     (("CC-BY-NC",), "CC-BY-NC-4.0"),
@@ -119,7 +134,7 @@ RULES = [
     (("CC-BY-SA",), "CC-BY-SA-4.0"),
     (("CC-BY-long",), "CC-BY-4.0"),
     (("MPL-header",), "MPL-2.0"),
-    (("proprietary",), "LicenseRef-all-rights-reserved"),
+    (("proprietary",), RESERVED),
 ]
 WORD = re.compile(r"[^\W_]+")
 # A stop followed by white space, a list mark, or an empty line ends a sentence.
@@ -246,7 +261,8 @@ class Recogniser:
                     found.append(licence)
                     used.update(places)
                     break
-        return sorted(set(found))
+        others = set(found) - {RESERVED}
+        return sorted(others or found[:1])
 
     @staticmethod
     def _places(identifiers: list[str], start: int, rule: tuple[str, ...], used: set[int]) -> list[int] | None:

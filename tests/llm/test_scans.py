@@ -131,3 +131,17 @@ def test_wordings_of_real_files():
     assert of("To the extent possible under law, Jane Doe has waived all copyright and related or neighboring rights to This Work.") == ["CC0-1.0"]
     for name, licence in (("Unlicense", "Unlicense"), ("AGPL-free", "AGPL-3.0-or-later"), ("LGPL-free-2.1", "LGPL-2.1-or-later"), ("GPL-3-body", "GPL-3.0"), ("Apache-body-grant", "Apache-2.0")):
         assert of(licenses.SENTENCES[name] + ".") == [licence]
+
+
+def test_reserved_rights_in_a_licence_and_short_mentions(make):
+    bsd = "\n".join(licenses.SENTENCES[name] + "." for name in ("BSD-grant", "BSD-source", "BSD-binary", "BSD-endorse", "BSD-as-is"))
+    texts = {
+        1: ("Copyright 2020 Jo. All rights reserved.\n" + bsd, ["BSD-3-Clause"]),
+        2: ("Copyright 2020 Jo. All rights reserved.", ["LicenseRef-all-rights-reserved"]),
+        3: ("The MIT License (MIT)\n\nCopyright 2020", ["MIT"]),
+        4: ("name: tool\nLicense: MIT\n", ["MIT"]),
+        5: (licenses.SENTENCES["GPL-free-2-only"] + ".", ["GPL-2.0-only"]),
+        6: ("A permit for the license of MIT people.", []),
+    }
+    found = {row["doc_id"]: row["licences"] for row in licenses.scan_licences(make([(n, text) for n, (text, _) in texts.items()])).collect()}
+    assert found == {n: wanted for n, (_, wanted) in texts.items()}
