@@ -178,6 +178,43 @@ TURN_REPAIR_SQL = r"""
 """
 
 
+SUFFIX_DEDUP_SQL = """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    w AS (SELECT doc_id, i, substring(h, 2 * i + 1, 200) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS i FROM d)),
+    l AS (SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1),
+    b AS (SELECT *, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 1 ELSE 0 END AS fresh FROM l),
+    n AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM b),
+    r AS (SELECT doc_id, span, min(i) AS a, max(i) + 100 AS z FROM n GROUP BY doc_id, span),
+    k AS (
+      SELECT r.doc_id, CAST(count(*) AS BIGINT) AS n_spans, CAST(sum(z - a) AS BIGINT) AS n_removed, max(z) AS last
+      FROM r GROUP BY r.doc_id),
+    g AS (  -- what stands before each span
+      SELECT r.doc_id, a, substring(h, 2 * before + 1, 2 * (a - before)) AS piece
+      FROM (SELECT *, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM r) r JOIN d ON d.doc_id = r.doc_id),
+    t AS (SELECT doc_id, string_agg(piece, '' ORDER BY a) AS head FROM g GROUP BY doc_id)
+    SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+      sha256(unhex(CASE WHEN t.head IS NULL THEN h ELSE t.head || substring(h, 2 * last + 1) END)) AS kept_sha256
+    FROM d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+
+JACCARD_JOIN_SQL = r"""
+    WITH RECURSIVE t AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+      FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i : i + 4], ' ') END AS x
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM t WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+    e AS (
+      SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * common >= 75 * (na.n + nb.n - common)),
+    u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+    r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, u.b FROM r JOIN u ON u.a = r.b)
+    SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id
+    FROM documents d JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON c.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 def vector_codes_sql(parts: int = 8, count: int = 16, rounds: int = 6) -> str:
     """Plain rounds over all entries; a value a row."""
     steps = [f"""
@@ -211,6 +248,8 @@ def vector_codes_sql(parts: int = 8, count: int = 16, rounds: int = 6) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "op4_suffix_dedup": SUFFIX_DEDUP_SQL,
+    "op8_jaccard_join": JACCARD_JOIN_SQL,
     "op12_turn_repair": TURN_REPAIR_SQL,
     "op13_vector_codes": vector_codes_sql(),
     "op1_topk_search": """

@@ -6,7 +6,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlake.llm.shared import add_columns, chunks
@@ -15,6 +15,7 @@ WORD = re.compile(r"\w+")
 LONGEST = 64  # characters of a word; a longer run is overlapping pieces of so many
 WINDOW = 16  # words
 STRIDE = 8  # so windows overlap by half
+SAMPLE_CHARS = 20_000_000  # of the texts of one label that are learned from
 WORD_SIZE = 8
 CHAR_SIZE = 6
 CHAR_BITS = 12  # of a trigram's bucket
@@ -293,23 +294,27 @@ class Scorer:
         return found
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = 2000, chars: int = 20_000) -> list[tuple[str, int]]:
-    """Labelled whole texts, at most ``rows`` of each label.
+def training_sample(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = 2000, chars: int = SAMPLE_CHARS) -> list[tuple[str, int]]:
+    """Labelled whole texts, about ``rows`` of each label.
 
-    Texts of over ``chars`` characters are left out of the sample, not cut, so
-    that the driver gets a bounded number of bytes. Rows are taken by a hash of
-    their text.
+    Rows are drawn by a hash of their id, the same on every run. Of each label
+    they are taken in the order of that hash until ``chars`` characters are
+    full, so the driver gets a bounded number of bytes, and texts of any length.
     """
     marked = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & learn).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {row["toxic"]: row["count"] for row in marked.groupBy("toxic").count().collect()}
     if set(counts) != {0, 1}:
         return []
     share = F.when(F.col("toxic") == 1, min(1.0, rows / counts[1])).otherwise(min(1.0, rows / counts[0]))
-    drawn = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20)).limit(3 * rows)
-    texts = docs.where(learn & F.col("text").isNotNull() & (F.length("text") <= chars)).select("doc_id", "text")
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
+    drawn = marked.withColumn("draw", draw).where(F.col("draw") < share * (1 << 20)).orderBy("draw", "doc_id").limit(3 * rows)
+    texts = docs.where(learn & F.col("text").isNotNull()).select("doc_id", "text")
     # The drawn ids are bounded by ``rows``; only they are sent to the scan.
-    found = texts.join(F.broadcast(drawn), "doc_id").select("text", "toxic").limit(3 * rows).collect()
-    return sorted((row["text"], row["toxic"]) for row in found)
+    found = texts.join(F.broadcast(drawn), "doc_id")
+    order = Window.partitionBy("toxic").orderBy("draw", "doc_id", F.xxhash64("text"))
+    taken = found.withColumns({"upto": F.sum(F.length("text")).over(order), "at": F.row_number().over(order)})
+    kept = taken.where((F.col("upto") <= chars) & (F.col("at") <= 2 * rows)).select("text", "toxic").collect()
+    return sorted((row["text"], row["toxic"]) for row in kept)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = 2000) -> DataFrame:

@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.sql import functions as F
+from samples import prose
+
 import corpus_pipeline
 
 DIR = "/root/testdata/sf0.001"
@@ -29,7 +34,22 @@ def test_stages_on_the_table(spark):
 
 
 def test_odd_and_empty_tables(spark, odd, empty):
-    for docs in (odd, empty):
-        for _, stage in corpus_pipeline.STAGES:
-            docs = stage(spark, docs, DIR).cache()
-            docs.count()
+    """Which rows each stage keeps, extra columns and one very long text among them."""
+    text = "long words here " * 340_000
+    more = odd.unionByName(spark.createDataFrame([(20, text, "en", "src0", len(text))], odd.schema))
+    docs, kept = more.withColumns({"_id": F.lit(1), "lang_pred": F.lit("x"), "n_tokens": F.lit("x")}), {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, DIR).cache()
+        kept[name] = sorted(((row["doc_id"], len(row["text"])) for row in docs.collect()), key=str)
+        if name != "bpe":
+            assert docs.columns == corpus_pipeline.COLUMNS
+    letters = [(None, 9), (4, 5), (4, 5), (5, len(prose(5, 60))), (6, len(prose(5, 60))), (6, len(prose(5, 60))), (7, 3000), (8, len(prose(8, 4000))), (9, 200), (20, len(text))]
+    assert kept["language_id"] == sorted(letters, key=str)
+    assert kept["line_dedup"] == sorted([row for row in letters if row[0] != 6], key=str)
+    assert kept["jaccard_join"] == kept["decontamination"] == kept["bpe"] == kept["line_dedup"]
+    long = docs.where("doc_id = 20").first()
+    assert long["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    docs = empty
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, DIR)
+        assert docs.count() == 0
