@@ -89,7 +89,8 @@ SELECT event_id, strftime(event_time, {MICROS}) AS event_time,
   CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_date, CAST(hour(event_time) AS INT) AS event_hour,
   source_timestamp, user_id, campaign_id, conversion, conversion_timestamp, conversion_id, attribution,
   click, click_pos, click_nb, round({cost} + 1e-9, 6) AS cost, round(cpo + 1e-9, 6) AS cpo, time_since_last_click,
-  cat1, cat2, cat3, cat4, cat5, cat6, cat7, cat8, cat9, 'ad-events' AS kafka_topic, {offset} AS kafka_offset
+  cat1, cat2, cat3, cat4, cat5, cat6, cat7, cat8, cat9,
+  strftime(event_time + INTERVAL 2 SECOND, {MICROS}) AS producer_ingest_ts, 'ad-events' AS kafka_topic, {offset} AS kafka_offset
 FROM {source} WHERE {where}"""
 
 
@@ -208,8 +209,12 @@ def oracle() -> dict[str, str]:
             strftime(make_timestamp(1700000000250000 + source_timestamp * 1000000), {MICROS}) AS event_time FROM src""",
         "event_identity": f"WITH {SRC} SELECT line_number, event_id FROM src",
         "raw_messages": f"""WITH {SRC} SELECT event_id AS key, event_id,
-            strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS event_time, source_timestamp,
-            user_id AS uid, round(cost + 1e-9, 6) AS cost, cat9 FROM src""",
+            strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS event_time, source_timestamp AS timestamp, source_timestamp,
+            user_id AS uid, campaign_id AS campaign, CAST(conversion AS BIGINT) AS conversion, conversion_timestamp, conversion_id,
+            CAST(attribution AS BIGINT) AS attribution, CAST(click AS BIGINT) AS click, CAST(click_pos AS BIGINT) AS click_pos,
+            CAST(click_nb AS BIGINT) AS click_nb, round(cost + 1e-9, 6) AS cost, round(cpo + 1e-9, 6) AS cpo, time_since_last_click,
+            cat1, cat2, cat3, cat4, cat5, cat6, cat7, cat8, cat9,
+            strftime(event_time + INTERVAL 2 SECOND, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS producer_ingest_ts FROM src""",
         "bronze_projection": f"""SELECT 'ad-events' AS topic, user_id % 6 AS kafka_partition,
             event_id AS kafka_offset, strftime(ts, {MICROS}) AS kafka_timestamp,
             CAST(event_id AS VARCHAR) AS kafka_key, props AS payload, sha256(props) AS payload_hash FROM events""",

@@ -12,8 +12,9 @@ from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark.errors import SparkRuntimeException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from adlake.functions.exprs import ISO_MICROS
 from adlake.operators.dedup import latest_copy, latest_per_key
@@ -44,7 +45,7 @@ from adlake.plans import health, reports, scaling
 from adlake.plans.backfill import backfill_and_rebuild, backfill_silver
 from adlake.plans.gold import build_gold, rebuild_changed
 from adlake.plans.landing import rejected_rows
-from adlake.schemas import SOURCE_COLUMNS
+from adlake.schemas import PAYLOAD_SCHEMA, SOURCE_COLUMNS, SOURCE_SCHEMA
 from adlake.session import scratch_dir
 from adlake.sources.bronze import bronze_stream, read_bronze, register_bronze, write_bronze
 from adlake.sources.messages import as_feed, publish, raw_stream
@@ -104,6 +105,11 @@ def plain(df: DataFrame) -> DataFrame:
 # -- derived inputs ------------------------------------------------------
 
 
+def sent_after() -> Column:
+    """When a message is made: two seconds after its event."""
+    return F.timestamp_seconds(F.col("timestamp") + BASE_EPOCH + 2)
+
+
 def message_feed(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
     """Source rows as messages, spread like a topic's partitions; with
     ``copies``, every tenth row comes again later with its cost doubled."""
@@ -115,7 +121,7 @@ def message_feed(spark: SparkSession, sf_dir: str, copies: bool = False) -> Data
         )
         rows = rows.unionByName(again)
     sent = F.timestamp_seconds(F.col("timestamp") + BASE_EPOCH)
-    events = to_events(rows, BASE_EPOCH).withColumn("sent", sent)
+    events = to_events(rows, BASE_EPOCH, sent_after()).withColumn("sent", sent)
     return as_feed(to_raw_messages(events, "position", "sent"), TOPIC, PARTITIONS, "position", F.col("sent"))
 
 
@@ -276,18 +282,12 @@ def event_identity(spark, sf_dir):
 
 @query
 def raw_messages(spark, sf_dir):
-    """Message fields read back out of the JSON text."""
-    events = to_events(source_rows(spark, sf_dir), BASE_EPOCH)
-    messages = to_raw_messages(events)
-
-    fields = ["event_id", "event_time", "source_timestamp", "uid", "cost", "cat9"]
+    """Every message field, read back out of the JSON text."""
+    messages = to_raw_messages(to_events(source_rows(spark, sf_dir), BASE_EPOCH, sent_after()))
+    fields = ["timestamp", *PAYLOAD_SCHEMA.names]
     read = messages.select("key", F.json_tuple("value", *fields).alias(*fields))
-    return read.withColumns(
-        {
-            **{name: F.col(name).cast("bigint") for name in ("source_timestamp", "uid", "cat9")},
-            "cost": F.col("cost").cast("double"),
-        }
-    )
+    kinds = {f.name: f.dataType for f in SOURCE_SCHEMA} | {"source_timestamp": LongType()}
+    return read.withColumns({name: F.col(name).cast(kind) for name, kind in kinds.items()})
 
 
 @query
@@ -307,7 +307,7 @@ SILVER_CHECKED = [
     "event_id", "event_time", "event_date", "event_hour", "source_timestamp", "user_id", "campaign_id",
     "conversion", "conversion_timestamp", "conversion_id", "attribution", "click", "click_pos",
     "click_nb", "cost", "cpo", "time_since_last_click", *[f"cat{i}" for i in range(1, 10)],
-    "kafka_topic", "kafka_offset",
+    "producer_ingest_ts", "kafka_topic", "kafka_offset",
 ]
 
 

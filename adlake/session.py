@@ -37,6 +37,20 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
     return spark
 
 
+def _run_folder(spark: SparkSession, shared: str) -> str:
+    """What one application keeps in the shared folder."""
+    return f"{shared.rstrip('/')}/adlake-{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes what this application's queries left in the shared folder. Call it
+    when their results are written or read; frames not yet read lose their input."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_run_folder(spark, shared))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the shared ``spark.checkpoint.dir``.
 
@@ -46,7 +60,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        return f"{_run_folder(spark, shared)}/{name}-{uuid.uuid4().hex}"
     if not spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get("spark.master").startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix=f"{name}-")

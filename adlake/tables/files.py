@@ -33,5 +33,9 @@ def matching(spark: SparkSession, pattern: str) -> list:
     return _file_system(spark, pattern).globStatus(_path(spark, pattern)) or []
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    _file_system(spark, path).rename(_path(spark, path), _path(spark, target))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     _file_system(spark, path).delete(_path(spark, path), True)

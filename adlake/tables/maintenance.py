@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from adlake.functions.exprs import as_utc
 from adlake.sources.file_stats import file_stats
 from adlake.tables import files
-from adlake.tables.upsert_table import UpsertTable
+from adlake.tables.upsert_table import STAGING, UpsertTable
 
 TARGET_BYTES = 128 * 1024 * 1024
 GROUP_BYTES = 100 * 1024**3
@@ -21,7 +21,6 @@ RETAIN_LAST = 24
 ORPHAN_AGE = timedelta(days=3)
 
 ACTIONS = ("compact", "expire", "orphan", "all")
-STAGING = ".spark-staging-"  # Fixed value: how Spark names its staging folders
 
 
 def data_folders(table: UpsertTable) -> list[str]:

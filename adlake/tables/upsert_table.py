@@ -11,10 +11,10 @@ What an upsert changes is kept as a *change feed*: a row per batch and pair of
 old and new date. It is written before any date is, so that a batch repeated
 after a crash rewrites the same dates and ends in the same rows.
 
-Limits: one writer at a time. Spark replaces a partition folder by a delete and a
-rename, folder by folder: readers should not run through a write's last moments,
-and a driver that dies in them leaves dates to be repeated from the batch (its
-new files are still in the staging folder beside the data).
+Limits: one writer at a time, and readers should not run through a write's last
+moments, when Spark replaces the dates' folders one by one by a delete and a
+rename. A driver that dies between the two leaves a date's new files in Spark's
+staging folder; the next write moves them into place first.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ from adlake.operators.key_filter import buckets_for, key_filter, may_hold
 from adlake.operators.upsert import merge_frames
 from adlake.tables import files
 
+STAGING = ".spark-staging-"  # Fixed value: how Spark names its staging folders
+
 CHANGE_SCHEMA = StructType(
     [
         StructField("changed_at", TimestampType()),
@@ -142,6 +144,25 @@ class UpsertTable:
 
     # -- writing ---------------------------------------------------------
 
+    def recover(self) -> list[date]:
+        """Moves dates that an earlier write deleted but did not replace from its
+        staging folder into place, and returns them.
+
+        A date is deleted only once all its new files are staged. A date that
+        the table never had may come with part of its batch; the batch, which
+        then comes again, replaces these rows by key.
+        """
+        moved, held = [], set(self.dates())
+        for status in files.matching(self.spark, f"{self.data_path}/{STAGING}*"):
+            folder = status.getPath().toString()
+            for name in files.child_names(self.spark, folder):
+                day = name.removeprefix(f"{self.date_column}=")
+                if day != name and date.fromisoformat(day) not in held:
+                    files.move(self.spark, f"{folder}/{name}", f"{self.data_path}/{name}")
+                    moved.append(date.fromisoformat(day))
+            files.delete(self.spark, folder)
+        return moved
+
     def conform(self, df: DataFrame) -> DataFrame:
         """Columns in table order and type; a NULL in a required one fails the write."""
         columns = []
@@ -195,6 +216,7 @@ class UpsertTable:
         after a crash, ends in the same rows.
         """
         name = batch or uuid.uuid4().hex
+        self.recover()
         rows = self.conform(source).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if unique:
@@ -214,6 +236,7 @@ class UpsertTable:
 
     def replace_dates(self, rows: DataFrame, days: set[date]) -> None:
         """Makes ``rows`` the whole content of ``days``; keys gone from them disappear."""
+        self.recover()
         day = F.col(self.date_column)
         inside = F.when(day.isin(sorted(days)), day).otherwise(F.raise_error(F.lit("a row outside the replaced dates")).cast("date"))
         self._overwrite(self.conform(rows).withColumn(self.date_column, inside), set(days))

@@ -1,7 +1,10 @@
 """Cleans the documents table for training: five stages, each one operator.
 
 language ID -> line dedup -> n-gram Jaccard join -> benchmark decontamination
--> BPE round trip. Every stage works on all rows its predecessor kept.
+-> BPE round trip. Every stage works on all rows its predecessor kept, of any
+length. All but the last return the columns of ``documents`` and leave others out,
+so an extra column, whatever its name, changes nothing. An empty table gives an
+empty one. Rows with a null doc_id go through like others.
 """
 
 from __future__ import annotations
@@ -34,7 +37,12 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts repeated lines out of the texts; documents of nothing else go."""
+    """Cuts repeated lines out of the texts; documents of nothing else go.
+
+    A null or empty text and one of fewer than three lines stay as they are.
+    Rows equal in doc_id and text are one document and stay or go together; an
+    equal text under a later doc_id goes. ``n_chars`` follows the text.
+    """
     found = line_dedup.dedup_lines(docs)
     kept = found.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
     length = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
@@ -42,18 +50,29 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def keep_one_near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates the document of the smallest doc_id stays."""
+    """Of near duplicates the document of the smallest doc_id stays.
+
+    Rows of one doc_id stay or go together, also where they are equal. Null and
+    empty texts, and rows with a null doc_id, are near to nothing and stay.
+    """
     return jaccard_join.keep_one(docs).select(*COLUMNS)
 
 
 def drop_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go.
+
+    A null or empty text holds none; equal texts stay or go together. Null and
+    very short items are not looked for (``decontamination.unsearched``).
+    """
     found = decontamination.match_items(docs, read_table(spark, sf_dir, "benchmark"))
     return found.where(F.size("matched_items") == 0).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the number of tokens and digests of the ids and the decoded bytes."""
+    """Adds the number of tokens and digests of the ids and the decoded bytes.
+
+    A null text counts as the empty one. Every row stays.
+    """
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
 

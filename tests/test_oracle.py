@@ -27,3 +27,21 @@ def test_query(name, spark, sf_dir, duck):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_other_queries_stand_without_the_corpus_operators(monkeypatch):
+    """A library that the corpus operators need is missing."""
+    import builtins
+    import sys
+
+    real = builtins.__import__
+
+    def blocked(name, *args, **kwargs):
+        if name == "adlake.llm" or name.startswith("adlake.llm."):
+            raise ImportError(name)
+        return real(name, *args, **kwargs)
+
+    for name in [name for name in sys.modules if name.startswith("adlake.llm") or name == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setattr(builtins, "__import__", blocked)
+    assert set(contract.queries()) == set(QUERIES) and set(contract.oracle_sql()) == set(ORACLE)

@@ -135,4 +135,21 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
     for master in ("yarn", "local-cluster[3,2,1024]"):
         with pytest.raises(ValueError, match="checkpoint"):
             scratch_dir(Session(master=master), "x")
-    assert scratch_dir(Session(dir="hdfs://shared/"), "x").startswith("hdfs://shared/x-")
+
+
+def test_scratch_of_an_application_can_be_removed(spark, tmp_path):
+    from adlake.session import clear_scratch, scratch_dir
+
+    class Conf:
+        def get(self, name, default=None):
+            return str(tmp_path)
+
+    class Session:
+        conf, sparkContext, _jvm, _jsc = Conf(), spark.sparkContext, spark._jvm, spark._jsc
+
+    folder = scratch_dir(Session(), "x")
+    assert folder.startswith(f"{tmp_path}/adlake-{spark.sparkContext.applicationId}/x-")
+    spark.range(3).write.parquet(folder)
+    assert len(list(tmp_path.iterdir())) == 1
+    clear_scratch(Session())
+    assert list(tmp_path.iterdir()) == []

@@ -143,6 +143,19 @@ def test_a_batch_that_died_between_dates_is_made_whole(table, monkeypatch, writt
     assert table.changed_dates("q-1") == {day(0), day(1)}
 
 
+def test_a_driver_that_died_while_replacing_a_date_loses_nothing(table):
+    """The date's old folder is gone, its new one still staged."""
+    put(table, {"a": (0, 1), "b": (0, 2), "c": (1, 3)})
+    put(table, {"a": (0, 9)}, "q-2")
+    staged = f"{table.data_path}/.spark-staging-dead"
+    files.make_folder(table.spark, staged)
+    files.move(table.spark, table.date_dir(day(0)), f"{staged}/event_date=2024-01-01")
+    assert content(table.read()) == {"c": (1, 3)}
+    put(table, {"a": (0, 9)}, "q-2")
+    assert content(table.read()) == {"a": (0, 9), "b": (0, 2), "c": (1, 3)}
+    assert table.recover() == [] and not files.exists(table.spark, staged)
+
+
 def test_change_feed_tells_old_and_new_dates(table):
     put(table, {"a": (0, 1), "b": (0, 2), "c": (1, 3)}, "first")
     put(table, {"a": (2, 1), "b": (0, 5), "n": (1, 6), "m": (1, 6)}, "second")
