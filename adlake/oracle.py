@@ -198,7 +198,7 @@ def oracle() -> dict[str, str]:
         "source_log_first_events": f"""WITH {SRC} SELECT line_number, CAST(user_id AS VARCHAR) AS uid FROM src
             WHERE line_number % 9 <> 0 ORDER BY line_number LIMIT 500""",
         "source_log_events_after": f"""WITH {SRC} SELECT line_number, CAST(user_id AS VARCHAR) AS uid FROM src
-            WHERE line_number % 9 <> 0 AND line_number > 1000 ORDER BY line_number LIMIT 700""",
+            WHERE line_number % 9 <> 0 AND line_number > 400 ORDER BY line_number LIMIT 300""",
         "source_coercion": f"""WITH {SRC} SELECT line_number, user_id AS uid, campaign_id AS campaign,
             round(cost + 1e-9, 6) AS cost, round(cpo + 1e-9, 6) AS cpo, cat9 FROM src
             WHERE line_number % 17 <> 0 AND line_number % 23 <> 0""",

@@ -242,7 +242,7 @@ def source_log_first_events(spark, sf_dir):
 @query
 def source_log_events_after(spark, sf_dir):
     """A stretch of the log: the first rows after a line."""
-    return read_source_log(spark, written_log(spark, sf_dir), start_line=1000, max_events=700).select("line_number", "uid")
+    return read_source_log(spark, written_log(spark, sf_dir), start_line=400, max_events=300).select("line_number", "uid")
 
 
 def textual_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from adlake.functions.local import local_rows
 from adlake.tables import files
+from adlake.tables.names import bind, publish
 
 
 @dataclass
@@ -35,17 +36,8 @@ class AppendTable:
         return StructType([*self.schema.fields, StructField("writer", StringType()), StructField(self._partition, DateType())])
 
     def register(self) -> None:
-        """Binds ``name`` to the folder; a binding to another folder is replaced."""
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self._stored)
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-        self.spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet PARTITIONED BY (writer, {self._partition}) LOCATION '{self.path}'")
-        self._publish()
-
-    def _publish(self) -> None:
-        """Makes the catalog's partitions those of the folder."""
-        if self.name and self.spark.catalog.tableExists(self.name):
-            self.spark.sql(f"MSCK REPAIR TABLE {self.name} SYNC PARTITIONS")
-            self.spark.catalog.refreshTable(self.name)
+        """Makes ``name`` a table over the folder."""
+        bind(self.spark, self.name, self._stored, ["writer", self._partition], self.path)
 
     @property
     def _partition(self) -> str:
@@ -57,7 +49,7 @@ class AppendTable:
             F.to_date(self.time_column).alias(self._partition),
         )
         body.write.mode("append").partitionBy(self._partition).parquet(f"{self.path}/writer={writer}")
-        self._publish()
+        publish(self.spark, self.name)
 
     def read(self) -> DataFrame:
         """All rows. Filter on ``<time_column>_date`` before selecting to prune

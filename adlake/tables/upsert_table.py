@@ -33,6 +33,7 @@ from adlake.functions.local import local_rows
 from adlake.operators.key_filter import buckets_for, key_filter, may_hold
 from adlake.operators.upsert import merge_frames
 from adlake.tables import files
+from adlake.tables.names import bind, publish
 
 STAGING = ".spark-staging-"  # Fixed value: how Spark names its staging folders
 
@@ -262,7 +263,7 @@ class UpsertTable:
         for day, names in before.items():
             if files.child_names(self.spark, self.date_dir(day)) == names:  # nothing replaced them
                 files.delete(self.spark, self.date_dir(day))
-        self._publish()
+        publish(self.spark, self.name)
 
     def _spread(self, rows: DataFrame, files_per_date: dict[date, int] | None) -> DataFrame:
         """Rows in partitions of about one file each, a large date in several.
@@ -288,14 +289,5 @@ class UpsertTable:
     # -- the catalog -----------------------------------------------------
 
     def register(self) -> None:
-        """Binds ``name`` to the folder; a binding to another folder is replaced."""
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in self.schema)
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-        self.spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet PARTITIONED BY ({self.date_column}) LOCATION '{self.data_path}'")
-        self._publish()
-
-    def _publish(self) -> None:
-        """Makes the catalog's dates those of the folder."""
-        if self.name and self.spark.catalog.tableExists(self.name):
-            self.spark.sql(f"MSCK REPAIR TABLE {self.name} SYNC PARTITIONS")
-            self.spark.catalog.refreshTable(self.name)
+        """Makes ``name`` a table over the folder."""
+        bind(self.spark, self.name, self.schema, [self.date_column], self.data_path)

@@ -287,6 +287,9 @@ def test_catalog_name_follows_every_write(spark, folder):
     put(table, {"a": (2, 5)})
     table.replace_dates(spark.createDataFrame([], SCHEMA), {day(1)})
     assert content(spark.sql("SELECT * FROM named.events WHERE event_date >= '2024-01-01'")) == {"a": (2, 5)}
+    spark.sql("CREATE TABLE IF NOT EXISTS named.own (v bigint) USING parquet")
+    with pytest.raises(ValueError, match="of its own"):
+        UpsertTable(spark, f"{folder}/n", SCHEMA, ["event_id"], name="named.own").register()
     again = UpsertTable(spark, f"{folder}/other", SCHEMA, ["event_id"], name="named.events")
     again.create()
     again.register()
