@@ -12,7 +12,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from adlake.llm.shared import add_columns, utf8
+from adlake.llm.shared import add_columns, kept, utf8
 
 CACHED_PIECES = 600_000  # in each half of the cache; some 130 MB a half
 CACHED_PIECE_CHARS = 48
@@ -191,16 +191,6 @@ class BytePairCodec:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, IDS).tolist()))
 
 
-_codecs: dict[str, BytePairCodec] = {}  # the last one used in this Python worker
-
-
-def _codec(content: str, ranks: dict[bytes, int], pattern: str) -> BytePairCodec:
-    if content not in _codecs:
-        _codecs.clear()
-        _codecs[content] = BytePairCodec(ranks, pattern)
-    return _codecs[content]
-
-
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, texts: bool = False) -> DataFrame:
     """Encodes each whole text and decodes its ids again.
 
@@ -219,7 +209,8 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, texts: bo
         added |= {"token_ids": "array<long>", "decoded": "string"}
 
     def start():
-        codec = _codec(*shared.value)
+        content, ranks, pattern = shared.value
+        codec = kept(content, lambda: BytePairCodec(ranks, pattern))
 
         def row(text: str | None) -> tuple:
             ids = codec.encode(text) if text else b""

@@ -18,6 +18,8 @@ BROADCAST_ROWS = 1_000_000  # of ids: some 16 MB
 PIECE_BYTES = 4 << 20  # turned into Python values at once
 RADIX = 0x9E3779B97F4A7C15
 _powers: list[np.ndarray] = []
+_kept: dict[str, object] = {}
+_in_use: set[str] = set()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +65,16 @@ def pieces_of(array: pa.Array) -> Iterator[pa.Array]:
         yield array.slice(start, values)
 
 
+def kept(key: str, make: Callable[[], object]) -> object:
+    """What an operator keeps in a Python worker from task to task, such as a
+    vocabulary and its cache: one thing at a time."""
+    _in_use.add(key)
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -83,7 +95,10 @@ def add_columns(frame: DataFrame, column: str, added: dict[str, str], start: Cal
     source, schema = places[own.columns.index(column)], [*[kind for _, kind in own.dtypes], *added.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _in_use.clear()
         function = start()
+        if not _in_use:  # another operator's turn
+            _kept.clear()
         for batch in pieces(batches):
             made = [pa.array(values, kinds[kind]) for kind, values in zip(added.values(), function(batch.column(source).to_pylist()), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], places)

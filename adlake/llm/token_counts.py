@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.shared import chunks, pieces_of
+from adlake.llm.shared import chunks, kept, pieces_of
 
 BATCH_BYTES = 1 << 20  # of text given to the library at once
 PIECE_CHARS = 1 << 16  # a longer text is split
@@ -83,9 +83,6 @@ def count_texts(texts: list[str | None], count: Callable[[list[str]], list[int]]
     return totals
 
 
-_counters: dict[str, tuple] = {}  # the last one used in this Python worker
-
-
 def token_count(docs: DataFrame, path: str, text: str = "text") -> Column:
     """The number of tokens of a text column, as the library of the vocabulary
     at ``path`` gives it: nothing added, special strings handled as its default,
@@ -100,12 +97,9 @@ def token_count(docs: DataFrame, path: str, text: str = "text") -> Column:
     @F.arrow_udf("long")
     def lengths(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         name, content = shared.value
-        key = f"{name}-{hash(content)}"
-        if key not in _counters:
-            _counters.clear()
-            _counters[key] = load_counter(name, content)
+        counter = kept(f"{name}-{hash(content)}", lambda: load_counter(name, content))
         for array in arrays:
-            found = [count_texts(part.to_pylist(), *_counters[key]) for part in pieces_of(array)]
+            found = [count_texts(part.to_pylist(), *counter) for part in pieces_of(array)]
             yield pa.array([value for part in found for value in part], pa.int64())
 
     return lengths(F.col(text))
