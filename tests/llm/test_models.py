@@ -124,3 +124,46 @@ def test_long_runs_are_read_to_their_end():
     scorer = toxicity.Scorer(toxicity.train([text for text, _ in texts], [label for _, label in texts]))
     toxic, clean = scorer.scores([texts[0][0], texts[-1][0]])
     assert toxic > 0.5 > clean
+
+
+def test_held_out_languages_of_the_tables(spark):
+    """The query over whole tables: what it never learned from is right, but for few."""
+    found = queries.op3_language_id(spark, "/root/testdata/sf0.01")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    told = found.join(docs, "doc_id").where("held_out AND lang IS NOT NULL AND lang_pred != 'und'")
+    rows, right = told.agg(F.count("*"), F.count_if(F.col("lang") == F.col("lang_pred"))).first()
+    assert rows > 100 and right / rows > 0.98
+
+
+def test_held_out_toxicity_of_the_tables(spark):
+    """Ranking and decision over the held-out labels of the larger tables."""
+    found = queries.op5_toxicity(spark, "/root/testdata/sf0.1").where("held_out")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
+    rows = found.join(labels, "doc_id").select("score", "predicted", "toxic").collect()
+    bad = [row for row in rows if row["toxic"] == 1]
+    good = [row for row in rows if row["toxic"] == 0]
+    ranks = {score: at for at, score in enumerate(sorted({row["score"] for row in rows}))}
+    above = sum((ranks[b["score"]] > ranks[g["score"]]) + 0.5 * (ranks[b["score"]] == ranks[g["score"]]) for b in bad for g in good)
+    assert len(bad) > 20 and above / (len(bad) * len(good)) > 0.93
+    assert sum(row["predicted"] for row in bad) / len(bad) > 0.8
+    assert sum(row["predicted"] for row in good) / len(good) < 0.05
+
+
+def test_every_label_is_learned_and_gives_its_share(spark, make, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_ROWS", 40)
+    docs = make([(n, f"text number {n} of {n % 10}", f"l{n % 10}") for n in range(2000)])
+    sample = language_id.training_sample(docs, F.lit(True), 600)
+    again = language_id.training_sample(docs.repartition(7), F.lit(True), 600)
+    assert sample == again and {lang for _, lang in sample} == {f"l{n}" for n in range(10)}
+    assert len(sample) <= 10 * 4 * 2
+
+
+def test_a_long_text_is_learned_from_and_the_sample_is_bounded(spark, make):
+    draw = lambda n: "word " * (n % 7 + 1) + str(n)
+    docs = make([(n, draw(n) if n else "long " * 30_000) for n in range(300)])
+    labels = spark.createDataFrame([(n, n % 2) for n in range(300)], "doc_id long, toxic int")
+    whole = toxicity.training_sample(docs, labels, F.lit(True))
+    assert len(whole) == 300 and max(len(text) for text, _ in whole) == 150_000
+    few = toxicity.training_sample(docs, labels, F.lit(True), chars=1000)
+    assert all(sum(len(text) for text, toxic in few if toxic == kind) <= 1000 for kind in (0, 1)) and 20 < len(few) < 120
+    assert few == toxicity.training_sample(docs.repartition(5), labels, F.lit(True), chars=1000)
