@@ -29,7 +29,9 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     but texts without a letter is rejected, and ``lang`` stays.
     """
     found = language_id.identify(docs, ~of_hash("doc_id", 4, 2))
-    named = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("lang_lift") >= LEAST_LIFT)
+    # Where one language alone is known, it is certain and no likelier than chance.
+    clear = (F.col("lang_lift") >= LEAST_LIFT) | (F.col("score") == 1)
+    named = (F.col("lang_pred") != language_id.UNDETERMINED) & clear
     # ``und`` with score 0 for a text with letters: there was no network.
     unlearnt = (F.col("lang_pred") == language_id.UNDETERMINED) & F.col("text").rlike(r"\p{L}")
     kept = found.where(named | unlearnt).withColumn("lang", F.when(named, F.col("lang_pred")).otherwise(F.col("lang")))
