@@ -69,6 +69,7 @@ from adlake.tables.upsert_table import UpsertTable
 AS_OF = datetime(2024, 1, 31)
 ONCE = {"availableNow": True}
 COPY_SHIFT = 1_000_000_000
+FEED_ROWS = 250_000  # source rows in a task that makes messages
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -112,9 +113,11 @@ def sent_after() -> Column:
 
 def message_feed(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
     """Source rows as messages, spread like a topic's partitions; with
-    ``copies``, every tenth row comes again later with its cost doubled."""
-    rows = source_rows(spark, sf_dir).repartition(PARTITIONS, "line_number")
-    rows = rows.withColumn("position", F.col("line_number"))
+    ``copies``, every tenth row comes again later with its cost doubled.
+
+    A long feed has more tasks, as a writer may sort what one task holds."""
+    tasks = max(PARTITIONS, -(-read_table(spark, sf_dir, "events").count() // FEED_ROWS))
+    rows = source_rows(spark, sf_dir, tasks).withColumn("position", F.col("line_number"))
     if copies:
         again = rows.where("line_number % 10 = 0").withColumns(
             {"cost": F.col("cost") * 2, "position": F.col("line_number") + COPY_SHIFT}

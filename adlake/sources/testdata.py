@@ -43,11 +43,13 @@ def campaign():
     return F.get_json_object("props", "$.k").cast("bigint") % CAMPAIGNS
 
 
-def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed source-log rows with their line number, one per ``events`` row."""
-    events = read_table(spark, sf_dir, "events").withColumn(
-        "timestamp", F.unix_seconds(F.col("ts").cast("timestamp")) - BASE_EPOCH
-    )
+def source_rows(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
+    """Typed source-log rows with their line number, one per ``events`` row;
+    with ``tasks``, spread over so many by that number."""
+    events = read_table(spark, sf_dir, "events")
+    if tasks:  # before the rows grow wider
+        events = events.repartition(tasks, "event_id")
+    events = events.withColumn("timestamp", F.unix_seconds(F.col("ts").cast("timestamp")) - BASE_EPOCH)
     row = F.col("event_id")
     click = F.col("event_type") == "click"
     purchase = F.col("event_type") == "purchase"
