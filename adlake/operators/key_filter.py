@@ -36,13 +36,25 @@ def key_filter(source: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     return placed.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
 
 
-def may_hold(frame: DataFrame, keys: list[str], filters: DataFrame, buckets: int) -> DataFrame:
-    """Rows whose key may be in the filter: all that are, few that are not."""
+def _asked(frame: DataFrame, keys: list[str], filters: DataFrame, buckets: int, how: str) -> tuple[DataFrame, Column]:
+    """Rows beside the bitmap of their bucket, and whether it has both their bits."""
     bucket, bits = _places(keys, buckets)
 
     def is_set(bit: Column) -> Column:
         byte = F.conv(F.hex(F.substring("_bitmap", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10)
         return F.getbit(byte.cast("bigint"), (bit % 8).cast("int")) == 1
 
-    asked = frame.withColumn("_bucket", bucket).join(F.broadcast(filters), "_bucket")
-    return asked.where(is_set(bits[0]) & is_set(bits[1])).select(*frame.columns)
+    asked = frame.withColumn("_bucket", bucket).join(F.broadcast(filters), "_bucket", how)
+    return asked, is_set(bits[0]) & is_set(bits[1])
+
+
+def may_hold(frame: DataFrame, keys: list[str], filters: DataFrame, buckets: int) -> DataFrame:
+    """Rows whose key may be in the filter: all that are, few that are not."""
+    asked, both = _asked(frame, keys, filters, buckets, "inner")
+    return asked.where(both).select(*frame.columns)
+
+
+def cannot_hold(frame: DataFrame, keys: list[str], filters: DataFrame, buckets: int) -> DataFrame:
+    """The other rows: their key is surely not in the filter."""
+    asked, both = _asked(frame, keys, filters, buckets, "left")
+    return asked.where(~F.coalesce(both, F.lit(False))).select(*frame.columns)

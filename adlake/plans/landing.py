@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from adlake.functions.local import local_rows
 from adlake.operators.projections import GOOD, REJECTED, newest_events, project_landing
 from adlake.schemas import LANDING_SCHEMA
+from adlake.session import CODEC
 from adlake.tables import files
 from adlake.tables.lake import Lake
 from adlake.tables.upsert_table import Change
@@ -34,7 +35,7 @@ def land(lake: Lake, bronze: DataFrame, batch: str, start: date | str | None = N
     rows = project_landing(bronze, start, end).observe(
         counts, *[F.count_if(F.col("status") == status).alias(status) for status in (GOOD, REJECTED)]
     )
-    rows.write.mode("overwrite").partitionBy("status").parquet(folder)
+    rows.write.mode("overwrite").option("compression", CODEC).partitionBy("status").parquet(folder)
     landed = lake.spark.read.schema(LANDING_SCHEMA).parquet(folder)
     return Landed(landed.where(F.col("status") == GOOD), dict(counts.get))
 

@@ -46,7 +46,7 @@ from adlake.plans.backfill import backfill_and_rebuild, backfill_silver
 from adlake.plans.gold import build_gold, rebuild_changed
 from adlake.plans.landing import rejected_rows
 from adlake.schemas import PAYLOAD_SCHEMA, SOURCE_COLUMNS, SOURCE_SCHEMA
-from adlake.session import scratch_dir
+from adlake.session import CODEC, scratch_dir
 from adlake.sources.bronze import bronze_stream, read_bronze, register_bronze, write_bronze
 from adlake.sources.messages import as_feed, publish, raw_stream
 from adlake.sources.source_log import read_source_log
@@ -547,7 +547,7 @@ def streamed_lake(spark: SparkSession, sf_dir: str, name: str) -> Lake:
     feed = f"{lake.root}/feed"
     messages = message_feed(spark, sf_dir, copies=True)
     for part in (F.col("offset") < COPY_SHIFT, F.col("offset") >= COPY_SHIFT):
-        publish(messages.where(part), "parquet", {"path": feed})
+        publish(messages.where(part), "parquet", {"path": feed, "compression": CODEC})
         start_bronze(lake, raw_stream(spark, "parquet", {"path": feed}), ONCE).awaitTermination()
         start_silver(lake, bronze_stream(spark, lake.bronze_path), ONCE).awaitTermination()
     return lake

@@ -9,12 +9,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+CODEC = "zstd"  # of the library's tables, in whatever session
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.sql.parquet.compression.codec": CODEC,
     "spark.sql.streaming.metricsEnabled": "true",
 }
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from adlake.operators.filters import ingest_date_between
 from adlake.schemas import BRONZE_SCHEMA
+from adlake.session import CODEC
 from adlake.tables import files
 
 
@@ -22,7 +23,7 @@ def write_bronze(rows: DataFrame, path: str, batch: str) -> int | None:
         return None
     written = Observation()
     observed = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("overwrite").partitionBy("ingest_date", "ingest_hour").parquet(folder)
+    observed.write.mode("overwrite").option("compression", CODEC).partitionBy("ingest_date", "ingest_hour").parquet(folder)
     return written.get["rows"]
 
 

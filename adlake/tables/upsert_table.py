@@ -5,7 +5,7 @@ The table is a folder of Parquet files by date. An upsert rewrites the dates it
 touches, and no others, by a dynamic partition overwrite: dates of the batch, and
 dates that hold an earlier row of one of its keys. The latter come from a scan of
 keys and dates alone, which a Bloom filter of the batch's keys thins out before
-it is shuffled.
+it is shuffled. A batch of new keys alone rewrites nothing: its rows are appended.
 
 What an upsert changes is kept as a *change feed*: a row per batch and pair of
 old and new date. It is written before any date is, so that a batch repeated
@@ -30,8 +30,9 @@ from pyspark.sql.types import DateType, IntegerType, LongType, StringType, Struc
 
 from adlake.functions.exprs import as_date, utc_now
 from adlake.functions.local import local_rows
-from adlake.operators.key_filter import buckets_for, key_filter, may_hold
+from adlake.operators.key_filter import buckets_for, cannot_hold, key_filter, may_hold
 from adlake.operators.upsert import merge_frames
+from adlake.session import CODEC
 from adlake.tables import files
 from adlake.tables.names import bind, publish
 
@@ -174,7 +175,7 @@ class UpsertTable:
             columns.append(value.alias(f.name))
         return df.select(*columns)
 
-    def earlier_rows(self, batch: DataFrame, rows: int) -> DataFrame:
+    def earlier_rows(self, batch: DataFrame, rows: int, filters: DataFrame | None = None) -> DataFrame:
         """``(keys, old_date)`` of the rows that ``batch`` may replace.
 
         The scan reads keys and dates alone. Rows that fail the filter of the
@@ -183,30 +184,52 @@ class UpsertTable:
         """
         held = self.read().select(*self.keys, F.col(self.date_column).alias("old_date"))
         buckets = buckets_for(rows)
-        return may_hold(held, self.keys, key_filter(batch, self.keys, buckets), buckets) if buckets else held
+        if not buckets:
+            return held
+        return may_hold(held, self.keys, key_filter(batch, self.keys, buckets) if filters is None else filters, buckets)
 
-    def moves(self, batch: DataFrame, rows: int) -> DataFrame:
+    def moves(self, batch: DataFrame, rows: int, filters: DataFrame | None = None) -> DataFrame:
         """Rows of ``batch`` by the date that holds the key now and the new one."""
         new = F.col(self.date_column).alias("new_date")
-        if self.date_column in self.keys:
-            # A key cannot change its date, so the batch alone tells.
+        if self.date_column in self.keys or not self.dates():
+            # A key cannot change its date, or has none yet, so the batch alone tells.
             pairs = batch.select(F.lit(None).cast("date").alias("old_date"), new)
         else:
-            pairs = batch.select(*self.keys, new).join(self.earlier_rows(batch, rows), self.keys, "left")
+            pairs = batch.select(*self.keys, new).join(self.earlier_rows(batch, rows, filters), self.keys, "left")
         return pairs.groupBy("old_date", "new_date").agg(F.count("*").alias("rows"))
 
-    def _record(self, batch: DataFrame, rows: int, name: str) -> set[date]:
+    def _record(self, batch: DataFrame, rows: int, name: str, filters: DataFrame | None) -> tuple[set[date], bool]:
         """Writes what the batch will change, unless an earlier run of it did,
-        and returns the dates."""
+        and returns the dates, and whether the table holds none of its keys.
+        Of a batch that comes again nobody knows: it may have left rows."""
         folder = f"{self.changes_path}/batch={name}"
         if files.exists(self.spark, f"{folder}/_SUCCESS"):
-            return self.changed_dates(name)
+            return self.changed_dates(name), False
         # One row per pair of dates.
-        found = self.moves(batch, rows).collect()
+        found = self.moves(batch, rows, filters).collect()
         moment = utc_now()
         pairs = local_rows(self.spark, [(moment, *pair) for pair in found], StructType(CHANGE_SCHEMA.fields[:-1]))
         pairs.coalesce(1).write.mode("overwrite").parquet(folder)
-        return {day for pair in found for day in (pair["old_date"], pair["new_date"]) if day is not None}
+        dates = {day for pair in found for day in (pair["old_date"], pair["new_date"]) if day is not None}
+        return dates, self.date_column not in self.keys and all(pair["old_date"] is None for pair in found)
+
+    def merged(self, days: set[date], batch: DataFrame, rows: int, filters: DataFrame | None) -> DataFrame:
+        """The rows of some dates with those of ``batch`` in place. Rows that
+        fail the filter of the batch's keys stay without being joined."""
+        held = self.read_dates(days)
+        if filters is None:
+            return merge_frames(held, batch, self.keys)
+        buckets = buckets_for(rows)
+        near, far = may_hold(held, self.keys, filters, buckets), cannot_hold(held, self.keys, filters, buckets)
+        # Catalyst would move an anti-join below the filter, where it shuffles all rows.
+        marked = near.join(batch.select(*self.keys, F.lit(True).alias("_replaced")), self.keys, "left")
+        kept = marked.where(F.col("_replaced").isNull()).select(*held.columns)
+        return far.unionByName(kept).unionByName(batch.select(*held.columns))
+
+    def batch_filter(self, batch: DataFrame, rows: int) -> DataFrame | None:
+        """The cached filter of a batch's keys; None where there is none or no need."""
+        buckets = 0 if self.date_column in self.keys or not self.dates() else buckets_for(rows)
+        return key_filter(batch, self.keys, buckets).persist(StorageLevel.MEMORY_AND_DISK) if buckets else None
 
     def upsert(self, source: DataFrame, batch: str | None = None, unique: bool = False) -> Change:
         """Updates or inserts rows by key; ``source`` holds one row per key.
@@ -219,6 +242,7 @@ class UpsertTable:
         name = batch or uuid.uuid4().hex
         self.recover()
         rows = self.conform(source).persist(StorageLevel.MEMORY_AND_DISK)
+        filters = None
         try:
             if unique:
                 count = rows.count()
@@ -229,10 +253,16 @@ class UpsertTable:
                     raise ValueError(f"the source repeats a key ({', '.join(self.keys)})")
             if not count:
                 return Change(name, 0, frozenset())
-            touched = self._record(rows, count, name)
-            self._overwrite(merge_frames(self.read_dates(touched), rows, self.keys), touched)
+            filters = self.batch_filter(rows, count)
+            touched, new = self._record(rows, count, name, filters)
+            if new:
+                self._append(rows)
+            else:
+                self._overwrite(self.merged(touched, rows, count, filters), touched)
             return Change(name, count, frozenset(touched))
         finally:
+            if filters is not None:
+                filters.unpersist()
             rows.unpersist()
 
     def replace_dates(self, rows: DataFrame, days: set[date]) -> None:
@@ -250,20 +280,28 @@ class UpsertTable:
         """Replaces the content of ``days``. Dates left without rows are removed
         last, so that no row is missing meanwhile."""
         before = {day: files.child_names(self.spark, self.date_dir(day)) for day in self.dates() if day in days}
+        self._write(self._spread(rows, files_per_date), "overwrite")
+        for day, names in before.items():
+            if files.child_names(self.spark, self.date_dir(day)) == names:  # nothing replaced them
+                files.delete(self.spark, self.date_dir(day))
+        publish(self.spark, self.name)
+
+    def _append(self, rows: DataFrame) -> None:
+        """Adds files with ``rows`` to their dates; none is rewritten."""
+        self._write(self._spread(rows, None), "append")
+        publish(self.spark, self.name)
+
+    def _write(self, rows: DataFrame, mode: str) -> None:
         order = [self.date_column] + ([self.cluster_by] if self.cluster_by else [])
         (
-            self._spread(rows, files_per_date)
-            .sortWithinPartitions(*order)
+            rows.sortWithinPartitions(*order)
             .select(*self.schema.names)
-            .write.mode("overwrite")
+            .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
+            .option("compression", CODEC)
             .partitionBy(self.date_column)
             .parquet(self.data_path)
         )
-        for day, names in before.items():
-            if files.child_names(self.spark, self.date_dir(day)) == names:  # nothing replaced them
-                files.delete(self.spark, self.date_dir(day))
-        publish(self.spark, self.name)
 
     def _spread(self, rows: DataFrame, files_per_date: dict[date, int] | None) -> DataFrame:
         """Rows in partitions of about one file each, a large date in several.

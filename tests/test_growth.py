@@ -1,10 +1,14 @@
 """What a task or a batch holds must not grow with the whole input."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from adlake import queries
+from adlake.operators.key_filter import cannot_hold
 from adlake.sources.bronze import read_bronze
+from test_upsert_table import content, day, folders, plan, put, rows_of, table  # noqa: F401
 
 
 @pytest.fixture
@@ -25,3 +29,50 @@ def test_a_long_feed_has_more_tasks(spark, events, monkeypatch):
     files = bronze.where(F.col("kafka_offset") < queries.COPY_SHIFT).groupBy(F.input_file_name()).count().collect()
     assert len(files) == 9 and max(r["count"] for r in files) < 150  # six files of 150 rows before
     assert bronze.count() == bronze.select("kafka_offset").distinct().count() == 990
+
+
+def test_a_batch_of_new_keys_rewrites_nothing(table, monkeypatch):
+    put(table, {"a": (0, 1), "b": (1, 2)})
+    before = folders(table)
+    assert put(table, {"c": (0, 3), "d": (2, 4)}, "q").dates == {day(0), day(2)}
+    after = folders(table)
+    assert set(before[day(0)]) < set(after[day(0)]) and after[day(1)] == before[day(1)]
+    # It may have left rows when it comes again, so then the dates are rewritten.
+    put(table, {"c": (0, 3), "d": (2, 4)}, "q")
+    assert not set(after[day(0)]) & set(folders(table)[day(0)])
+    assert content(table.read()) == {"a": (0, 1), "b": (1, 2), "c": (0, 3), "d": (2, 4)}
+
+
+def test_an_append_that_died_is_made_whole(table, monkeypatch):
+    put(table, {"a": (0, 1)})
+    whole = table._append
+
+    def dies(rows):
+        whole(rows.where("event_id = 'c'"))
+        raise OSError("lost")
+
+    monkeypatch.setattr(table, "_append", dies)
+    with pytest.raises(OSError):
+        put(table, {"b": (0, 2), "c": (0, 3)}, "q")
+    monkeypatch.undo()
+    put(table, {"b": (0, 2), "c": (0, 3)}, "q")
+    assert content(table.read()) == {"a": (0, 1), "b": (0, 2), "c": (0, 3)}
+
+
+def test_rows_whose_keys_are_not_in_the_batch_are_not_joined(table):
+    put(table, {f"k{n}": (n % 3, n) for n in range(300)})
+    batch = rows_of(table, {"k3": (0, -1), "new": (1, -2)})
+    filters = table.batch_filter(batch, 2)
+    merged = table.merged({day(n) for n in range(3)}, batch, 2, filters)
+    assert content(merged) == {f"k{n}": (n % 3, n) for n in range(300)} | {"k3": (0, -1), "new": (1, -2)}
+    assert "LeftAnti" not in plan(merged) and cannot_hold(table.read(), ["event_id"], filters, 1).count() > 280
+
+
+def test_the_librarys_tables_have_one_codec(spark, folder, events, monkeypatch):
+    before = spark.conf.get("spark.sql.parquet.compression.codec")
+    spark.conf.set("spark.sql.parquet.compression.codec", "snappy")
+    try:
+        path = queries.bronze_folder(spark, events, f"{folder}/b")
+    finally:
+        spark.conf.set("spark.sql.parquet.compression.codec", before)
+    assert all(name.endswith(".zstd.parquet") for _, _, names in os.walk(path) for name in names if name.startswith("part-"))
