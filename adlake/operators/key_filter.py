@@ -33,7 +33,8 @@ def key_filter(source: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     """``(_bucket, _bitmap)`` rows of the keys of ``source``."""
     bucket, bits = _places(keys, buckets)
     placed = source.select(bucket.alias("_bucket"), F.explode(F.array(*bits)).alias("_bit"))
-    return placed.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
+    # Dealt out first: otherwise every task makes a bitmap of almost every bucket.
+    return placed.repartition("_bucket").groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
 
 
 def _asked(frame: DataFrame, keys: list[str], filters: DataFrame, buckets: int, how: str) -> tuple[DataFrame, Column]:

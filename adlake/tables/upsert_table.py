@@ -231,20 +231,27 @@ class UpsertTable:
         buckets = 0 if self.date_column in self.keys or not self.dates() else buckets_for(rows)
         return key_filter(batch, self.keys, buckets).persist(StorageLevel.MEMORY_AND_DISK) if buckets else None
 
-    def upsert(self, source: DataFrame, batch: str | None = None, unique: bool = False) -> Change:
+    def upsert(self, source: DataFrame, batch: str | None = None, unique: bool = False, stored: int | None = None) -> Change:
         """Updates or inserts rows by key; ``source`` holds one row per key.
 
         ``unique`` says that it does by construction; otherwise it is counted
         first, and a source that repeats a key is refused before anything is
         written, as a merge would. A named ``batch`` that comes again, whole or
         after a crash, ends in the same rows.
+
+        ``stored`` is the number of rows of a unique source that lies on storage:
+        each step reads the columns it needs from there, and nothing is cached.
         """
         name = batch or uuid.uuid4().hex
         self.recover()
-        rows = self.conform(source).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = self.conform(source)
+        if stored is None:
+            rows.persist(StorageLevel.MEMORY_AND_DISK)
         filters = None
         try:
-            if unique:
+            if stored is not None:
+                count = stored
+            elif unique:
                 count = rows.count()
             else:
                 counts = rows.groupBy(*self.keys).agg(F.count("*").alias("n"))
@@ -263,7 +270,8 @@ class UpsertTable:
         finally:
             if filters is not None:
                 filters.unpersist()
-            rows.unpersist()
+            if stored is None:
+                rows.unpersist()
 
     def replace_dates(self, rows: DataFrame, days: set[date]) -> None:
         """Makes ``rows`` the whole content of ``days``; keys gone from them disappear."""

@@ -6,8 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from adlake import queries
-from adlake.operators.key_filter import cannot_hold
+from adlake.operators.key_filter import cannot_hold, key_filter
+from adlake.operators.projections import project_bronze
+from adlake.plans import landing
 from adlake.sources.bronze import read_bronze
+from adlake.streaming.queries import silver_batch
+from adlake.tables.lake import bootstrap
 from test_upsert_table import content, day, folders, plan, put, rows_of, table  # noqa: F401
 
 
@@ -76,3 +80,28 @@ def test_the_librarys_tables_have_one_codec(spark, folder, events, monkeypatch):
     finally:
         spark.conf.set("spark.sql.parquet.compression.codec", before)
     assert all(name.endswith(".zstd.parquet") for _, _, names in os.walk(path) for name in names if name.startswith("part-"))
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_only_events_with_copies_are_ranked(spark, folder, events, monkeypatch, most):
+    ranked, rank = [], landing.newest_events
+    monkeypatch.setattr(landing, "newest_events", lambda rows: ranked.append(rows.count()) or rank(rows))
+    monkeypatch.setattr(landing, "MOST_REPEATED", most, raising=False)
+    lake = bootstrap(spark, f"{folder}/lake", named=False)
+    bronze = project_bronze(queries.message_feed(spark, events, copies=True))
+    silver_batch(lake, bronze, 0, "q")
+    assert ranked == [180 if most else 990]  # all 990 before
+    silver = lake.silver.read()
+    assert silver.count() == silver.select("event_id").distinct().count() == 900
+    assert silver.where(F.col("kafka_offset") >= queries.COPY_SHIFT).count() == 90
+    # Without copies nothing is ranked, in a new batch or one that replaces rows.
+    silver_batch(lake, bronze.where(F.col("kafka_offset") <= 100), 1, "q")
+    assert len(ranked) == 1 and lake.silver.read().where(F.col("kafka_offset") >= queries.COPY_SHIFT).count() == 80
+    recorded = {(r["batch_id"], r["row_count"]) for r in lake.batch_metrics.read().collect()}
+    assert recorded == {(0, 900), (1, 100)} and lake.silver.read().count() == 900
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+def test_a_task_makes_bitmaps_of_its_own_buckets(spark):
+    text = plan(key_filter(spark.range(100_000).toDF("a"), ["a"], 50))
+    assert "partial_bitmap_construct_agg" in text.lower().split("exchange")[0]
